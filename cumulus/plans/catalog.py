@@ -280,7 +280,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _ANALYTICS_R = {"avg_temperature": 6, "temperature_variance": 6, "avg_windspeed": 6,
                 "comfort_score": 6}
 _RAW_R = {"temp_fahrenheit": 6, "temp_kelvin": 6, "comfort_index": 6}
-_METRIC_R = {"value": 6}
+_METRIC_R = {"value": 9}
 ROUNDING: dict[str, dict[str, int]] = {
     "sales_by_category": {"total_quantity_sold": 2, "total_revenue": 2},
     "weather_derive": _RAW_R,
@@ -293,7 +293,7 @@ ROUNDING: dict[str, dict[str, int]] = {
     "stream_weather_incremental": _ANALYTICS_R,
     "city_fibonacci": {"total_product": 2, "avg_product": 2},
     "weather_run_summary": {"global_avg_temp": 6},
-    "usage_query_costs": {"credits_attributed_compute": 6},
+    "usage_query_costs": {"credits_attributed_compute": 9},
     "usage_cost_metrics": _METRIC_R,
     "usage_metrics_all": _METRIC_R,
     "usage_metrics_empty": _METRIC_R,
@@ -302,7 +302,7 @@ ROUNDING: dict[str, dict[str, int]] = {
     "tumbling_1h": {"total_value": 4},
     "tumbling_1d": {"total_value": 4},
     "stream_sales_incremental": {"total_quantity_sold": 2, "total_revenue": 2},
-    "stream_usage_hourly": {"credits": 6},
+    "stream_usage_hourly": {"credits": 9},
 }
 
 

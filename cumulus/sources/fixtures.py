@@ -105,12 +105,14 @@ def geocode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     c = _city_dim(spark, sf_dir)
     k = F.pmod(c.city_key, F.lit(5))
-    loc = F.when(k == 1, F.struct("latitude", "longitude")) \
-        .otherwise(F.struct("latitude", "longitude", "country"))
-    good = F.to_json(F.struct(F.array(loc).alias("results")))
+
+    def results(*cols):
+        return F.to_json(F.struct(F.array(F.struct(*cols)).alias("results")))
+
     doc = (F.when(c.city_key == 24, F.lit('{"results": [{"latitude": 1.0,'))
            .when(k == 0, F.lit('{"results": []}'))
-           .otherwise(good))
+           .when(k == 1, results("latitude", "longitude"))
+           .otherwise(results("latitude", "longitude", "country")))
     return c.select("city", doc.alias("doc"))
 
 
