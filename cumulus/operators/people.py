@@ -21,9 +21,8 @@ FALLBACK_PEOPLE = [
 
 def parse_people(pages: DataFrame) -> DataFrame:
     """``(doc_id, part, number, people)`` for well-formed documents."""
-    p = pages.select("doc_id", "part", docs.parse("doc", docs.PEOPLE).alias("d"))
-    p = p.filter(docs.is_valid(F.col("d")) & F.col("d.people").isNotNull())
-    return p.select("doc_id", "part", "d.number", "d.people")
+    p = docs.parse_valid(pages, "doc", docs.PEOPLE, keep=["doc_id", "part"])
+    return p.filter(F.col("people").isNotNull()).select("doc_id", "part", "number", "people")
 
 
 def fallback(spark: SparkSession) -> DataFrame:

@@ -53,10 +53,10 @@ def external_queries(pages: DataFrame, start, end, lag: timedelta = SOURCE_LAG)
     position ``pos`` so that "last one wins" deduplication has an order.
     """
     lo, hi = lagged_window(start, end, lag)
-    p = pages.select("page", docs.parse("doc", docs.EXTERNAL_QUERIES).alias("d"))
-    p = p.filter(docs.is_valid(F.col("d")))
-    ex = p.select("page", F.posexplode("d.externalQueries").alias("pos", "q"))
-    ex = ex.select("page", "pos", "q.queryId", *[f"q.{c}" for c in META], "q.queryTime")
+    p = docs.parse_valid(pages, "doc", docs.EXTERNAL_QUERIES, keep=["page"])
+    ex = p.select("page", F.posexplode("externalQueries").alias("pos", "q"))
+    ex = ex.select("page", "pos", "q.queryId", *[f"q.{c}" for c in META],
+                   F.col("q.queryTime").cast("timestamp_ntz").alias("queryTime"))
     return ex.filter((F.col("queryTime") >= F.lit(lo).cast("timestamp_ntz"))
                      & (F.col("queryTime") < F.lit(hi).cast("timestamp_ntz")))
 

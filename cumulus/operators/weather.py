@@ -87,9 +87,9 @@ def locations(geo_docs: DataFrame, cities: DataFrame | None = None) -> DataFrame
     first result; a missing country becomes 'Unknown'. ``cities`` (a one-
     column seed) restricts the output to configured cities.
     """
-    g = geo_docs.select("city", docs.parse("doc", docs.GEOCODE).alias("g"))
-    g = g.filter(docs.is_valid(F.col("g")) & (F.size("g.results") > 0))
-    first = F.get(F.col("g.results"), 0)
+    g = docs.parse_valid(geo_docs, "doc", docs.GEOCODE, keep=["city"])
+    g = g.filter(F.size("results") > 0)
+    first = F.get(F.col("results"), 0)
     out = g.select("city", F.coalesce(first["country"], F.lit(UNKNOWN_COUNTRY)).alias("country"),
                    first["latitude"].alias("latitude"), first["longitude"].alias("longitude"))
     if cities is not None:
@@ -102,9 +102,8 @@ def current_weather(wx_docs: DataFrame, now=None) -> DataFrame:
     from current-weather documents. Malformed documents are dropped; missing
     fields (or a missing ``current_weather``) default to 0. The reading time
     is the document's ``observed_at``, else ``now``."""
-    w = wx_docs.select("city", "observed_at", docs.parse("doc", docs.CURRENT_WEATHER).alias("w"))
-    w = w.filter(docs.is_valid(F.col("w")))
-    cw = F.col("w.current_weather")
+    w = docs.parse_valid(wx_docs, "doc", docs.CURRENT_WEATHER, keep=["city", "observed_at"])
+    cw = F.col("current_weather")
     return w.select(
         "city",
         F.coalesce(cw["temperature"], F.lit(0.0)).alias("temperature"),

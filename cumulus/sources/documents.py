@@ -42,7 +42,7 @@ EXTERNAL_QUERIES = T.StructType([
         T.StructField("dagId", T.StringType()),
         T.StructField("taskId", T.StringType()),
         T.StructField("namespace", T.StringType()),
-        T.StructField("queryTime", T.TimestampNTZType()),
+        T.StructField("queryTime", T.StringType()),  # ISO-8601; cast after parsing
     ]))),
     T.StructField(CORRUPT, T.StringType()),
 ])
@@ -56,8 +56,7 @@ PEOPLE = T.StructType([
     T.StructField(CORRUPT, T.StringType()),
 ])
 
-_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
-         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def parse(doc: Column | str, schema: T.StructType) -> Column:
@@ -66,6 +65,18 @@ def parse(doc: Column | str, schema: T.StructType) -> Column:
     return F.from_json(c, schema, _OPTS)
 
 
+def parse_valid(df: DataFrame, doc: str, schema: T.StructType, keep=()) -> DataFrame:
+    """``keep`` columns + the schema's top-level fields, well-formed documents only.
+
+    The parse runs inside a generator (``inline`` of a one-element array), so
+    it is evaluated exactly once per document: a filter on the parsed value
+    cannot be pushed below it and re-run the parser, and every later
+    projection reads the generator's output columns.
+    """
+    parsed = df.filter(F.col(doc).isNotNull()).select(*keep, F.inline(F.array(parse(doc, schema))))
+    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
 def is_valid(parsed: Column) -> Column:
     """True for a parsed document that was well-formed JSON."""
     return parsed.isNotNull() & parsed[CORRUPT].isNull()
@@ -74,8 +85,8 @@ def is_valid(parsed: Column) -> Column:
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One document per line from JSON-lines files, parsed with ``schema``.
 
-    Returns ``(doc_file, doc)`` where ``doc`` is the parsed struct; the file
-    name lets callers order pages when the source cares about order.
+    Returns ``doc_file`` plus the schema's top-level fields for well-formed
+    lines; the file name lets callers order pages when order matters.
     """
-    text = spark.read.text(path)
-    return text.select(F.input_file_name().alias("doc_file"), parse("value", schema).alias("doc"))
+    text = spark.read.text(path).select(F.input_file_name().alias("doc_file"), "value")
+    return parse_valid(text, "value", schema, keep=["doc_file"])
