@@ -47,10 +47,11 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType | None = None
 def publish(df: DataFrame, path: str, partition_by=("category", "type")) -> bool:
     """Publish metric rows partitioned by batch (category, type).
 
-    Skips the write when there is nothing to publish (one bounded
-    ``isEmpty`` probe); returns whether anything was written.
+    No emptiness probe runs before the write (that would evaluate the plan
+    twice): an empty id set already collapses the joins to an empty relation
+    at runtime (AQE), and an empty write leaves no data files. Whether
+    anything was published is read back from the written table, which
+    touches at most one row group.
     """
-    if df.isEmpty():
-        return False
     write_table(df, path, partition_by=list(partition_by))
-    return True
+    return not read_back(df.sparkSession, path, df.schema).isEmpty()

@@ -54,10 +54,14 @@ def test_conform_reorders_and_fills(spark):
     assert out.schema == schema and out.first() == ("x", 1, None)
 
 
-def test_publish_skips_empty(spark):
-    path = scratch_path(spark, "test_publish")
+def test_publish_reports_empty_and_nonempty(spark):
     empty = spark.createDataFrame([], "category string, type string, value double")
-    assert sinks.publish(empty, path) is False
+    assert sinks.publish(empty, scratch_path(spark, "test_publish")) is False
+    some = spark.createDataFrame([("COST", "T", 1.0), ("CUSTOM", "U", 2.0)],
+                                 "category string, type string, value double")
+    path = scratch_path(spark, "test_publish")
+    assert sinks.publish(some, path) is True
+    assert rows(sinks.read_back(spark, path, some.schema)) == [("COST", "T", 1.0), ("CUSTOM", "U", 2.0)]
 
 
 def test_stream_usage_equals_batch_closed_windows(spark):
