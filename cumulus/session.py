@@ -8,7 +8,6 @@ Only when the setting is absent (local tests) do we pick one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,7 +69,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique table location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/cumulus/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
