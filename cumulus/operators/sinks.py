@@ -27,10 +27,20 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, schema: T.StructType | None = None,
-                partition_by: list[str] | tuple[str, ...] = (), mode: str = "overwrite") -> None:
+                partition_by: list[str] | tuple[str, ...] = (), mode: str = "overwrite",
+                rebalance: bool = True) -> None:
     """Write Parquet; with ``partition_by`` an overwrite only replaces the
-    partitions present in ``df``."""
+    partitions present in ``df``.
+
+    Partitioned writes are rebalanced on the partition columns first (AQE
+    ``REBALANCE``): rows of one partition value go to few tasks, so each
+    output partition gets a few large files instead of one small file per
+    task, and a value holding a large share of rows is split across tasks
+    rather than landing in one.
+    """
     out = conform(df, schema) if schema is not None else df
+    if partition_by and rebalance:
+        out = out.hint("rebalance", *partition_by)
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)

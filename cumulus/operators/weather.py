@@ -196,7 +196,7 @@ def analytics(raw: DataFrame, constants: DataFrame, as_of, now=None,
 
 
 def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame, now=None,
-                        days: int = LOOKBACK_DAYS) -> DataFrame:
+                        days: int = LOOKBACK_DAYS, first=None, last=None) -> DataFrame:
     """Analytics for every date in ``dates`` (column ``analysis_date``) at once.
 
     Each analysis date d covers raw rows with ingestion_date in [d-days, d].
@@ -205,8 +205,16 @@ def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame,
     those small daily rows are fanned out to the ``days + 1`` analysis dates
     they belong to, then merged (Chan et al. parallel variance). The raw
     table is scanned once whatever the number of dates.
+
+    ``first`` / ``last`` (the earliest / latest analysis date, when known)
+    become literal bounds on ``ingestion_date`` so only the partitions in
+    [first - days, last] are read.
     """
     t = F.col("temperature")
+    if first is not None:
+        raw = raw.filter(F.col("ingestion_date") >= F.date_sub(_date(first), days))
+    if last is not None:
+        raw = raw.filter(F.col("ingestion_date") <= _date(last))
     daily = raw.groupBy(*GROUP_KEYS, "ingestion_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(t).alias("n_t"), F.avg(t).alias("mean_t"),
         (F.var_pop(t) * F.count(t)).alias("m2_t"), F.min(t).alias("min_t"), F.max(t).alias("max_t"),

@@ -197,7 +197,8 @@ def q_weather_historical(spark, d):
 
 def q_backfill_range(spark, d):
     dates = weather.date_spine(spark, BACKFILL_START, BACKFILL_END)
-    out = weather.analytics_for_dates(_raw(spark, d), weather.series_constants_20k(spark), dates, NOW)
+    out = weather.analytics_for_dates(_raw(spark, d), weather.series_constants_20k(spark), dates, NOW,
+                                      first=BACKFILL_START, last=BACKFILL_END)
     path = scratch_path(spark, "weather_analytics_backfill")
     sinks.write_table(out, path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
     return sinks.read_back(spark, path, WEATHER_ANALYTICS)

@@ -15,6 +15,7 @@ there, then stop) and keep their checkpoints under the shared
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,19 +45,28 @@ def weather_analytics_stream(spark: SparkSession, raw_path: str, analytics_path:
 
     Each micro-batch yields the ingestion dates it touched; every analysis
     date whose look-back window contains one of them (d .. d+days, capped
-    at ``as_of``) is recomputed from the whole raw table and its partition
-    replaced (dynamic overwrite), so replays and reruns are idempotent.
+    at ``as_of``) is recomputed from the raw partitions of its window only
+    (literal partition filters) and its partition replaced (dynamic
+    overwrite), so replays and reruns are idempotent.
     """
     src = spark.readStream.schema(WEATHER_RAW).parquet(raw_path)
-    cap = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    cap = date.today() if as_of is None else date.fromisoformat(str(as_of))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select("ingestion_date").distinct()
-        dates = touched.select(F.explode(F.sequence(
-            F.col("ingestion_date"), F.date_add("ingestion_date", days))).alias("analysis_date"))
-        dates = dates.filter(F.col("analysis_date") <= cap)
-        raw_all = batch.sparkSession.read.schema(WEATHER_RAW).parquet(raw_path)
-        out = weather.analytics_for_dates(raw_all, constants, dates, now, days)
+        # The distinct ingestion dates of a micro-batch are a handful of
+        # calendar days (bounded), so they are brought to the driver to become
+        # literal partition filters on the raw table.
+        touched = [r[0] for r in batch.select("ingestion_date").distinct().collect()
+                   if r[0] is not None]
+        wanted = sorted({d + timedelta(days=k) for d in touched for k in range(days + 1)
+                         if d + timedelta(days=k) <= cap})
+        if not wanted:
+            return
+        s = batch.sparkSession
+        dates = s.createDataFrame([(d,) for d in wanted], "analysis_date date")
+        raw_all = s.read.schema(WEATHER_RAW).parquet(raw_path)
+        out = weather.analytics_for_dates(raw_all, constants, dates, now, days,
+                                          first=wanted[0], last=wanted[-1])
         write_table(out, analytics_path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
 
     w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
