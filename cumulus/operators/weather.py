@@ -16,6 +16,14 @@ from ..functions import exprs as X
 from ..sources import documents as docs
 
 GROUP_KEYS = ["city", "country", "latitude", "longitude"]
+
+# The configured city list of the ingest (in configured order).
+DEFAULT_CITIES = [
+    "New York", "London", "Tokyo", "Paris", "Sydney",
+    "Mumbai", "Singapore", "Dubai", "Toronto", "Berlin",
+    "Moscow", "Beijing", "Seoul", "Bangkok", "Cairo",
+    "Istanbul", "Rome", "Madrid", "Amsterdam", "Vienna",
+]
 UNKNOWN_COUNTRY = "Unknown"
 LOOKBACK_DAYS = 7
 FIB_TERMS = 46  # n = 0..45
@@ -80,6 +88,11 @@ def fibonacci(spark: SparkSession, terms: int = FIB_TERMS) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- ingest
+def city_seed(spark: SparkSession, cities=tuple(DEFAULT_CITIES)) -> DataFrame:
+    """The configured cities as a one-column dimension (bounded by the config)."""
+    return spark.createDataFrame([(c,) for c in cities], "city string")
+
+
 def locations(geo_docs: DataFrame, cities: DataFrame | None = None) -> DataFrame:
     """``(city, country, latitude, longitude)`` from geocode documents.
 

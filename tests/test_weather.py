@@ -136,3 +136,13 @@ def test_derive_weather_schema_and_values(spark):
     assert r.temp_fahrenheit == 22.0 * 9 / 5 + 32 and r.temp_kelvin == 22.0 + 273.15
     assert r.wind_category == "Very Strong" and r.comfort_index is None
     assert [f.name for f in W.derive_weather(readings, consts).schema.fields] == WEATHER_RAW.names
+
+
+def test_city_seed_restricts_locations(spark):
+    geo = spark.createDataFrame([
+        ("London", '{"results":[{"latitude":51.5,"longitude":-0.1,"country":"United Kingdom"}]}'),
+        ("Nowhere", '{"results":[{"latitude":0.0,"longitude":0.0}]}')], "city string, doc string")
+    seed = W.city_seed(spark)
+    assert seed.count() == 20
+    got = rows(W.locations(geo, seed))
+    assert got == [("London", "United Kingdom", 51.5, -0.1)]
