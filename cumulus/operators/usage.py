@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import rfc3339
 from ..sources import documents as docs
 from ..sources.tables import USAGE_MEASURES
+from .joins import split_join
 
 META = ["assetId", "deploymentId", "runId", "dagId", "taskId", "namespace"]
 SOURCE_LAG = timedelta(hours=6)
@@ -73,25 +74,35 @@ def dedup_last(records: DataFrame) -> DataFrame:
     return last.select("queryId", *[F.col(f"r.{c}").alias(c) for c in META])
 
 
-def _ids(meta: DataFrame) -> DataFrame:
-    return meta.select(F.col("queryId").alias("query_id"))
+def _ids(listed: DataFrame) -> DataFrame:
+    return listed.select(F.col("queryId").alias("query_id"))
 
 
-def query_costs(attribution: DataFrame, meta: DataFrame) -> DataFrame:
-    """``SELECT query_id, end_time, credits_attributed_compute ... WHERE query_id IN (ids)``."""
-    return (attribution.join(_ids(meta), "query_id", "left_semi")
+def query_costs(attribution: DataFrame, listed: DataFrame) -> DataFrame:
+    """``SELECT query_id, end_time, credits_attributed_compute ... WHERE query_id IN (ids)``.
+
+    ``listed`` is any frame with ``queryId`` — duplicates do not change a
+    semi join, so the raw external records serve directly (no dedup
+    shuffle), and both join inputs stay plain shuffles that AQE can split.
+    """
+    return (attribution.join(_ids(listed), "query_id", "left_semi")
             .select("query_id", "end_time", "credits_attributed_compute"))
 
 
-def query_rows(history: DataFrame, meta: DataFrame) -> DataFrame:
-    """The nine usage columns for listed ids."""
-    return (history.join(_ids(meta), "query_id", "left_semi")
+def query_rows(history: DataFrame, listed: DataFrame) -> DataFrame:
+    """The nine usage columns for listed ids (see ``query_costs``)."""
+    return (history.join(_ids(listed), "query_id", "left_semi")
             .select("query_id", *USAGE_MEASURES, "end_time"))
 
 
 def _enrich(facts: DataFrame, meta: DataFrame) -> DataFrame:
+    """Inner join to the one-row-per-id metadata: filters and enriches at once.
+
+    The metadata side is an aggregate (last-wins dedup), which AQE's skew
+    split cannot handle, so hot query ids are split out explicitly.
+    """
     m = meta.withColumnRenamed("queryId", "query_id")
-    return facts.join(m, "query_id")
+    return split_join(facts, m, "query_id")
 
 
 def cost_metrics(attribution: DataFrame, meta: DataFrame) -> DataFrame:

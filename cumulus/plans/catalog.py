@@ -115,12 +115,16 @@ def q_usage_id_dedup(spark, d):
     return _meta(spark, d)
 
 
+def _listed(spark, d):
+    return usage.external_queries(fx.external_query_documents(spark, d), USAGE_START, USAGE_END)
+
+
 def q_usage_query_costs(spark, d):
-    return usage.query_costs(fx.attribution_history(spark, d), _meta(spark, d))
+    return usage.query_costs(fx.attribution_history(spark, d), _listed(spark, d))
 
 
 def q_usage_query_rows(spark, d):
-    return usage.query_rows(fx.query_history(spark, d), _meta(spark, d))
+    return usage.query_rows(fx.query_history(spark, d), _listed(spark, d))
 
 
 def q_usage_cost_metrics(spark, d):

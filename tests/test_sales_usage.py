@@ -112,3 +112,15 @@ def test_people_fallback_and_messages(spark):
     assert msgs[0].message == "Oleg Kononenko is currently in space flying on the ISS! Hello! :)"
     cnt = P.people_count(parsed).first()
     assert (cnt.number, cnt.listed, cnt.consistent) == (12, 12, True)
+
+
+def test_split_join_hot_keys_exact(spark):
+    from cumulus.operators.joins import hot_keys, split_join
+    big = spark.range(0, 3000).select((F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id") % 50))
+                                      .alias("k"), F.col("id").alias("v"))
+    small = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    assert hot_keys(big, "k", min_rows=500) == [7]
+    want = rows(big.join(small, "k"))
+    assert rows(split_join(big, small, "k", min_rows=500)) == want
+    assert rows(split_join(big, small, "k", min_rows=500, max_keys=0)) == want
+    assert rows(split_join(big, small, "k", "left_semi", min_rows=50)) == rows(big.join(small, "k", "left_semi"))
