@@ -97,3 +97,18 @@ def test_sales_stream_replay_is_idempotent(spark):
                                   fx.retail_orders(spark, SF_SMALL), path, ck)
     got = rows(inc.sales_from_partials(spark, path), "category", "total_quantity_sold")
     assert got == rows(catalog.q_sales_by_category(spark, SF_SMALL), "category", "total_quantity_sold")
+
+
+def test_invariants_on_fixture_tables(spark):
+    from cumulus.operators import usage, weather
+    meta = catalog._meta(spark, SF_SMALL)
+    attr, hist = fx.attribution_history(spark, SF_SMALL), fx.query_history(spark, SF_SMALL)
+    m = usage.all_metrics(attr, hist, meta)
+    n_cost = usage.query_costs(attr, meta).count()
+    n_use = usage.query_rows(hist, meta).count()
+    assert m.filter("category = 'COST'").count() == n_cost
+    assert m.filter("category = 'CUSTOM'").count() == 7 * n_use
+    a = catalog._analytics(spark, SF_SMALL)
+    fib = weather.city_fibonacci(a, weather.fibonacci(spark))
+    per_city = {r.city: r["count"] for r in a.groupBy("city").count().collect()}
+    assert {r.city: r.calculations for r in fib.collect()} == {c: 46 * n for c, n in per_city.items()}
