@@ -147,19 +147,20 @@ def flatten_weather_json(geo_docs: DataFrame, wx_docs: DataFrame, now=None,
 def derive_weather(readings: DataFrame, constants: DataFrame, load_timestamp=None) -> DataFrame:
     """The declared raw table: readings + load stamp + derived measures.
 
-    ``constants`` is the one-row ``series_constants_10m``; joining a single
-    aggregate row is a broadcast nested-loop join with a one-row build side.
+    ``constants`` is the one-row ``series_constants_10m``; its values enter
+    as scalar subqueries (computed once, merged into a single subquery by
+    the optimizer) — no join with the readings at all.
     """
-    j = readings.crossJoin(F.broadcast(constants))
+    total, avg, std = (constants.select(c).scalar() for c in ("total_calc", "avg_calc", "std_calc"))
     t, ws = F.col("temperature"), F.col("windspeed")
-    return j.select(
+    return readings.select(
         "city", "country", "latitude", "longitude", "temperature", "windspeed",
         "winddirection", "weathercode", "timestamp", "ingestion_date",
         _ts(load_timestamp).alias("load_timestamp"),
-        (X.c_to_f(t) + F.col("total_calc") * 0.00001).alias("temp_fahrenheit"),
-        (X.c_to_k(t) + F.col("avg_calc") * 0.00001).alias("temp_kelvin"),
+        (X.c_to_f(t) + total * 0.00001).alias("temp_fahrenheit"),
+        (X.c_to_k(t) + avg * 0.00001).alias("temp_kelvin"),
         X.wind_category(ws).alias("wind_category"),
-        X.comfort_index(t, ws, "latitude", F.col("std_calc")).alias("comfort_index"))
+        X.comfort_index(t, ws, "latitude", std).alias("comfort_index"))
 
 
 def wind_category_counts(raw: DataFrame) -> DataFrame:
@@ -191,13 +192,13 @@ def city_summary(raw: DataFrame, as_of, days: int = LOOKBACK_DAYS) -> DataFrame:
 
 
 def _analytics_columns(summary: DataFrame, constants: DataFrame, analysis_date: Column, now) -> DataFrame:
-    j = summary.crossJoin(F.broadcast(constants))
-    return j.select(
+    total, avg = (constants.select(c).scalar() for c in ("total_calc", "avg_calc"))
+    return summary.select(
         analysis_date.alias("analysis_date"), "city", "country", "latitude", "longitude",
-        (F.col("avg_temperature") + F.col("avg_calc") * 0.00001).alias("avg_temperature"),
+        (F.col("avg_temperature") + avg * 0.00001).alias("avg_temperature"),
         "min_temperature", "max_temperature", "temperature_variance",
         "avg_windspeed", "max_windspeed",
-        (F.col("comfort_score") + F.col("total_calc") * 0.00001).alias("comfort_score"),
+        (F.col("comfort_score") + total * 0.00001).alias("comfort_score"),
         "climate_zone", F.col("record_count").cast("bigint").alias("record_count"),
         _ts(now).alias("processing_timestamp"))
 
@@ -266,20 +267,19 @@ def city_fibonacci(analytics_df: DataFrame, fib: DataFrame) -> DataFrame:
     """Per city: ``COUNT(*)``, ``SUM`` and ``AVG`` of ``avg_temperature * fib_n``
     over every (analytics row, Fibonacci term) pair.
 
-    Since the pair product factorises, the sums are taken per city and per
-    term set and multiplied; no pairs are emitted.
+    Since the pair product factorises, the sums are taken per city and over
+    the term set (a scalar subquery) and multiplied; no pairs are emitted.
     """
-    terms = fib.agg(F.sum("fib_n").cast("double").alias("fib_sum"),
-                    F.count(F.lit(1)).alias("terms"))
+    fib_sum = fib.select(F.sum("fib_n").cast("double")).scalar()
+    terms = fib.select(F.count(F.lit(1))).scalar()
     per_city = analytics_df.groupBy("city").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("avg_temperature").alias("t_sum"),
         F.count("avg_temperature").alias("t_cnt"))
-    j = per_city.crossJoin(F.broadcast(terms))
-    total = F.col("t_sum") * F.col("fib_sum")
-    return j.select(
-        "city", (F.col("rows") * F.col("terms")).alias("calculations"),
+    total = F.col("t_sum") * fib_sum
+    return per_city.select(
+        "city", (F.col("rows") * terms).alias("calculations"),
         total.alias("total_product"),
-        F.try_divide(total, F.col("t_cnt") * F.col("terms")).alias("avg_product"))
+        F.try_divide(total, F.col("t_cnt") * terms).alias("avg_product"))
 
 
 def run_summary(analytics_df: DataFrame, as_of) -> DataFrame:
