@@ -26,13 +26,14 @@ from ..operators.sinks import read_back, write_table
 from ..sources.tables import WEATHER_ANALYTICS, WEATHER_RAW
 
 
-def _run(writer, available_now: bool = True, timeout_s: int | None = None):
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    q = writer.start()
-    if timeout_s:
-        q.awaitTermination(timeout_s)
-    else:
-        q.awaitTermination()
+def _run(writer, available_now: bool = True):
+    """Start a streaming query. With ``available_now`` it processes what is
+    there, stops, and is awaited (re-raising any failure); otherwise the
+    running query is returned to the caller."""
+    if not available_now:
+        return writer.start()
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return q
