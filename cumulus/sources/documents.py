@@ -77,11 +77,6 @@ def parse_valid(df: DataFrame, doc: str, schema: T.StructType, keep=()) -> DataF
     return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def is_valid(parsed: Column) -> Column:
-    """True for a parsed document that was well-formed JSON."""
-    return parsed.isNotNull() & parsed[CORRUPT].isNull()
-
-
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One document per line from JSON-lines files, parsed with ``schema``.
 

@@ -75,26 +75,26 @@ def _events_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumn("city_key", F.pmod(e.user_id, F.lit(25)).cast("int"))
 
 
+def _measures(j: DataFrame, spread: bool = False) -> list:
+    """Reading measures of an events-x-cities row (shared by table and JSON forms)."""
+    temp = j.value / 10 - 5
+    if spread:
+        temp = temp * (F.lit(0.05) + F.lit(0.1) * F.pmod(j.city_key, F.lit(5)))
+    return [temp.alias("temperature"),
+            (F.get_json_object(j.props, "$.k").cast("double") * 0.5).alias("windspeed"),
+            F.pmod(j.event_id * 37, F.lit(360)).cast("double").alias("winddirection"),
+            F.pmod(j.event_id, F.lit(100)).cast("int").alias("weathercode")]
+
+
 def weather_readings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """The ten reading columns, one row per event.
 
     ``spread`` scales temperature by a per-city factor so the sample variances
     fall into all three variance classes (used by ``variance_category_all``).
     """
-    e = _events_by_city(spark, sf_dir)
-    cities = _city_dim(spark, sf_dir)
-    j = e.join(cities, "city_key")
-    temp = j.value / 10 - 5
-    if spread:
-        temp = temp * (F.lit(0.05) + F.lit(0.1) * F.pmod(j.city_key, F.lit(5)))
-    return j.select(
-        "city", "country", "latitude", "longitude",
-        temp.alias("temperature"),
-        (F.get_json_object(j.props, "$.k").cast("double") * 0.5).alias("windspeed"),
-        F.pmod(j.event_id * 37, F.lit(360)).cast("double").alias("winddirection"),
-        F.pmod(j.event_id, F.lit(100)).cast("int").alias("weathercode"),
-        j.ts.alias("timestamp"),
-        F.to_date(j.ts).alias("ingestion_date"))
+    j = _events_by_city(spark, sf_dir).join(_city_dim(spark, sf_dir), "city_key")
+    return j.select("city", "country", "latitude", "longitude", *_measures(j, spread),
+                    j.ts.alias("timestamp"), F.to_date(j.ts).alias("ingestion_date"))
 
 
 def geocode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,12 +122,8 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     Defects on purpose: event_id % 7 = 0 omits temperature, % 11 = 0 has no
     ``current_weather`` at all, % 13 = 0 is truncated (malformed) JSON.
     """
-    rr = _events_by_city(spark, sf_dir).join(_city_dim(spark, sf_dir), "city_key").select(
-        "event_id", "city", F.col("ts").alias("observed_at"),
-        (F.col("value") / 10 - 5).alias("temperature"),
-        (F.get_json_object("props", "$.k").cast("double") * 0.5).alias("windspeed"),
-        F.pmod(F.col("event_id") * 37, F.lit(360)).cast("double").alias("winddirection"),
-        F.pmod(F.col("event_id"), F.lit(100)).cast("int").alias("weathercode"))
+    j = _events_by_city(spark, sf_dir).join(_city_dim(spark, sf_dir), "city_key")
+    rr = j.select("event_id", "city", j.ts.alias("observed_at"), *_measures(j))
     full = F.struct("temperature", "windspeed", "winddirection", "weathercode")
     no_temp = F.struct("windspeed", "winddirection", "weathercode")
     eid = rr.event_id

@@ -146,3 +146,19 @@ def test_city_seed_restricts_locations(spark):
     assert seed.count() == 20
     got = rows(W.locations(geo, seed))
     assert got == [("London", "United Kingdom", 51.5, -0.1)]
+
+
+def test_json_lines_file_source(spark):
+    import os
+    from cumulus.session import scratch_path
+    from cumulus.sources import documents as docs
+    path = scratch_path(spark, "landing")
+    os.makedirs(path.replace("file:", ""), exist_ok=True)
+    with open(os.path.join(path.replace("file:", ""), "geo.jsonl"), "w") as f:
+        f.write('{"results":[{"latitude":1.5,"longitude":2.5,"country":"Z"}]}\n')
+        f.write('{"results":[\n')
+        f.write('{"results":[]}\n')
+    got = docs.read_documents(spark, path, docs.GEOCODE)
+    assert got.columns == ["doc_file", "results"]
+    sizes = sorted(len(r.results) for r in got.collect())
+    assert sizes == [0, 1]  # the malformed line is dropped
