@@ -234,6 +234,18 @@ def q_stream_usage_hourly(spark, d):
     return sinks.read_back(spark, path, inc.HOURLY_USAGE)
 
 
+def q_stream_tumbling_30m(spark, d):
+    """Half-hourly event counts per type from an event stream (closed windows only)."""
+    ev = read_table(spark, d, "events")
+    src = inc.stream_source(spark, f"{d.rstrip('/')}/events*.parquet", ev.schema)
+    path = scratch_path(spark, "stream_tumbling_30m")
+    inc.tumbling_stream(src, "ts", "30 minutes", "30 minutes", path, scratch_path(spark, "ckpt"),
+                        keys=["event_type"], value="value")
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, event_type string, " \
+             "n bigint, total_value double"
+    return spark.read.schema(schema).parquet(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_customers": q_scan_customers,
     "scan_products": q_scan_products,
@@ -277,6 +289,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_weather_incremental": q_stream_weather_incremental,
     "stream_sales_incremental": q_stream_sales_incremental,
     "stream_usage_hourly": q_stream_usage_hourly,
+    "stream_tumbling_30m": q_stream_tumbling_30m,
 }
 
 # Double columns fixed to N decimals in both engines before comparison
@@ -307,6 +320,7 @@ ROUNDING: dict[str, dict[str, int]] = {
     "tumbling_1d": {"total_value": 4},
     "stream_sales_incremental": {"total_quantity_sold": 2, "total_revenue": 2},
     "stream_usage_hourly": {"credits": 9},
+    "stream_tumbling_30m": {"total_value": 4},
 }
 
 

@@ -116,26 +116,39 @@ HOURLY_USAGE = T.StructType([
 ])
 
 
-def usage_hourly_stream(spark: SparkSession, usage_stream: DataFrame, sink_path: str,
-                        checkpoint: str, lag: str = "6 hours", width: str = "1 hour",
-                        available_now: bool = True):
-    """Hourly query count and credits per event-time window.
-
-    The watermark trails the latest ``end_time`` by the source's lag; a
-    window is emitted once, when the watermark passes its end, and rows
-    arriving later than that are dropped (append mode).
+def tumbling_stream(stream: DataFrame, ts_col: str, width: str, lag: str, sink_path: str,
+                    checkpoint: str, keys=(), value: str | None = None,
+                    value_name: str = "total_value", available_now: bool = True):
+    """Event-time tumbling windows over a stream, emitted once when closed.
+
+    The watermark trails the latest event time by ``lag``; a window (per
+    ``keys``) is appended to the Parquet sink when the watermark passes its
+    end, and rows arriving after that are dropped. State holds only open
+    windows, so it stays bounded however long the stream runs.
     """
-    s = usage_stream.withColumn("event_time", F.col("end_time").cast("timestamp"))
-    agg = (s.withWatermark("event_time", lag)
-           .groupBy(F.window("event_time", width).alias("w"))
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("credits_attributed_compute").alias("credits")))
+    s = stream.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if value:
+        aggs.append(F.sum(value).alias(value_name))
+    agg = (s.withWatermark("_event_time", lag)
+           .groupBy(F.window("_event_time", width).alias("w"), *keys).agg(*aggs))
     out = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "n", "credits")
+                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys,
+                     *[a for a in ["n", value_name] if a in agg.columns])
     w = (out.writeStream.format("parquet").outputMode("append")
          .option("path", sink_path).option("checkpointLocation", checkpoint))
     return _run(w, available_now)
 
 
+def usage_hourly_stream(spark: SparkSession, usage_stream: DataFrame, sink_path: str,
+                        checkpoint: str, lag: str = "6 hours", width: str = "1 hour",
+                        available_now: bool = True):
+    """Hourly query count and credits, tolerating the usage source's 6 h lag."""
+    return tumbling_stream(usage_stream, "end_time", width, lag, sink_path, checkpoint,
+                           value="credits_attributed_compute", value_name="credits",
+                           available_now=available_now)
+
+
 def stream_source(spark: SparkSession, path_glob: str, schema: T.StructType,
                   mapper: Callable[[DataFrame], DataFrame] | None = None,
                   max_files_per_trigger: int | None = None) -> DataFrame:
