@@ -119,8 +119,10 @@ def test_split_join_hot_keys_exact(spark):
     big = spark.range(0, 3000).select((F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id") % 50))
                                       .alias("k"), F.col("id").alias("v"))
     small = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    assert hot_keys(big, "k", min_rows=500) == [7]
+    assert hot_keys(big, "k", min_rows=500, fraction=1.0) == [7]
+    assert hot_keys(big, "k", min_rows=500, fraction=0.5) == [7]
     want = rows(big.join(small, "k"))
-    assert rows(split_join(big, small, "k", min_rows=500)) == want
-    assert rows(split_join(big, small, "k", min_rows=500, max_keys=0)) == want
-    assert rows(split_join(big, small, "k", "left_semi", min_rows=50)) == rows(big.join(small, "k", "left_semi"))
+    assert rows(split_join(big, small, "k", min_rows=500, fraction=1.0)) == want
+    assert rows(split_join(big, small, "k", min_rows=500, max_keys=0, fraction=1.0)) == want
+    assert rows(split_join(big, small, "k", "left_semi", min_rows=50, fraction=1.0)) == \
+        rows(big.join(small, "k", "left_semi"))
