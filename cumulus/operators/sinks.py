@@ -11,17 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import COLUMN_DEFAULTS
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+
+def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, str] | None = None) -> DataFrame:
     """Select the declared columns by name, in declared order, cast to declared types.
 
-    Columns the input lacks become NULL of the declared type (explicit
-    column-list insert). Reordering by name first makes a positional insert
-    safe.
+    A column the input lacks takes its declared default (``COLUMN_DEFAULTS``,
+    e.g. the load time) or else NULL of the declared type — an INSERT with
+    an explicit column list. Reordering by name first makes a positional
+    insert safe.
     """
+    defaults = COLUMN_DEFAULTS if defaults is None else defaults
     cols = []
     for f in schema.fields:
-        c = F.col(f.name) if f.name in df.columns else F.lit(None)
+        if f.name in df.columns:
+            c = F.col(f.name)
+        elif f.name in defaults:
+            c = F.expr(defaults[f.name])
+        else:
+            c = F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
 

@@ -52,6 +52,14 @@ WEATHER_ANALYTICS = _schema(
 WEATHER_HISTORICAL = _schema(*[(f.name, f.dataType) for f in WEATHER_ANALYTICS.fields],
                              ("dag_run_id", S))
 
+# Declared column defaults (``DEFAULT CURRENT_TIMESTAMP()``): a write whose
+# input omits the column fills it with the load time, as an INSERT with an
+# explicit column list does.
+COLUMN_DEFAULTS = {
+    "load_timestamp": "localtimestamp()",
+    "processing_timestamp": "localtimestamp()",
+}
+
 METRICS = _schema(
     ("category", S), ("type", S), ("value", D), ("assetId", S), ("deploymentId", S),
     ("runId", S), ("dagId", S), ("taskId", S), ("namespace", S), ("timestamp", S))

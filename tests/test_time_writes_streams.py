@@ -54,6 +54,13 @@ def test_conform_reorders_and_fills(spark):
     assert out.schema == schema and out.first() == ("x", 1, None)
 
 
+def test_omitted_column_takes_declared_default(spark):
+    from cumulus.sources.tables import WEATHER_RAW
+    df = spark.createDataFrame([("A", 1.0)], "city string, temperature double")
+    r = sinks.conform(df, WEATHER_RAW).first()
+    assert r.load_timestamp is not None and r.comfort_index is None and r.city == "A"
+
+
 def test_publish_reports_empty_and_nonempty(spark):
     empty = spark.createDataFrame([], "category string, type string, value double")
     assert sinks.publish(empty, scratch_path(spark, "test_publish")) is False
