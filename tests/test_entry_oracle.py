@@ -66,3 +66,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(got) == len(want)
     for g, w in zip(got, want):
         assert all(_same(x, y) for x, y in zip(g, w)), (g, w)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_pair_joins_or_python_udfs(spark, name):
+    import contextlib
+    import io
+    df = E.queries()[name](spark, SF_SMALL)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="extended")
+    plan = buf.getvalue()
+    assert not [op for op in FORBIDDEN if op in plan], plan
