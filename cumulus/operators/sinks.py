@@ -37,9 +37,10 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, str] | None
 
 def write_table(df: DataFrame, path: str, schema: T.StructType | None = None,
                 partition_by: list[str] | tuple[str, ...] = (), mode: str = "overwrite",
-                rebalance: bool = True) -> None:
+                rebalance: bool = True, replace_all: bool = False) -> None:
     """Write Parquet; with ``partition_by`` an overwrite only replaces the
-    partitions present in ``df``.
+    partitions present in ``df`` — unless ``replace_all`` (create-or-replace:
+    the whole table is replaced, partitions absent from ``df`` included).
 
     Partitioned writes are rebalanced on the partition columns first (AQE
     ``REBALANCE``): rows of one partition value go to few tasks, so each
@@ -50,7 +51,7 @@ def write_table(df: DataFrame, path: str, schema: T.StructType | None = None,
     out = conform(df, schema) if schema is not None else df
     if partition_by and rebalance:
         out = out.hint("rebalance", *partition_by)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    w = out.write.mode(mode).option("partitionOverwriteMode", "static" if replace_all else "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -45,6 +45,24 @@ def test_dynamic_overwrite_is_idempotent_and_keeps_other_partitions(spark):
     assert back.columns == WEATHER_HISTORICAL.names
 
 
+def test_replace_all_drops_other_partitions(spark):
+    path = scratch_path(spark, "test_replace")
+    a = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0), (dt.date(2024, 1, 2), 2.0)], "d date, v double")
+    b = spark.createDataFrame([(dt.date(2024, 1, 2), 3.0)], "d date, v double")
+    sinks.write_table(a, path, partition_by=["d"])
+    sinks.write_table(b, path, partition_by=["d"])
+    assert rows(sinks.read_back(spark, path, a.schema)) == [(dt.date(2024, 1, 1), 1.0), (dt.date(2024, 1, 2), 3.0)]
+    sinks.write_table(b, path, partition_by=["d"], replace_all=True)
+    assert rows(sinks.read_back(spark, path, a.schema)) == [(dt.date(2024, 1, 2), 3.0)]
+
+
+def test_run_summary_one_row_when_empty(spark):
+    from cumulus.operators import weather
+    a = catalog._analytics(spark, SF_SMALL).limit(0)
+    r = weather.run_summary(a, catalog.AS_OF).collect()
+    assert len(r) == 1 and r[0].cities_analyzed == 0 and r[0].global_avg_temp is None
+
+
 def test_conform_reorders_and_fills(spark):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
     from pyspark.sql import types as T
