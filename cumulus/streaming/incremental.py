@@ -15,7 +15,7 @@ there, then stop) and keep their checkpoints under the shared
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +51,7 @@ def weather_analytics_stream(spark: SparkSession, raw_path: str, analytics_path:
     overwrite), so replays and reruns are idempotent.
     """
     src = spark.readStream.schema(WEATHER_RAW).parquet(raw_path)
-    cap = date.today() if as_of is None else date.fromisoformat(str(as_of))
+    cap = datetime.now(timezone.utc).date() if as_of is None else date.fromisoformat(str(as_of))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         # The distinct ingestion dates of a micro-batch are a handful of
