@@ -36,6 +36,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def as_date(d) -> Column:
+    """A date parameter (ISO string, date or Column) as a DATE column."""
+    return d if isinstance(d, Column) else F.lit(str(d)).cast("date")
+
+
+def as_timestamp(t) -> Column:
+    """A timestamp parameter as TIMESTAMP_NTZ; ``None`` means the current time."""
+    if t is None:
+        return F.localtimestamp()
+    return t if isinstance(t, Column) else F.lit(str(t)).cast("timestamp_ntz")
+
+
 def c_to_f(c: Column | str) -> Column:
     """Celsius to Fahrenheit, evaluated left to right as ``t*9/5+32``."""
     return _col(c) * 9 / 5 + 32

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import c_to_f, round_half_up, variance_category
-from .weather import _date
+from ..functions.exprs import as_date, c_to_f, round_half_up, variance_category
 
 
 
@@ -21,7 +20,7 @@ def _tie():
 
 
 def _today(a: DataFrame, as_of) -> DataFrame:
-    return a.filter(F.col("analysis_date") == _date(as_of))
+    return a.filter(F.col("analysis_date") == as_date(as_of))
 
 
 def temp_ranking(a: DataFrame, as_of, k: int = 10) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .weather import _date
+from ..functions.exprs import as_date
 
 
 def tumbling(df: DataFrame, ts: str, width: str, keys=(), value: str | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def missing_intervals(loaded: DataFrame, day_col: str, start, end, keys=()) -> D
     side is reduced to distinct (key, day) before the anti join.
     """
     have = loaded.select(*keys, F.col(day_col).alias("day")).distinct()
-    days = F.explode(F.sequence(_date(start), _date(end))).alias("day")
+    days = F.explode(F.sequence(as_date(start), as_date(end))).alias("day")
     if keys:
         spine = loaded.select(*keys).distinct().select(*keys, days)
     else:

@@ -29,16 +29,6 @@ LOOKBACK_DAYS = 7
 FIB_TERMS = 46  # n = 0..45
 
 
-def _date(d) -> Column:
-    return d if isinstance(d, Column) else F.lit(str(d)).cast("date")
-
-
-def _ts(t) -> Column:
-    if t is None:
-        return F.localtimestamp()
-    return t if isinstance(t, Column) else F.lit(str(t)).cast("timestamp_ntz")
-
-
 # --------------------------------------------------------------------------- constants
 def series_constants_10m(spark: SparkSession) -> DataFrame:
     """One row ``(total_calc, avg_calc, std_calc)`` of
@@ -123,7 +113,7 @@ def current_weather(wx_docs: DataFrame, now=None) -> DataFrame:
         F.coalesce(cw["windspeed"], F.lit(0.0)).alias("windspeed"),
         F.coalesce(cw["winddirection"], F.lit(0.0)).alias("winddirection"),
         F.coalesce(cw["weathercode"], F.lit(0)).alias("weathercode"),
-        F.coalesce(F.col("observed_at").cast("timestamp_ntz"), _ts(now)).alias("timestamp"))
+        F.coalesce(F.col("observed_at").cast("timestamp_ntz"), X.as_timestamp(now)).alias("timestamp"))
 
 
 def flatten_weather_json(geo_docs: DataFrame, wx_docs: DataFrame, now=None,
@@ -156,7 +146,7 @@ def derive_weather(readings: DataFrame, constants: DataFrame, load_timestamp=Non
     return readings.select(
         "city", "country", "latitude", "longitude", "temperature", "windspeed",
         "winddirection", "weathercode", "timestamp", "ingestion_date",
-        _ts(load_timestamp).alias("load_timestamp"),
+        X.as_timestamp(load_timestamp).alias("load_timestamp"),
         (X.c_to_f(t) + total * 0.00001).alias("temp_fahrenheit"),
         (X.c_to_k(t) + avg * 0.00001).alias("temp_kelvin"),
         X.wind_category(ws).alias("wind_category"),
@@ -186,7 +176,7 @@ def city_summary(raw: DataFrame, as_of, days: int = LOOKBACK_DAYS) -> DataFrame:
     row). Partial aggregation runs before the shuffle, so the exchange
     carries one row per city per task however skewed the cities are.
     """
-    r = raw.filter(F.col("ingestion_date") >= F.date_sub(_date(as_of), days))
+    r = raw.filter(F.col("ingestion_date") >= F.date_sub(X.as_date(as_of), days))
     return (r.groupBy(*GROUP_KEYS).agg(*_summary_aggs())
             .withColumn("climate_zone", X.climate_zone("latitude")))
 
@@ -200,13 +190,13 @@ def _analytics_columns(summary: DataFrame, constants: DataFrame, analysis_date:
         "avg_windspeed", "max_windspeed",
         (F.col("comfort_score") + total * 0.00001).alias("comfort_score"),
         "climate_zone", F.col("record_count").cast("bigint").alias("record_count"),
-        _ts(now).alias("processing_timestamp"))
+        X.as_timestamp(now).alias("processing_timestamp"))
 
 
 def analytics(raw: DataFrame, constants: DataFrame, as_of, now=None,
               days: int = LOOKBACK_DAYS) -> DataFrame:
     """The declared analytics table for one analysis date."""
-    return _analytics_columns(city_summary(raw, as_of, days), constants, _date(as_of), now)
+    return _analytics_columns(city_summary(raw, as_of, days), constants, X.as_date(as_of), now)
 
 
 def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame, now=None,
@@ -226,9 +216,9 @@ def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame,
     """
     t = F.col("temperature")
     if first is not None:
-        raw = raw.filter(F.col("ingestion_date") >= F.date_sub(_date(first), days))
+        raw = raw.filter(F.col("ingestion_date") >= F.date_sub(X.as_date(first), days))
     if last is not None:
-        raw = raw.filter(F.col("ingestion_date") <= _date(last))
+        raw = raw.filter(F.col("ingestion_date") <= X.as_date(last))
     daily = raw.groupBy(*GROUP_KEYS, "ingestion_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(t).alias("n_t"), F.avg(t).alias("mean_t"),
         (F.var_pop(t) * F.count(t)).alias("m2_t"), F.min(t).alias("min_t"), F.max(t).alias("max_t"),
@@ -260,7 +250,7 @@ def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame,
 
 def date_spine(spark: SparkSession, start, end) -> DataFrame:
     """``analysis_date`` for every day in [start, end]."""
-    return spark.range(1).select(F.explode(F.sequence(_date(start), _date(end))).alias("analysis_date"))
+    return spark.range(1).select(F.explode(F.sequence(X.as_date(start), X.as_date(end))).alias("analysis_date"))
 
 
 def city_fibonacci(analytics_df: DataFrame, fib: DataFrame) -> DataFrame:
@@ -283,7 +273,7 @@ def city_fibonacci(analytics_df: DataFrame, fib: DataFrame) -> DataFrame:
 
 
 def run_summary(analytics_df: DataFrame, as_of) -> DataFrame:
-    a = analytics_df.filter(F.col("analysis_date") == _date(as_of))
+    a = analytics_df.filter(F.col("analysis_date") == X.as_date(as_of))
     return a.agg(
         F.count_distinct("city").alias("cities_analyzed"),
         F.avg("avg_temperature").alias("global_avg_temp"),
