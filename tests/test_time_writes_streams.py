@@ -158,3 +158,27 @@ def test_weather_stream_with_late_data_equals_full_recompute(spark):
     want = weather.analytics_for_dates(raw, consts, dates, catalog.NOW)
     cols = ["analysis_date", "city", "record_count", "min_temperature", "max_temperature"]
     assert rows(got, *cols) == rows(want, *cols)
+
+
+def test_tumbling_stream_drops_rows_later_than_watermark(spark):
+    landing, sink = scratch_path(spark, "late_landing"), scratch_path(spark, "late_sink")
+    ckpt = scratch_path(spark, "late_ckpt2")
+    schema = "end_time timestamp_ntz, credits_attributed_compute double"
+    t = dt.datetime(2024, 1, 1)
+
+    def land(batch, name):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{landing}/{name}")
+
+    def run():
+        src = spark.readStream.schema(schema).parquet(f"{landing}/*")
+        inc.usage_hourly_stream(spark, src, sink, ckpt)
+        return {r.window_start: (r.n, r.credits)
+                for r in sinks.read_back(spark, sink, inc.HOURLY_USAGE).collect()}
+
+    land([(t, 1.0), (t + dt.timedelta(minutes=30), 2.0), (t + dt.timedelta(hours=8), 4.0)], "a")
+    first = run()  # watermark = 08:00 - 6 h = 02:00 -> the 00:00 and 01:00 windows can close
+    assert first == {t: (2, 3.0)}
+    # 00:10 is now later than the watermark (dropped); 09:00 moves the watermark to 03:00
+    land([(t + dt.timedelta(minutes=10), 100.0), (t + dt.timedelta(hours=9), 8.0)], "b")
+    second = run()
+    assert second == {t: (2, 3.0)}
