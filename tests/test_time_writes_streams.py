@@ -182,3 +182,19 @@ def test_tumbling_stream_drops_rows_later_than_watermark(spark):
     land([(t + dt.timedelta(minutes=10), 100.0), (t + dt.timedelta(hours=9), 8.0)], "b")
     second = run()
     assert second == {t: (2, 3.0)}
+
+
+def test_sales_stream_many_batches_sum_to_batch_result(spark):
+    landing = scratch_path(spark, "items_landing")
+    li = read_table(spark, SF_SMALL, "lineitem")
+    li.repartition(3, "l_orderkey").write.parquet(landing)  # three files -> three micro-batches
+    items = inc.stream_source(spark, landing, li.schema, fx.order_items_from, max_files_per_trigger=1)
+    path = scratch_path(spark, "items_partials")
+    q = inc.sales_category_stream(spark, items, fx.retail_products(spark, SF_SMALL),
+                                  fx.retail_orders(spark, SF_SMALL), path, scratch_path(spark, "ck"))
+    assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 3
+    got = {r.category: (r.total_quantity_sold, round(r.total_revenue, 4))
+           for r in inc.sales_from_partials(spark, path).collect()}
+    want = {r.category: (r.total_quantity_sold, round(r.total_revenue, 4))
+            for r in catalog.q_sales_by_category(spark, SF_SMALL).collect()}
+    assert got == want
