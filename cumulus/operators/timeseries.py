@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_date
+from ..functions.exprs import as_date, as_timestamp
 
 
 def tumbling(df: DataFrame, ts: str, width: str, keys=(), value: str | None = None) -> DataFrame:
@@ -36,3 +36,21 @@ def missing_intervals(loaded: DataFrame, day_col: str, start, end, keys=()) -> D
     else:
         spine = loaded.sparkSession.range(1).select(days)
     return spine.join(have, [*keys, "day"], "left_anti")
+
+
+def missing_slots(loaded: DataFrame, ts_col: str, start, end, width: str, keys=()) -> DataFrame:
+    """Fixed-width time slots (e.g. the half-hourly ingest runs) in
+    [start, end] with no loaded rows, per key.
+
+    Slot starts are epoch-aligned like ``tumbling``; the spine is one
+    exploded timestamp sequence per distinct key (bounded by calendar x
+    keys), the loaded side is reduced to distinct (key, slot) first.
+    """
+    have = loaded.select(*keys, F.window(F.col(ts_col), width)["start"].alias("slot")).distinct()
+    slots = F.explode(F.sequence(as_timestamp(start), as_timestamp(end),
+                                 F.expr(f"INTERVAL {width}"))).alias("slot")
+    if keys:
+        spine = loaded.select(*keys).distinct().select(*keys, slots)
+    else:
+        spine = loaded.sparkSession.range(1).select(slots)
+    return spine.join(have, [*keys, "slot"], "left_anti")

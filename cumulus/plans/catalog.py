@@ -180,6 +180,13 @@ def q_missing_days(spark, d):
                                         CATCHUP_START, AS_OF, keys=["city"])
 
 
+def q_missing_slots_30m(spark, d):
+    """Half-hourly ingest slots with no reading, per city (catch-up at the ingest's cadence)."""
+    return timeseries.missing_slots(fx.weather_readings(spark, d), "timestamp",
+                                    f"{CATCHUP_START} 00:00:00", f"{AS_OF} 23:30:00",
+                                    "30 minutes", keys=["city"])
+
+
 def q_weather_raw_roundtrip(spark, d):
     """JSON sources -> readings -> derived raw -> partitioned write -> read back."""
     readings = weather.flatten_weather_json(fx.geocode_documents(spark, d),
@@ -283,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_1h": _tumbling("1 hour"),
     "tumbling_1d": _tumbling("1 day"),
     "missing_days": q_missing_days,
+    "missing_slots_30m": q_missing_slots_30m,
     "weather_raw_roundtrip": q_weather_raw_roundtrip,
     "weather_historical": q_weather_historical,
     "backfill_range": q_backfill_range,
