@@ -11,8 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import read
+from . import simhash, toxicity
+from .common import held_out, read
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), usable=~held_out(4, 2))
+    return (toxicity.score(docs, model)
+            .select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +28,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_toxicity": op6_toxicity,
     "op10_simhash": op10_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
