@@ -25,6 +25,7 @@ fit is gathered; scoring covers every word of every text.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,8 +41,9 @@ COMMON = 0.05  # share of toxic documents from which a witness is also learnt wi
 DECAY = 0.7
 PIECE = 64  # longer words are scored in overlapping pieces of this length
 CACHE = 300_000  # words whose scores a worker remembers
+BLOCK = 4000  # words scored together
 DOCS = 256  # texts scored together
-MAX_LABELLED = 6000  # bound of the labelled sample: rows with the smallest hash of their id
+MAX_LABELLED = 3000  # bound of the labelled sample: rows with the smallest hash of their id
 LANDMARKS = 256
 NEGATIVES = 4000
 THRESHOLD = 0.3
@@ -137,8 +139,8 @@ class Scorer:
             self.seen.clear()
         seen = self.seen
         new = list({w for s in sets for w in s if w not in seen})
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
+        for at in range(0, len(new), BLOCK):
+            part = new[at:at + BLOCK]
             seen.update(zip(part, self.model.margins(part).tolist()))
         tops = np.full((len(texts), 3), FLOOR)
         for i, s in enumerate(sets):
@@ -198,19 +200,19 @@ def _nystrom(landmarks: list[str], words: list[str], y: np.ndarray, weight: np.n
     column = np.full(1 << 18, -1, np.int64)
     column[used] = np.arange(len(used))
     z = np.zeros((len(words), int(keep.sum())))
-    for at in range(0, len(words), 1000):
-        own, gram, value = trigrams(words[at:at + 1000])
+    for at in range(0, len(words), 500):
+        own, gram, value = trigrams(words[at:at + 500])
         c = column[gram]
-        x = np.zeros((len(words[at:at + 1000]), len(used)))
+        x = np.zeros((len(words[at:at + 500]), len(used)))
         x[own[c >= 0], c[c >= 0]] = value[c >= 0]
-        z[at:at + 1000] = x @ phi.T @ half
+        z[at:at + 500] = x @ phi.T @ half
     beta, bias = _svm(z, y, weight, ridge)
     weights = np.zeros(1 << 18)
     weights[used] = phi.T @ (half @ beta)
     return weights, bias
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 5, ridge: float = 0.01) -> Model | None:
+def fit(texts: list[str], labels: list[int], rounds: int = 4, ridge: float = 0.01) -> Model | None:
     """Model from labelled texts; None without both labels or
     without a word that tells them apart. Same rows, same model."""
     toxic = np.array(labels, bool)
@@ -222,7 +224,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 5, ridge: float = 0.0
         for sentence in SENTENCE.split(t):
             bag.update(normal(w)[:PIECE] for w in tokens(sentence))
         bag.discard("")
-        bags.append(sorted(bag))
+        bags.append(sorted(map(sys.intern, bag)))
     df = [Counter(), Counter()]
     for bag, t in zip(bags, toxic):
         df[int(t)].update(bag)
@@ -266,7 +268,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 5, ridge: float = 0.0
         landmarks = lead + negative[::max(1, len(negative) // (LANDMARKS - len(lead)))][:LANDMARKS - len(lead)]
         weights, bias = _nystrom(landmarks, words, y, weight / weight.mean(), ridge)
         model = Model(weights, bias, np.zeros(4))
-        f = model.margins(every)
+        f = np.concatenate([model.margins(every[at:at + BLOCK]) for at in range(0, len(every), BLOCK)])
     score = Scorer(model)
     tops = np.vstack([score.tops(texts[at:at + DOCS]) for at in range(0, len(texts), DOCS)])
     use = np.ones(3, bool)  # a higher margin never lowers the probability
