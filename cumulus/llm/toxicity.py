@@ -107,15 +107,14 @@ class Model:
     bias: float
     top: np.ndarray  # logistic weights of the three highest margins, and the intercept
 
-    def margins(self, raw: list[str]) -> np.ndarray:
-        """SVM margin of each raw word."""
+    def margins(self, words: list[str]) -> np.ndarray:
+        """SVM margin of each normal word."""
         pieces, owner = [], []
-        for i, w in enumerate(raw):
-            w = normal(w)
+        for i, w in enumerate(words):
             for at in range(0, max(1, len(w) - 8), PIECE - 8):
                 pieces.append(w[at:at + PIECE])
                 owner.append(i)
-        out = np.full(len(raw), FLOOR)
+        out = np.full(len(words), FLOOR)
         own, gram, value = trigrams(pieces)
         f = np.bincount(own, value * self.weights[gram], len(pieces)) + self.bias
         f[np.fromiter(map(len, pieces), np.int64, len(pieces)) == 0] = FLOOR
@@ -130,18 +129,21 @@ class Scorer:
     """Scores texts with a bounded memory of words already seen."""
 
     def __init__(self, model: Model):
-        self.model, self.seen = model, {}
+        self.model, self.seen, self.known = model, {}, {}
 
     def tops(self, texts: list[str]) -> np.ndarray:
         """The three highest word margins of each text."""
         sets = [tokens(t) for t in texts]
-        if len(self.seen) > CACHE:
+        if len(self.seen) > CACHE:  # raw words, and normal words below
             self.seen.clear()
-        seen = self.seen
-        new = list({w for s in sets for w in s if w not in seen})
-        for at in range(0, len(new), BLOCK):
-            part = new[at:at + BLOCK]
-            seen.update(zip(part, self.model.margins(part).tolist()))
+            self.known.clear()
+        seen, known = self.seen, self.known
+        new = {w: normal(w) for s in sets for w in s if w not in seen}
+        missing = list({n for n in new.values() if n not in known})
+        for at in range(0, len(missing), BLOCK):
+            part = missing[at:at + BLOCK]
+            known.update(zip(part, self.model.margins(part).tolist()))
+        seen.update((w, known[n]) for w, n in new.items())
         tops = np.full((len(texts), 3), FLOOR)
         for i, s in enumerate(sets):
             best = nlargest(3, map(seen.__getitem__, s))
@@ -271,6 +273,8 @@ def fit(texts: list[str], labels: list[int], rounds: int = 4, ridge: float = 0.0
         f = np.concatenate([model.margins(every[at:at + BLOCK]) for at in range(0, len(every), BLOCK)])
     score = Scorer(model)
     tops = np.vstack([score.tops(texts[at:at + DOCS]) for at in range(0, len(texts), DOCS)])
+    alone = tops[toxic & (tops[:, 0] > 1)] * [1, 0, 0] + [0, FLOOR, FLOOR]  # one clear witness is enough
+    tops, toxic = np.vstack([tops, alone]), np.concatenate([toxic, np.ones(len(alone), bool)])
     use = np.ones(3, bool)  # a higher margin never lowers the probability
     while (top := _logistic(tops * use, toxic.astype(float)))[:3].min() < -1e-9:
         use &= top[:3] > 0
