@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, simhash, toxicity
+from . import mixing, packing, quality_rules, simhash, toxicity
 from .common import held_out, read
 
 
@@ -25,6 +25,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), usable=~held_out(4, 2))
@@ -40,6 +44,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_mixing": op3_mixing,
+    "op4_packing": op4_packing,
     "op6_toxicity": op6_toxicity,
     "op10_simhash": op10_simhash,
 }
