@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules, simhash, toxicity
+from . import license_scan, mixing, packing, quality_rules, rp_forest, simhash, toxicity
 from .common import held_out, read
 
 
@@ -21,6 +21,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "distance")
 
 
+def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.link(read(spark, sf_dir, "embeddings"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(read(spark, sf_dir, "documents")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), usable=~held_out(4, 2))
@@ -43,8 +51,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_rp_forest": op2_rp_forest,
     "op3_mixing": op3_mixing,
     "op4_packing": op4_packing,
+    "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op10_simhash": op10_simhash,
 }
