@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, packing, quality_rules, rp_forest, simhash, toxicity
+from . import html_main, license_scan, mixing, packing, quality_classifier, quality_rules, rp_forest, simhash, toxicity
 from .common import held_out, read
 
 
@@ -44,6 +44,19 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    vectors = quality_classifier.scaled(quality_classifier.contexts(docs))
+    net = quality_classifier.train(docs, read(spark, sf_dir, "labels"), vectors, usable=~held_out(5, 0))
+    return (quality_classifier.score(docs, vectors, net)
+            .select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted"))
+
+
+def op9_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return html_main.main_text(pages, html_main.learn(pages))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), k=3, bits=2)
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
@@ -56,6 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_html_main": op9_html_main,
     "op10_simhash": op10_simhash,
 }
 ORACLE_SQL: dict[str, str] = {
