@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_main, license_scan, mixing, packing, quality_classifier, quality_rules, rp_forest, simhash, toxicity
+from . import html_main, license_scan, mixing, packing, quality_classifier, quality_rules, quotation, rp_forest, simhash, toxicity
 from .common import held_out, read
 
 
@@ -44,6 +44,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted"))
 
 
+def op7_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.linked(read(spark, sf_dir, "conversations"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     vectors = quality_classifier.scaled(quality_classifier.contexts(docs))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
+    "op7_quotation": op7_quotation,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_html_main": op9_html_main,
     "op10_simhash": op10_simhash,
