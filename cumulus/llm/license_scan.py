@@ -91,7 +91,10 @@ def scan(docs: DataFrame) -> DataFrame:
     the same names in ``docs`` are replaced; every row gives one row.
     """
     mine = ["n_words", "n_base", "first_word", "last_word", "base_labels", "found", "kept"]
-    rows = docs.drop(*mine).withColumns({"text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
+    theirs = [c for c in docs.columns if c not in mine]
+    names = [f"c{i}" for i in range(len(theirs))]  # clash-free, whatever the columns are called
+    rows = docs.select(*theirs).toDF(*names)
+    rows = rows.withColumn("text", F.coalesce(F.col(names[theirs.index("text")]).cast("string"), F.lit("")))
     low = F.lower("text")  # only for the prefilter: more texts may pass than need to
     root = low.contains(license_rules.ROOTS[0])
     for r in license_rules.ROOTS[1:]:
@@ -112,12 +115,12 @@ def scan(docs: DataFrame) -> DataFrame:
         "first_word": F.when(has, first), "last_word": F.when(has, last),
         "base_labels": F.when(has, F.array_sort(F.array_compact(F.array(*phrases)))).otherwise(
             F.array().cast("array<string>"))}).drop("b")
-    cols = [c for c in counted.columns if c != "norm"]
+    cols = [*names, *mine[:5]]
     found = counted.withColumn("rules", F.when(F.col("norm") != "", _rules())).select(
         *cols, F.explode(F.array(F.coalesce(F.expr(_FOUND), F.expr(
             "CAST(array() AS array<struct<s: bigint, e: bigint, prio: int, i: int, label: string, conf: double>>)"))))
         .alias("found"))
-    return found.withColumn("kept", F.expr(_KEPT))
+    return found.withColumn("kept", F.expr(_KEPT)).toDF(*theirs, *mine)
 
 
 def digest(scanned: DataFrame) -> DataFrame:
