@@ -90,13 +90,8 @@ def variance_category(variance: Column | str) -> Column:
 
 
 def round_half_up(x: Column | str, digits: int) -> Column:
-    """ROUND half away from zero, stable against binary float noise.
-
-    The double is first fixed to 6 decimals, then rounded as a decimal, so
-    1.005 rounds to 1.01 and a sum that lands on 2.2499999999999996 instead
-    of 2.25 still rounds the same way in every engine.
-    """
-    return F.round(_col(x).cast("decimal(38,6)"), digits).cast("double")
+    """ROUND half away from zero, of the value itself (2.2499997 gives 2.2)."""
+    return F.round(_col(x).cast("double"), digits)
 
 
 def fix_scale(x: Column | str, digits: int) -> Column:

@@ -1,12 +1,9 @@
 """Equi-joins that stay balanced when one key holds a large share of rows.
 
-AQE splits skewed partitions of a sort-merge join only when both inputs are
-plain shuffles. When the small side is an aggregate (one row per key, as
-for qualifying orders or deduplicated run metadata) that rule does not
-apply, so a hot key on the big side would land in a single task. Here the
-hot keys are found first (a partial-aggregated count over a sample of the
-key column), their rows are joined against a broadcast of just those keys'
-small-side rows, and every other key takes the regular shuffle join.
+Adaptive execution splits skewed partitions of a sort-merge join only when
+both inputs are plain shuffles. When the small side is an aggregate (one row
+per key, as for deduplicated run metadata) that rule does not apply, so the
+join is salted: at any size, for every key, without looking at the data.
 """
 
 from __future__ import annotations
@@ -14,45 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEY_ROWS = 2_000_000  # a key with this many rows is larger than a typical task's input
-MAX_HOT_KEYS = 1_000      # bound on the broadcast list (the small side is unique per key)
-DETECT_FRACTION = 0.01    # share of rows counted to find hot keys
+SALTS = 8  # a key's rows go to this many tasks; the small side is repeated as often
 
 
-def hot_keys(big: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS,
-             max_keys: int = MAX_HOT_KEYS, fraction: float = DETECT_FRACTION) -> list:
-    """Keys of ``big`` with (about) ``min_rows`` rows or more, heaviest first.
-
-    Counting runs over a Bernoulli sample of ``fraction`` of the rows: a key
-    with ``min_rows`` rows contributes ~``min_rows * fraction`` sampled rows
-    (20,000 at the defaults), far above the half-size cut used here, so no
-    hot key is missed. The sample only chooses which join path a key takes;
-    every row is joined either way. At most ``max_keys`` keys are returned,
-    and since each holds ``min_rows`` rows there can be no more than
-    rows/min_rows of them.
-    """
-    src = big.select(key) if fraction >= 1 else big.select(key).sample(fraction=fraction, seed=17)
-    cut = max(1, int(min_rows * min(fraction, 1.0) / 2))
-    counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.filter((F.col("_n") >= cut) & F.col(key).isNotNull())
-    return [r[0] for r in heavy.orderBy(F.col("_n").desc()).limit(max_keys).collect()]
-
-
-def split_join(big: DataFrame, small_unique: DataFrame, key: str, how: str = "inner",
-               min_rows: int = HOT_KEY_ROWS, max_keys: int = MAX_HOT_KEYS,
-               fraction: float = DETECT_FRACTION) -> DataFrame:
+def salted_join(big: DataFrame, small_unique: DataFrame, key: str, how: str = "inner",
+                salts: int = SALTS) -> DataFrame:
     """``big`` joined to ``small_unique`` (at most one row per ``key``) on ``key``.
 
-    ``how`` is "inner" or "left_semi". Rows of hot keys are joined in place
-    against a broadcast of at most ``max_keys`` small-side rows (no shuffle
-    of the hot rows at all); the rest use the ordinary join, which Spark may
-    broadcast or sort-merge by size. Hot keys beyond ``max_keys`` simply take
-    the ordinary path, so the result is always complete and exact.
+    ``how`` is "inner", "left" or "left_semi". A row's salt is a hash of its
+    other columns; the small side carries every salt. Spark still broadcasts
+    the small side when its size is under the threshold.
     """
-    hot = hot_keys(big, key, min_rows, max_keys, fraction)
-    if not hot:
-        return big.join(small_unique, key, how)
-    is_hot = F.col(key).isin(hot)
-    hot_part = big.filter(is_hot).join(F.broadcast(small_unique.filter(is_hot)), key, how)
-    cold_part = big.filter(~is_hot).join(small_unique.filter(~is_hot), key, how)
-    return hot_part.unionByName(cold_part)
+    others = [F.col(c) for c in big.columns if c != key]
+    left = big.withColumn("_salt", F.pmod(F.xxhash64(*others) if others else F.lit(0), F.lit(salts)).cast("int"))
+    right = small_unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "_salt"], how).drop("_salt")

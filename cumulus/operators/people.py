@@ -35,9 +35,11 @@ def fallback(spark: SparkSession) -> DataFrame:
 def with_fallback(spark: SparkSession, parsed: DataFrame) -> DataFrame:
     """The parsed documents, or the fallback list when there are none.
 
-    The emptiness probe is a single bounded ``isEmpty`` (one row at most).
+    Whether there are any is a scalar subquery over one row at most, so
+    nothing runs before the query does.
     """
-    return fallback(spark) if parsed.isEmpty() else parsed
+    found = parsed.limit(1).select(F.count(F.lit(1)).alias("n")).scalar()
+    return parsed.unionByName(fallback(spark).filter(found == 0))
 
 
 def people_messages(parsed: DataFrame, greeting: str = GREETING) -> DataFrame:
@@ -50,7 +52,7 @@ def people_messages(parsed: DataFrame, greeting: str = GREETING) -> DataFrame:
 
 
 def people_count(parsed: DataFrame) -> DataFrame:
-    """Declared ``number`` beside the length of the ``people`` list."""
-    listed = F.size("people").cast("bigint")
-    return parsed.select("doc_id", "part", "number", listed.alias("listed"),
-                         (F.col("number") == listed).alias("consistent"))
+    """Per document: declared ``number`` beside the length of the ``people`` list, all parts together."""
+    per_doc = parsed.groupBy("doc_id").agg(F.max("number").alias("number"),
+                                           F.sum(F.size("people").cast("bigint")).alias("listed"))
+    return per_doc.withColumn("consistent", F.col("number") == F.col("listed"))

@@ -41,7 +41,7 @@ def order_summary(orders: DataFrame, customers: DataFrame, items: DataFrame) ->
 
 
 def sales_by_category(items: DataFrame, products: DataFrame, orders: DataFrame,
-                      statuses=COMPLETED_OR_SHIPPED) -> DataFrame:
+                      statuses=COMPLETED_OR_SHIPPED, revenue=None) -> DataFrame:
     """Quantity and revenue per product category over qualifying orders.
 
     ``status = 'completed' OR status = 'shipped'`` (NULL status excluded).
@@ -49,12 +49,14 @@ def sales_by_category(items: DataFrame, products: DataFrame, orders: DataFrame,
     join splits an order that holds a large share of all items; the joined
     items are then summed per product (map-side partial aggregation) before
     the product join, so the last shuffles carry one row per product.
+    ``revenue`` stands for ``quantity * unit_price`` where items are sums.
     """
+    revenue = F.col("quantity") * F.col("unit_price") if revenue is None else revenue
     qualifying = orders.filter(F.col("status").isin(*statuses)).select("order_id")
     per_product = (items.join(qualifying, "order_id")
                    .groupBy("product_id")
                    .agg(F.sum("quantity").alias("q"),
-                        F.sum(F.col("quantity") * F.col("unit_price")).alias("rev")))
+                        F.sum(revenue).alias("rev")))
     return (per_product.join(products, "product_id")
             .groupBy("category")
             .agg(F.sum("q").alias("total_quantity_sold"), F.sum("rev").alias("total_revenue"))

@@ -64,7 +64,7 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType | None = None
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def publish(df: DataFrame, path: str, partition_by=("category", "type")) -> bool:
+def publish(df: DataFrame, path: str, partition_by=("category", "type"), schema: T.StructType | None = None) -> bool:
     """Publish metric rows partitioned by batch (category, type).
 
     No emptiness probe runs before the write (that would evaluate the plan
@@ -73,5 +73,5 @@ def publish(df: DataFrame, path: str, partition_by=("category", "type")) -> bool
     anything was published is read back from the written table, which
     touches at most one row group.
     """
-    write_table(df, path, partition_by=list(partition_by))
-    return not read_back(df.sparkSession, path, df.schema).isEmpty()
+    write_table(df, path, schema, partition_by=list(partition_by))
+    return not read_back(df.sparkSession, path, schema or df.schema).isEmpty()

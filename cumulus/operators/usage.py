@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import rfc3339
 from ..sources import documents as docs
 from ..sources.tables import USAGE_MEASURES
-from .joins import split_join
+from .joins import salted_join
 
 META = ["assetId", "deploymentId", "runId", "dagId", "taskId", "namespace"]
 SOURCE_LAG = timedelta(hours=6)
@@ -51,13 +51,14 @@ def external_queries(pages: DataFrame, start, end, lag: timedelta = SOURCE_LAG)
     the lagged interval (half-open, so consecutive runs do not overlap).
 
     ``pages`` has ``(page, doc)``; output keeps ``page`` and the element
-    position ``pos`` so that "last one wins" deduplication has an order.
+    position ``pos`` so that "last one wins" deduplication has an order. A
+    record whose time can't be read is in no interval.
     """
     lo, hi = lagged_window(start, end, lag)
     p = docs.parse_valid(pages, "doc", docs.EXTERNAL_QUERIES, keep=["page"])
     ex = p.select("page", F.posexplode("externalQueries").alias("pos", "q"))
     ex = ex.select("page", "pos", "q.queryId", *[f"q.{c}" for c in META],
-                   F.col("q.queryTime").cast("timestamp_ntz").alias("queryTime"))
+                   F.col("q.queryTime").try_cast("timestamp_ntz").alias("queryTime"))
     return ex.filter((F.col("queryTime") >= F.lit(lo).cast("timestamp_ntz"))
                      & (F.col("queryTime") < F.lit(hi).cast("timestamp_ntz")))
 
@@ -99,10 +100,9 @@ def _enrich(facts: DataFrame, meta: DataFrame) -> DataFrame:
     """Inner join to the one-row-per-id metadata: filters and enriches at once.
 
     The metadata side is an aggregate (last-wins dedup), which AQE's skew
-    split cannot handle, so hot query ids are split out explicitly.
+    split cannot handle, so the join is salted.
     """
-    m = meta.withColumnRenamed("queryId", "query_id")
-    return split_join(facts, m, "query_id")
+    return salted_join(facts, meta.withColumnRenamed("queryId", "query_id"), "query_id")
 
 
 def cost_metrics(attribution: DataFrame, meta: DataFrame) -> DataFrame:
@@ -131,3 +131,18 @@ def all_metrics(attribution: DataFrame, history: DataFrame, meta: DataFrame) ->
 def metric_counts(metrics: DataFrame) -> DataFrame:
     """Rows per published batch (category, type)."""
     return metrics.groupBy("category", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def batch_counts(attribution: DataFrame, history: DataFrame, listed: DataFrame) -> DataFrame:
+    """``metric_counts`` of ``all_metrics`` without building the metrics.
+
+    Every listed attribution row publishes one cost metric and every listed
+    history row one metric of each usage type, so counting the two semi
+    joins is enough. Empty batches have no row.
+    """
+    cost = attribution.select("query_id").join(_ids(listed), "query_id", "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    used = history.select("query_id").join(_ids(listed), "query_id", "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    types = F.explode(F.array(*map(F.lit, USAGE_TYPES.values())))
+    rows = (cost.select(F.lit(COST_CATEGORY).alias("category"), F.lit(COST_TYPE).alias("type"), "n")
+            .unionByName(used.select(F.lit(USAGE_CATEGORY).alias("category"), types.alias("type"), "n")))
+    return rows.filter("n > 0")

@@ -9,11 +9,15 @@ the cross products (see ``series_constants_*``).
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..sources import documents as docs
+from .joins import salted_join
 
 GROUP_KEYS = ["city", "country", "latitude", "longitude"]
 
@@ -26,6 +30,7 @@ DEFAULT_CITIES = [
 ]
 UNKNOWN_COUNTRY = "Unknown"
 LOOKBACK_DAYS = 7
+CENTRE = 15.0  # a usual temperature; any constant gives the same variance, a near one loses fewer digits
 FIB_TERMS = 46  # n = 0..45
 
 
@@ -86,33 +91,44 @@ def city_seed(spark: SparkSession, cities=tuple(DEFAULT_CITIES)) -> DataFrame:
 def locations(geo_docs: DataFrame, cities: DataFrame | None = None) -> DataFrame:
     """``(city, country, latitude, longitude)`` from geocode documents.
 
-    Drops cities whose document is malformed or has no ``results``; takes the
-    first result; a missing country becomes 'Unknown'. ``cities`` (a one-
-    column seed) restricts the output to configured cities.
+    One row per city: the latest document (``fetched_at``, if there is such a
+    column) decides, whatever it holds. Drops cities whose document is
+    malformed, has no ``results``, or lacks a readable latitude or longitude;
+    takes the first result; a missing country becomes 'Unknown', a null one
+    stays NULL. ``cities`` (a one-column seed) restricts the output to
+    configured cities.
     """
-    g = docs.parse_valid(geo_docs, "doc", docs.GEOCODE, keep=["city"])
-    g = g.filter(F.size("results") > 0)
-    first = F.get(F.col("results"), 0)
-    out = g.select("city", F.coalesce(first["country"], F.lit(UNKNOWN_COUNTRY)).alias("country"),
-                   first["latitude"].alias("latitude"), first["longitude"].alias("longitude"))
     if cities is not None:
-        out = out.join(cities.select("city"), "city", "left_semi")
-    return out
+        geo_docs = geo_docs.join(cities.select("city"), "city", "left_semi")
+    when = F.col("fetched_at") if "fetched_at" in geo_docs.columns else F.lit("")
+    latest = geo_docs.groupBy("city").agg(F.max_by("doc", F.struct(when, "doc")).alias("doc"))
+    g = docs.parse_objects(latest, "doc", keep=["city"])
+    results = F.from_json(F.col("fields")["results"], T.ArrayType(docs.OBJECT))
+    g = g.select("city", F.explode(F.array(F.get(results, 0))).alias("first")).filter(F.col("first").isNotNull())
+    first = F.col("first")
+    country = F.when(F.map_contains_key(first, "country"), first["country"]).otherwise(UNKNOWN_COUNTRY)
+    return g.select("city", country.alias("country"), first["latitude"].try_cast("double").alias("latitude"),
+                    first["longitude"].try_cast("double").alias("longitude")
+                    ).filter("latitude is not null and longitude is not null")
 
 
 def current_weather(wx_docs: DataFrame, now=None) -> DataFrame:
     """``(city, temperature, windspeed, winddirection, weathercode, timestamp)``
-    from current-weather documents. Malformed documents are dropped; missing
-    fields (or a missing ``current_weather``) default to 0. The reading time
-    is the document's ``observed_at``, else ``now``."""
-    w = docs.parse_valid(wx_docs, "doc", docs.CURRENT_WEATHER, keep=["city", "observed_at"])
-    cw = F.col("current_weather")
+    from current-weather documents. Malformed documents, and those whose
+    ``current_weather`` is null or no object, are dropped; missing fields (or
+    a missing ``current_weather``) default to 0; a null or unreadable field
+    is NULL. The reading time is the document's ``observed_at``, else ``now``."""
+    w = docs.parse_objects(wx_docs, "doc", keep=["city", "observed_at"])
+    nested = F.when(F.map_contains_key("fields", "current_weather"), F.col("fields")["current_weather"]).otherwise("{}")
+    w = w.select("city", "observed_at", F.explode(F.array(F.from_json(nested, docs.OBJECT))).alias("cw")
+                 ).filter(F.col("cw").isNotNull())
+
+    def field(name):
+        return F.when(F.map_contains_key("cw", name), F.col("cw")[name].try_cast("double")).otherwise(0.0)
+
     return w.select(
-        "city",
-        F.coalesce(cw["temperature"], F.lit(0.0)).alias("temperature"),
-        F.coalesce(cw["windspeed"], F.lit(0.0)).alias("windspeed"),
-        F.coalesce(cw["winddirection"], F.lit(0.0)).alias("winddirection"),
-        F.coalesce(cw["weathercode"], F.lit(0)).alias("weathercode"),
+        "city", field("temperature").alias("temperature"), field("windspeed").alias("windspeed"),
+        field("winddirection").alias("winddirection"), field("weathercode").cast("int").alias("weathercode"),
         F.coalesce(F.col("observed_at").cast("timestamp_ntz"), X.as_timestamp(now)).alias("timestamp"))
 
 
@@ -120,15 +136,14 @@ def flatten_weather_json(geo_docs: DataFrame, wx_docs: DataFrame, now=None,
                          cities: DataFrame | None = None) -> DataFrame:
     """Readings (the ten declared columns) from the two JSON sources.
 
-    The per-city location table is tiny next to the readings; the join is
-    an inner equi-join that Spark broadcasts when the location side's size
-    estimate is under the broadcast threshold and sort-merges otherwise.
+    The location table has one row per city, so every reading stays one; it
+    is an aggregate, so the join is salted (Spark broadcasts it when small).
     A city without a usable location contributes nothing (as a failed
     lookup skips the city).
     """
     loc = locations(geo_docs, cities)
     wx = current_weather(wx_docs, now)
-    j = wx.join(loc, "city")
+    j = salted_join(wx, loc, "city")
     return j.select(
         "city", "country", "latitude", "longitude", "temperature", "windspeed",
         "winddirection", "weathercode", "timestamp", F.to_date("timestamp").alias("ingestion_date"))
@@ -200,25 +215,30 @@ def analytics(raw: DataFrame, constants: DataFrame, as_of, now=None,
 
 
 def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame, now=None,
-                        days: int = LOOKBACK_DAYS, first=None, last=None) -> DataFrame:
+                        days: int = LOOKBACK_DAYS, first=None, last=None, listed=None) -> DataFrame:
     """Analytics for every date in ``dates`` (column ``analysis_date``) at once.
 
     Each analysis date d covers raw rows with ingestion_date in [d-days, d].
     Raw rows are reduced once to daily moments per city — count, mean and
     centred sum of squares (M2) of temperature, min/max, sums — and only
     those small daily rows are fanned out to the ``days + 1`` analysis dates
-    they belong to, then merged (Chan et al. parallel variance). The raw
-    table is scanned once whatever the number of dates.
+    they belong to, then merged by the sums of n, n * c and n * c^2, with c
+    the daily mean less CENTRE so that the squares stay small. The raw table is scanned once whatever the
+    number of dates.
 
     ``first`` / ``last`` (the earliest / latest analysis date, when known)
     become literal bounds on ``ingestion_date`` so only the partitions in
-    [first - days, last] are read.
+    [first - days, last] are read; ``listed`` (a short list of analysis dates)
+    reads just the days of their windows.
     """
     t = F.col("temperature")
     if first is not None:
         raw = raw.filter(F.col("ingestion_date") >= F.date_sub(X.as_date(first), days))
     if last is not None:
         raw = raw.filter(F.col("ingestion_date") <= X.as_date(last))
+    if listed is not None:
+        needed = sorted({d - timedelta(days=k) for d in listed for k in range(days + 1)})
+        raw = raw.filter(F.col("ingestion_date").isin(needed))
     daily = raw.groupBy(*GROUP_KEYS, "ingestion_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(t).alias("n_t"), F.avg(t).alias("mean_t"),
         (F.var_pop(t) * F.count(t)).alias("m2_t"), F.min(t).alias("min_t"), F.max(t).alias("max_t"),
@@ -228,6 +248,7 @@ def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame,
     fan = daily.select("*", F.explode(F.sequence(F.col("ingestion_date"),
                                                  F.date_add("ingestion_date", days))).alias("analysis_date"))
     fan = fan.join(dates.select("analysis_date").distinct(), "analysis_date", "left_semi")
+    fan = fan.withColumn("mean_t", F.col("mean_t") - CENTRE)
     n, s1 = F.sum("n_t"), F.sum(F.col("n_t") * F.col("mean_t"))
     merged = fan.groupBy("analysis_date", *GROUP_KEYS).agg(
         n.alias("n"), s1.alias("s1"),
@@ -242,7 +263,7 @@ def analytics_for_dates(raw: DataFrame, constants: DataFrame, dates: DataFrame,
     m2 = F.col("m2") + F.col("s2") - F.col("s1") * mean
     var = F.when(F.col("n") > 1, F.greatest(m2, F.lit(0.0)) / (F.col("n") - 1))
     summary = merged.select(
-        "analysis_date", *GROUP_KEYS, mean.alias("avg_temperature"), "min_temperature",
+        "analysis_date", *GROUP_KEYS, (mean + CENTRE).alias("avg_temperature"), "min_temperature",
         "max_temperature", var.alias("temperature_variance"), "avg_windspeed", "max_windspeed",
         "comfort_score", "record_count", X.climate_zone("latitude").alias("climate_zone"))
     return _analytics_columns(summary, constants, F.col("analysis_date"), now)

@@ -16,18 +16,23 @@ from pyspark.sql import functions as F
 from ..functions.exprs import fix_scale
 from ..operators import people, reports, sales, settings, sinks, timeseries, usage, weather
 from ..session import apply_runtime_defaults, scratch_path
+from ..sources import documents
 from ..sources import fixtures as fx
-from ..sources.tables import WEATHER_ANALYTICS, WEATHER_HISTORICAL, WEATHER_RAW, read_table
+from ..sources.tables import METRICS, WEATHER_ANALYTICS, WEATHER_HISTORICAL, WEATHER_RAW, read_table
 from ..streaming import incremental as inc
 
 AS_OF, NOW = fx.AS_OF, fx.NOW
 RUN_ID = "manual__2024-01-30T12:00:00"
-# Usage interval covering all test data (start/end before the 6 h lag shift).
-USAGE_START, USAGE_END = "1990-01-01T06:00:00", "2030-01-01T06:00:00"
+OTHER_RUN_ID = "scheduled__2024-01-30T00:00:00"
+# Usage interval (before the 6 h lag shift); the test data begin earlier and end later.
+USAGE_START, USAGE_END = "1996-01-01T06:00:00", "2001-01-01T06:00:00"
 # An interval with no queries at all (exercises the empty path).
 EMPTY_START, EMPTY_END = "2100-01-01T06:00:00", "2100-01-01T07:00:00"
 BACKFILL_START, BACKFILL_END = "2024-01-15", AS_OF
+STORED_START = "2024-01-27"  # first analysis date of the stored analytics table
 CATCHUP_START = "2024-01-01"
+EXPECTED_START = "2023-12-30"  # catch-up is due from here on, before the first reading
+LANDED_FILES = 4  # files (and micro-batches) in which the streams' rows arrive
 
 # --------------------------------------------------------------------------- shared builders
 
@@ -41,6 +46,29 @@ def _analytics(spark, d, spread=False):
     return weather.analytics(_raw(spark, d, spread), weather.series_constants_20k(spark), AS_OF, NOW)
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def _stored_analytics(spark, d, spread=False):
+    """The analytics table of several analysis dates, written once a session and read back by date.
+
+    Reports filter ``analysis_date`` and so read one partition of it.
+    """
+    key = (spark.sparkContext.applicationId, d, spread)
+    if key not in _STORED:
+        out = weather.analytics_for_dates(
+            _raw(spark, d, spread), weather.series_constants_20k(spark),
+            weather.date_spine(spark, STORED_START, AS_OF), NOW, first=STORED_START, last=AS_OF)
+        path = scratch_path(spark, "weather_analytics")
+        sinks.write_table(out, path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
+        _STORED[key] = path
+    return sinks.read_back(spark, _STORED[key], WEATHER_ANALYTICS)
+
+
+def _today(spark, d):
+    return _stored_analytics(spark, d).filter(F.col("analysis_date") == F.lit(AS_OF).cast("date"))
+
+
 def _meta(spark, d, start=USAGE_START, end=USAGE_END):
     return usage.dedup_last(usage.external_queries(fx.external_query_documents(spark, d), start, end))
 
@@ -71,8 +99,9 @@ def q_sales_by_category(spark, d):
 
 
 def q_weather_flatten_json(spark, d):
+    """Readings of the configured cities; here the city list is the nations' and a city that has no documents."""
     return weather.flatten_weather_json(fx.geocode_documents(spark, d),
-                                        fx.weather_documents(spark, d), NOW)
+                                        fx.weather_documents(spark, d), NOW, fx.expected_cities(spark, d))
 
 
 def q_weather_derive(spark, d):
@@ -92,16 +121,16 @@ def q_weather_analytics(spark, d):
 
 
 def q_city_fibonacci(spark, d):
-    return weather.city_fibonacci(_analytics(spark, d), weather.fibonacci(spark))
+    return weather.city_fibonacci(_today(spark, d), weather.fibonacci(spark))
 
 
 def q_weather_run_summary(spark, d):
-    return weather.run_summary(_analytics(spark, d), AS_OF)
+    return weather.run_summary(_stored_analytics(spark, d), AS_OF)
 
 
 def _report(fn, spread=False):
     def q(spark, d):
-        return fn(_analytics(spark, d, spread), AS_OF)
+        return fn(_stored_analytics(spark, d, spread), AS_OF)
     q.__name__ = f"q_{fn.__name__}"
     return q
 
@@ -136,7 +165,7 @@ def q_usage_metrics_all(spark, d):
 
 
 def q_usage_metric_counts(spark, d):
-    return usage.metric_counts(q_usage_metrics_all(spark, d))
+    return usage.batch_counts(fx.attribution_history(spark, d), fx.query_history(spark, d), _listed(spark, d))
 
 
 def q_usage_metrics_empty(spark, d):
@@ -147,9 +176,8 @@ def q_usage_metrics_empty(spark, d):
 def q_usage_metrics_published(spark, d):
     """Publish the metric batches (partitioned by category/type), read back."""
     path = scratch_path(spark, "metrics")
-    m = q_usage_metrics_all(spark, d)
-    sinks.publish(m, path)
-    return sinks.read_back(spark, path, m.schema)
+    sinks.publish(q_usage_metrics_all(spark, d), path, schema=METRICS)
+    return sinks.read_back(spark, path, METRICS)
 
 
 def q_people_explode_format(spark, d):
@@ -160,6 +188,12 @@ def q_people_count(spark, d):
     return people.people_count(_people(spark, d))
 
 
+def q_people_fallback(spark, d):
+    """No usable document: the fallback list is formatted instead."""
+    return people.people_messages(people.with_fallback(
+        spark, people.parse_people(fx.unusable_people_documents(spark, d))))
+
+
 def q_mask_column(spark, d):
     return settings.mask_column(fx.secrets(spark, d), "secret")
 
@@ -176,21 +210,25 @@ def _tumbling(width):
 
 
 def q_missing_days(spark, d):
-    return timeseries.missing_intervals(fx.weather_readings(spark, d), "ingestion_date",
-                                        CATCHUP_START, AS_OF, keys=["city"])
+    return timeseries.missing_intervals(fx.weather_readings(spark, d), "ingestion_date", EXPECTED_START, AS_OF,
+                                        keys=["city"], expected=fx.expected_cities(spark, d))
 
 
 def q_missing_slots_30m(spark, d):
     """Half-hourly ingest slots with no reading, per city (catch-up at the ingest's cadence)."""
     return timeseries.missing_slots(fx.weather_readings(spark, d), "timestamp",
-                                    f"{CATCHUP_START} 00:00:00", f"{AS_OF} 23:30:00",
-                                    "30 minutes", keys=["city"])
+                                    f"{EXPECTED_START} 00:00:00", f"{AS_OF} 23:30:00", "30 minutes",
+                                    keys=["city"], expected=fx.expected_cities(spark, d))
 
 
 def q_weather_raw_roundtrip(spark, d):
-    """JSON sources -> readings -> derived raw -> partitioned write -> read back."""
-    readings = weather.flatten_weather_json(fx.geocode_documents(spark, d),
-                                            fx.weather_documents(spark, d), NOW)
+    """JSON files -> readings -> derived raw -> partitioned write -> read back."""
+    geo, wx = scratch_path(spark, "landed_geocode"), scratch_path(spark, "landed_weather")
+    documents.land(fx.geocode_documents(spark, d), geo)
+    documents.land(fx.weather_documents(spark, d), wx)
+    readings = weather.flatten_weather_json(
+        documents.read_landed(spark, geo, "city string, fetched_at string, doc string"),
+        documents.read_landed(spark, wx, "city string, observed_at timestamp_ntz, doc string"), NOW)
     raw = weather.derive_weather(readings, weather.series_constants_10m(spark), NOW)
     path = scratch_path(spark, "weather_raw")
     sinks.write_table(raw, path, WEATHER_RAW, partition_by=["ingestion_date"])
@@ -198,59 +236,80 @@ def q_weather_raw_roundtrip(spark, d):
 
 
 def q_weather_historical(spark, d):
-    """Analytics appended to history by run id (a rerun replaces its own
-    partitions instead of duplicating them; see the write tests)."""
-    hist = _analytics(spark, d).withColumn("dag_run_id", F.lit(RUN_ID))
+    """Analytics appended to history by run id, for two runs, the first of them run twice
+    (a rerun replaces its own partitions)."""
     path = scratch_path(spark, "weather_historical")
-    sinks.write_table(hist, path, WEATHER_HISTORICAL, partition_by=["analysis_date", "dag_run_id"])
+    for run_id in (RUN_ID, OTHER_RUN_ID, RUN_ID):
+        hist = _today(spark, d).withColumn("dag_run_id", F.lit(run_id))
+        sinks.write_table(hist, path, WEATHER_HISTORICAL, partition_by=["analysis_date", "dag_run_id"])
     return sinks.read_back(spark, path, WEATHER_HISTORICAL)
 
 
 def q_backfill_range(spark, d):
-    dates = weather.date_spine(spark, BACKFILL_START, BACKFILL_END)
-    out = weather.analytics_for_dates(_raw(spark, d), weather.series_constants_20k(spark), dates, NOW,
-                                      first=BACKFILL_START, last=BACKFILL_END)
+    """Two overlapping ranges: the second replaces the dates it shares with the first and adds its own."""
     path = scratch_path(spark, "weather_analytics_backfill")
-    sinks.write_table(out, path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
+    for first, last in ((BACKFILL_START, "2024-01-22"), ("2024-01-20", BACKFILL_END)):
+        out = weather.analytics_for_dates(_raw(spark, d), weather.series_constants_20k(spark),
+                                          weather.date_spine(spark, first, last), NOW, first=first, last=last)
+        sinks.write_table(out, path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
     return sinks.read_back(spark, path, WEATHER_ANALYTICS)
 
 
 def q_stream_weather_incremental(spark, d):
-    raw_path = scratch_path(spark, "stream_weather_raw")
-    sinks.write_table(_raw(spark, d), raw_path, WEATHER_RAW, partition_by=["ingestion_date"])
-    out_path = scratch_path(spark, "stream_weather_analytics")
-    inc.weather_analytics_stream(spark, raw_path, out_path, scratch_path(spark, "ckpt"),
-                                 weather.series_constants_20k(spark), as_of=AS_OF, now=NOW)
+    """Raw rows arrive in three waves: some early days, all later ones, the rest of the early days."""
+    raw_path, out_path = scratch_path(spark, "stream_weather_raw"), scratch_path(spark, "stream_weather_analytics")
+    raw, ckpt = _raw(spark, d), scratch_path(spark, "ckpt")
+    early = F.col("ingestion_date") <= F.lit(BACKFILL_START).cast("date")
+    late = F.col("winddirection") >= 180
+    for mode, wave in (("overwrite", early & ~late), ("append", ~early), ("append", early & late)):
+        sinks.write_table(raw.filter(wave), raw_path, WEATHER_RAW, partition_by=["ingestion_date"], mode=mode)
+        inc.weather_analytics_stream(spark, raw_path, out_path, ckpt, weather.series_constants_20k(spark),
+                                     as_of=AS_OF, now=NOW)
     return sinks.read_back(spark, out_path, WEATHER_ANALYTICS)
 
 
+def _arriving(spark, d, table, mapper=None):
+    """A table's rows as a stream of several files in no order, one file a micro-batch."""
+    rows, landing = read_table(spark, d, table), scratch_path(spark, f"landed_{table}")
+    rows.repartition(LANDED_FILES).write.parquet(landing)
+    return inc.stream_source(spark, landing, rows.schema, mapper, max_files_per_trigger=1)
+
+
 def q_stream_sales_incremental(spark, d):
-    li = read_table(spark, d, "lineitem")
-    items = inc.stream_source(spark, f"{d.rstrip('/')}/lineitem*.parquet", li.schema, fx.order_items_from)
+    """Items stream in four batches; orders and products are joined as they are in the end."""
     path = scratch_path(spark, "stream_sales_partials")
-    inc.sales_category_stream(spark, items, fx.retail_products(spark, d), fx.retail_orders(spark, d),
-                              path, scratch_path(spark, "ckpt"))
-    return inc.sales_from_partials(spark, path)
+    inc.sales_category_stream(spark, _arriving(spark, d, "lineitem", fx.order_items_from), path,
+                              scratch_path(spark, "ckpt"))
+    return inc.sales_from_partials(spark, path, fx.retail_products(spark, d), fx.retail_orders(spark, d))
 
 
 def q_stream_usage_hourly(spark, d):
-    li = read_table(spark, d, "lineitem")
-    src = inc.stream_source(spark, f"{d.rstrip('/')}/lineitem*.parquet", li.schema, fx.attribution_from)
+    """Hourly usage from four batches in no order (windows that ended 6 h before the latest row)."""
     path = scratch_path(spark, "stream_usage_hourly")
-    inc.usage_hourly_stream(spark, src, path, scratch_path(spark, "ckpt"))
-    return sinks.read_back(spark, path, inc.HOURLY_USAGE)
+    inc.window_partials_stream(_arriving(spark, d, "lineitem", fx.attribution_from), "end_time", "1 hour", path,
+                               scratch_path(spark, "ckpt"), value="credits_attributed_compute")
+    return (inc.windows_from_partials(spark, path, "1 hour", "6 hours")
+            .select("window_start", "window_end", "n", F.col("total").alias("credits")))
 
 
 def q_stream_tumbling_30m(spark, d):
     """Half-hourly event counts per type from an event stream (closed windows only)."""
-    ev = read_table(spark, d, "events")
-    src = inc.stream_source(spark, f"{d.rstrip('/')}/events*.parquet", ev.schema)
     path = scratch_path(spark, "stream_tumbling_30m")
-    inc.tumbling_stream(src, "ts", "30 minutes", "30 minutes", path, scratch_path(spark, "ckpt"),
-                        keys=["event_type"], value="value")
-    schema = "window_start timestamp_ntz, window_end timestamp_ntz, event_type string, " \
-             "n bigint, total_value double"
-    return spark.read.schema(schema).parquet(path)
+    inc.window_partials_stream(_arriving(spark, d, "events"), "ts", "30 minutes", path,
+                               scratch_path(spark, "ckpt"), key="event_type", value="value")
+    return (inc.windows_from_partials(spark, path, "30 minutes", "30 minutes")
+            .select("window_start", "window_end", F.col("key").alias("event_type"), "n",
+                    F.col("total").alias("total_value")))
+
+
+def q_weather_raw_recreated(spark, d):
+    """Create-or-replace of the raw table: a first run's other days are gone; the load stamp is the column's default."""
+    path, raw = scratch_path(spark, "weather_raw_recreated"), _raw(spark, d).drop("load_timestamp")
+    day = F.col("ingestion_date")
+    for rows in (raw, raw.filter(day >= F.lit(BACKFILL_START).cast("date"))):
+        sinks.write_table(rows, path, WEATHER_RAW, partition_by=["ingestion_date"], replace_all=True)
+    return sinks.read_back(spark, path, WEATHER_RAW).select(
+        "city", "timestamp", "ingestion_date", "temperature", F.col("load_timestamp").isNotNull().alias("stamped"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -284,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "usage_metrics_published": q_usage_metrics_published,
     "people_explode_format": q_people_explode_format,
     "people_count": q_people_count,
+    "people_fallback": q_people_fallback,
     "mask_column": q_mask_column,
     "default_missing": q_default_missing,
     "tumbling_30m": _tumbling("30 minutes"),
@@ -292,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_days": q_missing_days,
     "missing_slots_30m": q_missing_slots_30m,
     "weather_raw_roundtrip": q_weather_raw_roundtrip,
+    "weather_raw_recreated": q_weather_raw_recreated,
     "weather_historical": q_weather_historical,
     "backfill_range": q_backfill_range,
     "stream_weather_incremental": q_stream_weather_incremental,
@@ -302,22 +363,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Double columns fixed to N decimals in both engines before comparison
 # (sums of floats differ in the last bits between engines and plans).
-_ANALYTICS_R = {"avg_temperature": 6, "temperature_variance": 6, "avg_windspeed": 6,
-                "comfort_score": 6}
-_RAW_R = {"temp_fahrenheit": 6, "temp_kelvin": 6, "comfort_index": 6}
+_ANALYTICS_R = {"avg_temperature": 9, "temperature_variance": 9, "avg_windspeed": 9,
+                "comfort_score": 9}
+_RAW_R = {"temp_fahrenheit": 9, "temp_kelvin": 9, "comfort_index": 9}
 _METRIC_R = {"value": 9}
 ROUNDING: dict[str, dict[str, int]] = {
     "sales_by_category": {"total_quantity_sold": 2, "total_revenue": 2},
     "weather_derive": _RAW_R,
     "weather_raw_roundtrip": _RAW_R,
-    "weather_city_summary": {"avg_temperature": 6, "temperature_variance": 6,
-                             "avg_windspeed": 6, "comfort_score": 6},
+    "weather_city_summary": _ANALYTICS_R,
     "weather_analytics": _ANALYTICS_R,
     "weather_historical": _ANALYTICS_R,
     "backfill_range": _ANALYTICS_R,
     "stream_weather_incremental": _ANALYTICS_R,
     "city_fibonacci": {"total_product": 2, "avg_product": 2},
-    "weather_run_summary": {"global_avg_temp": 6},
+    "weather_run_summary": {"global_avg_temp": 9},
     "usage_query_costs": {"credits_attributed_compute": 9},
     "usage_cost_metrics": _METRIC_R,
     "usage_metrics_all": _METRIC_R,

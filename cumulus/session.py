@@ -59,13 +59,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Only reached in local tests: no cluster-provided shared folder.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # One machine only: local tests.
         root = tempfile.mkdtemp(prefix="cumulus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/cumulus/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique table location under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/cumulus/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes this application's scratch tables; results that read them must be written before."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -14,24 +14,9 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
-GEOCODE = T.StructType([
-    T.StructField("results", T.ArrayType(T.StructType([
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("longitude", T.DoubleType()),
-        T.StructField("country", T.StringType()),
-    ]))),
-    T.StructField(CORRUPT, T.StringType()),
-])
-
-CURRENT_WEATHER = T.StructType([
-    T.StructField("current_weather", T.StructType([
-        T.StructField("temperature", T.DoubleType()),
-        T.StructField("windspeed", T.DoubleType()),
-        T.StructField("winddirection", T.DoubleType()),
-        T.StructField("weathercode", T.IntegerType()),
-    ])),
-    T.StructField(CORRUPT, T.StringType()),
-])
+#: A JSON object as its keys and the text of their values: a missing key and
+#: a null differ, and a value of another type than expected loses nothing.
+OBJECT = T.MapType(T.StringType(), T.StringType())
 
 EXTERNAL_QUERIES = T.StructType([
     T.StructField("externalQueries", T.ArrayType(T.StructType([
@@ -56,6 +41,7 @@ PEOPLE = T.StructType([
     T.StructField(CORRUPT, T.StringType()),
 ])
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
@@ -77,11 +63,18 @@ def parse_valid(df: DataFrame, doc: str, schema: T.StructType, keep=()) -> DataF
     return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One document per line from JSON-lines files, parsed with ``schema``.
+def parse_objects(df: DataFrame, doc: str, keep=()) -> DataFrame:
+    """``keep`` columns + ``fields``, the document as an ``OBJECT``; documents that are none are dropped."""
+    parsed = df.filter(F.col(doc).isNotNull()).select(
+        *keep, F.explode(F.array(F.from_json(F.col(doc), OBJECT, _OPTS))).alias("fields"))
+    return parsed.filter(F.col("fields").isNotNull())
 
-    Returns ``doc_file`` plus the schema's top-level fields for well-formed
-    lines; the file name lets callers order pages when order matters.
-    """
-    text = spark.read.text(path).select(F.input_file_name().alias("doc_file"), "value")
-    return parse_valid(text, "value", schema, keep=["doc_file"])
+
+def land(df: DataFrame, path: str) -> None:
+    """Documents with their columns as JSON lines, as a landing folder holds them."""
+    df.write.mode("overwrite").option("timestampNTZFormat", MICROS).json(path)
+
+
+def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Documents of a landing folder."""
+    return spark.read.schema(schema).option("timestampNTZFormat", MICROS).json(path)

@@ -27,12 +27,14 @@ def retail_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         c.c_custkey.alias("customer_id"),
         F.split_part(c.c_name, F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part(c.c_name, F.lit("#"), F.lit(2)).alias("last_name"))
+        F.split_part(c.c_name, F.lit("#"), F.lit(2)).alias("last_name"),
+        c.c_nationkey.alias("nation_id"), c.c_acctbal.alias("balance"), c.c_mktsegment.alias("segment"))
 
 
 def retail_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    return p.select(p.p_partkey.alias("product_id"), p.p_type.alias("category"))
+    return p.select(p.p_partkey.alias("product_id"), p.p_type.alias("category"), p.p_name.alias("name"),
+                    p.p_brand.alias("brand"), p.p_size.alias("size"), p.p_retailprice.alias("price"))
 
 
 def retail_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +72,12 @@ def _city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n.n_nationkey * 15.0 - 180).alias("longitude"))
 
 
+def expected_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city list of the ingest: one city per nation, and one per region that never loads."""
+    n, r = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
+    return n.select(n.n_name.alias("city")).unionByName(r.select(F.concat(r.r_name, F.lit(" CITY")).alias("city")))
+
+
 def _events_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     return e.withColumn("city_key", F.pmod(e.user_id, F.lit(25)).cast("int"))
@@ -98,61 +106,106 @@ def weather_readings(spark: SparkSession, sf_dir: str, spread: bool = False) ->
 
 
 def geocode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(city, doc)``: one geocode response per city, as JSON text.
+    """``(city, fetched_at, doc)``: two geocode responses per city, as JSON text.
 
-    Defects on purpose: cities with key % 5 = 0 get ``{"results": []}``,
-    key % 5 = 1 omit ``country`` (defaults to 'Unknown'), key = 24 is not JSON.
+    The first run's answers lie elsewhere (latitude and longitude swapped in
+    sign); the second run's count. Defects of these on purpose: key % 5 = 0
+    has ``{"results": []}``, key % 5 = 1 omits ``country`` (defaults to
+    'Unknown'), key 7 has a null country (stays NULL), key 8 no latitude,
+    key 13 a null longitude (both skipped), key 24 is not JSON.
     """
     c = _city_dim(spark, sf_dir)
     k = F.pmod(c.city_key, F.lit(5))
 
-    def results(*cols):
-        return F.to_json(F.struct(F.array(F.struct(*cols)).alias("results")))
+    def results(*cols, **options):
+        return F.to_json(F.struct(F.array(F.struct(*cols)).alias("results")), options)
 
+    good = ("latitude", "longitude", "country")
     doc = (F.when(c.city_key == 24, F.lit('{"results": [{"latitude": 1.0,'))
+           .when(c.city_key == 7, results("latitude", "longitude", F.lit(None).cast("string").alias("country"),
+                                          ignoreNullFields="false"))
+           .when(c.city_key == 8, results("longitude", "country"))
+           .when(c.city_key == 13, results("latitude", F.lit(None).cast("double").alias("longitude"), "country",
+                                           ignoreNullFields="false"))
            .when(k == 0, F.lit('{"results": []}'))
            .when(k == 1, results("latitude", "longitude"))
-           .otherwise(results("latitude", "longitude", "country")))
-    return c.select("city", doc.alias("doc"))
+           .otherwise(results(*good)))
+    old = results((-c.latitude).alias("latitude"), (-c.longitude).alias("longitude"), "country")
+    runs = F.explode(F.array(F.struct(F.lit("2024-01-01T00:00:00").alias("fetched_at"), old.alias("doc")),
+                             F.struct(F.lit("2024-01-29T00:00:00").alias("fetched_at"), doc.alias("doc"))))
+    return c.select("city", runs.alias("r")).select("city", F.col("r.fetched_at").alias("fetched_at"), "r.doc")
 
 
 def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(city, observed_at, doc)``: one current-weather response per event.
 
-    Defects on purpose: event_id % 7 = 0 omits temperature, % 11 = 0 has no
-    ``current_weather`` at all, % 13 = 0 is truncated (malformed) JSON.
+    Defects on purpose, the first that applies: event_id % 13 = 0 is truncated
+    (malformed) JSON, % 19 = 0 has a null ``current_weather`` (skipped), % 11
+    = 0 has none at all (zeros), % 7 = 0 omits temperature (zero), % 17 = 0
+    has it null (stays NULL), % 23 = 0 sends numbers as text and the code with
+    a decimal point, % 29 = 0 a temperature that is no number (NULL); % 31 = 0
+    lacks the time of observation (the processing time counts).
     """
     j = _events_by_city(spark, sf_dir).join(_city_dim(spark, sf_dir), "city_key")
-    rr = j.select("event_id", "city", j.ts.alias("observed_at"), *_measures(j))
+    seen = F.when(F.pmod(j.event_id, F.lit(31)) != 0, j.ts)
+    rr = j.select("event_id", "city", seen.alias("observed_at"), *_measures(j))
     full = F.struct("temperature", "windspeed", "winddirection", "weathercode")
     no_temp = F.struct("windspeed", "winddirection", "weathercode")
     eid = rr.event_id
-    doc = (F.when(F.pmod(eid, F.lit(13)) == 0, F.lit('{"current_weather": {"temperature": 1.0,'))
-           .when(F.pmod(eid, F.lit(11)) == 0, F.lit('{"elevation": 10.0}'))
-           .when(F.pmod(eid, F.lit(7)) == 0, F.to_json(F.struct(no_temp.alias("current_weather"))))
+    null_temp = F.struct(F.lit(None).cast("double").alias("temperature"), "windspeed", "winddirection", "weathercode")
+    as_text = F.struct(F.col("temperature").cast("string").alias("temperature"), "windspeed",
+                       F.col("winddirection").cast("string").alias("winddirection"),
+                       F.col("weathercode").cast("double").alias("weathercode"))
+    bad_temp = F.struct(F.lit("mild").alias("temperature"), "windspeed", "winddirection", "weathercode")
+
+    def wrapped(weather, **options):
+        return F.to_json(F.struct(weather.alias("current_weather")), options)
+
+    def every(n):
+        return F.pmod(eid, F.lit(n)) == 0
+
+    doc = (F.when(every(13), F.lit('{"current_weather": {"temperature": 1.0,'))
+           .when(every(19), F.lit('{"current_weather": null}'))
+           .when(every(11), F.lit('{"elevation": 10.0}'))
+           .when(every(7), wrapped(no_temp))
+           .when(every(17), wrapped(null_temp, ignoreNullFields="false"))
+           .when(every(23), wrapped(as_text))
+           .when(every(29), wrapped(bad_temp))
            .otherwise(F.to_json(F.struct(full.alias("current_weather")))))
     return rr.select("city", "observed_at", doc.alias("doc"))
 
 
 # --------------------------------------------------------------------------- usage
+LATER_PAGES = 1_000_000_000  # repeated listings come on pages after all others
+
+
 def external_query_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page, doc)``: API pages ``{"externalQueries": [...]}`` as JSON text.
 
-    One page per order; ``page`` is the page sequence number (source order).
+    Four orders a page; ``page`` is the page sequence number (source order).
+    Every third order is listed again on a later page with another asset
+    (the last listing counts), and every 17th has a time that can't be read.
     """
     o = read_table(spark, sf_dir, "orders")
+    again = F.when(F.pmod(o.o_orderkey, F.lit(3)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    o = o.withColumn("again", F.explode(again))
+    time = F.when(F.pmod(F.col("o_orderkey"), F.lit(17)) == 0, F.lit("not yet")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    asset = F.when(F.col("again") == 1, F.concat(F.lit("again "), F.col("o_orderpriority"))).otherwise(F.col("o_orderpriority"))
+    page = F.floor(F.col("o_orderkey") / 4).cast("bigint") + F.col("again") * LATER_PAGES
     rec = F.struct(
         o.o_orderkey.cast("string").alias("queryId"),
-        o.o_orderpriority.alias("assetId"),
+        asset.alias("assetId"),
         F.concat(F.lit("dep-"), F.pmod(o.o_custkey, F.lit(10)).cast("string")).alias("deploymentId"),
         F.concat(F.lit("run-"), F.to_date(o.o_orderdate).cast("string")).alias("runId"),
         F.concat(F.lit("dag-"), F.pmod(o.o_custkey, F.lit(7)).cast("string")).alias("dagId"),
         o.o_orderstatus.alias("taskId"),
         F.lit("ns").alias("namespace"),
-        o.o_orderdate.alias("queryTime"))
-    doc = F.to_json(F.struct(F.array(rec).alias("externalQueries")),
-                    {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
-    return o.select(o.o_orderkey.alias("page"), doc.alias("doc"))
+        time.alias("queryTime"))
+    listed = o.select(page.alias("page"), F.col("o_orderkey").alias("k"), rec.alias("rec")).groupBy("page").agg(
+        F.sort_array(F.collect_list(F.struct("k", "rec"))).alias("items"))  # at most four
+    return listed.select("page", F.to_json(F.struct(F.transform("items", lambda x: x["rec"]).alias("externalQueries")))
+                         .alias("doc"))
 
 
 def _usage_end_time(li: DataFrame):
@@ -195,24 +248,34 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- people / secrets
-PEOPLE_PAGE = 8  # turns per people document (a conversation is split into pages)
+PEOPLE_PAGE = 8  # turns in one part of a conversation's people document
 
 
 def people_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, part, doc)``: ``{"number": n, "people": [{craft, name}]}``.
 
-    One document per 8-turn page of a conversation, so no document (and no
-    aggregation group) grows with conversation length.
+    A conversation's document comes in parts of 8 turns, so no aggregation
+    group grows with conversation length; ``number`` declares the length of
+    the whole conversation in every part (one too many where conv_id % 5 = 0).
     """
     c = read_table(spark, sf_dir, "conversations")
     page = F.floor(c.turn / PEOPLE_PAGE).cast("bigint")
+    wrong = F.when(F.pmod(F.col("doc_id"), F.lit(5)) == 0, 1).otherwise(0)
+    whole = c.groupBy(c.conv_id.alias("doc_id")).agg(F.count(F.lit(1)).alias("turns")).select(
+        "doc_id", (F.col("turns") + wrong).alias("number"))
     grouped = c.groupBy(c.conv_id.alias("doc_id"), page.alias("part")).agg(
-        F.count(F.lit(1)).alias("number"),
         F.sort_array(F.collect_list(F.struct(
             c.turn.alias("turn"), c.role.alias("craft"),
             F.concat(F.lit("t"), c.turn.cast("string")).alias("name")))).alias("items"))
     people = F.transform("items", lambda x: F.struct(x["craft"].alias("craft"), x["name"].alias("name")))
-    return grouped.select("doc_id", "part", F.to_json(F.struct("number", people.alias("people"))).alias("doc"))
+    return grouped.join(whole, "doc_id").select(
+        "doc_id", "part", F.to_json(F.struct("number", people.alias("people"))).alias("doc"))
+
+
+def unusable_people_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, part, doc)`` whose documents are no people documents at all: the texts of the messages."""
+    c = read_table(spark, sf_dir, "conversations")
+    return c.select(c.conv_id.alias("doc_id"), c.turn.alias("part"), c.text.alias("doc"))
 
 
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

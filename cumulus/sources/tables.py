@@ -19,11 +19,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TEST_TABLES) -> None:
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
@@ -64,9 +59,5 @@ METRICS = _schema(
     ("category", S), ("type", S), ("value", D), ("assetId", S), ("deploymentId", S),
     ("runId", S), ("dagId", S), ("taskId", S), ("namespace", S), ("timestamp", S))
 
-EXTERNAL_QUERY = _schema(
-    ("queryId", S), ("assetId", S), ("deploymentId", S), ("runId", S), ("dagId", S),
-    ("taskId", S), ("namespace", S))
-
 USAGE_MEASURES = ("rows_produced", "rows_inserted", "rows_updated", "rows_deleted",
                   "rows_unloaded", "total_elapsed_time", "bytes_scanned")

@@ -2,10 +2,16 @@
 
 * ``weather_analytics_stream`` — new raw files -> recompute only the
   analysis dates they touch -> overwrite those analytics partitions.
-* ``sales_category_stream`` — new order items -> per-batch per-category
-  partial sums, written idempotently per batch id; readers sum partials.
-* ``usage_hourly_stream`` — usage rows with up to 6 h source lag ->
-  event-time watermark + tumbling 1 h windows, append mode.
+* ``sales_category_stream`` — new order items -> per-batch sums per order
+  and product, written idempotently per batch id; readers join them with the
+  orders and products as they are then, so neither the order of arrival nor
+  the split into batches matters.
+* ``window_partials_stream`` — tumbling windows as per-batch partial sums;
+  a row counts however late it comes, and readers tell closed windows by the
+  latest time seen less the source's lag.
+* ``tumbling_stream`` / ``usage_hourly_stream`` — tumbling windows emitted once
+  under a watermark, for sources that are in time order but for the lag:
+  rows later than that are dropped, as that contract says.
 
 All run with ``trigger(availableNow=True)`` by default (process what is
 there, then stop) and keep their checkpoints under the shared
@@ -46,14 +52,14 @@ def weather_analytics_stream(spark: SparkSession, raw_path: str, analytics_path:
 
     Each micro-batch yields the ingestion dates it touched; every analysis
     date whose look-back window contains one of them (d .. d+days, capped
-    at ``as_of``) is recomputed from the raw partitions of its window only
+    at ``as_of``, by default the day on which the batch runs) is recomputed from the raw partitions of its window only
     (literal partition filters) and its partition replaced (dynamic
     overwrite), so replays and reruns are idempotent.
     """
     src = spark.readStream.schema(WEATHER_RAW).parquet(raw_path)
-    cap = datetime.now(timezone.utc).date() if as_of is None else date.fromisoformat(str(as_of))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        cap = datetime.now(timezone.utc).date() if as_of is None else date.fromisoformat(str(as_of))
         # The distinct ingestion dates of a micro-batch are a handful of
         # calendar days (bounded), so they are brought to the driver to become
         # literal partition filters on the raw table.
@@ -66,8 +72,7 @@ def weather_analytics_stream(spark: SparkSession, raw_path: str, analytics_path:
         s = batch.sparkSession
         dates = s.createDataFrame([(d,) for d in wanted], "analysis_date date")
         raw_all = s.read.schema(WEATHER_RAW).parquet(raw_path)
-        out = weather.analytics_for_dates(raw_all, constants, dates, now, days,
-                                          first=wanted[0], last=wanted[-1])
+        out = weather.analytics_for_dates(raw_all, constants, dates, now, days, listed=wanted)
         write_table(out, analytics_path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
 
     w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
@@ -75,37 +80,72 @@ def weather_analytics_stream(spark: SparkSession, raw_path: str, analytics_path:
 
 
 PARTIAL_SALES = T.StructType([
-    T.StructField("category", T.StringType()),
-    T.StructField("total_quantity_sold", T.DoubleType()),
-    T.StructField("total_revenue", T.DoubleType()),
+    T.StructField("order_id", T.LongType()),
+    T.StructField("product_id", T.LongType()),
+    T.StructField("quantity", T.DoubleType()),
+    T.StructField("revenue", T.DoubleType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
 
-def sales_category_stream(spark: SparkSession, items_stream: DataFrame, products: DataFrame,
-                          orders: DataFrame, partials_path: str, checkpoint: str,
-                          available_now: bool = True):
-    """Maintain per-category sales as new order items stream in.
+def sales_category_stream(spark: SparkSession, items_stream: DataFrame, partials_path: str,
+                          checkpoint: str, available_now: bool = True):
+    """Maintain item sums per order and product as new order items stream in.
 
-    Each batch's partial sums land in their own ``batch_id`` partition with
-    overwrite semantics, so a replayed batch replaces itself rather than
-    double counting.
+    Orders and products play no part yet, so items may come before their
+    order, and a later change of an order's status takes effect. Each batch's
+    partial sums land in their own ``batch_id`` partition with overwrite
+    semantics, so a replayed batch replaces itself rather than double counting.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        part = sales.sales_by_category(batch, products, orders).withColumn(
-            "batch_id", F.lit(batch_id).cast("bigint"))
-        write_table(part, partials_path, PARTIAL_SALES, partition_by=["batch_id"])
+        part = batch.groupBy("order_id", "product_id").agg(
+            F.sum("quantity").alias("quantity"), F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue"))
+        write_table(part.withColumn("batch_id", F.lit(batch_id).cast("bigint")), partials_path, PARTIAL_SALES,
+                    partition_by=["batch_id"])
 
     w = items_stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _run(w, available_now)
 
 
-def sales_from_partials(spark: SparkSession, partials_path: str) -> DataFrame:
+def sales_from_partials(spark: SparkSession, partials_path: str, products: DataFrame, orders: DataFrame) -> DataFrame:
+    """Sales by category from the stored partials and the orders and products as they are now."""
     p = read_back(spark, partials_path, PARTIAL_SALES)
-    return (p.groupBy("category")
-            .agg(F.sum("total_quantity_sold").alias("total_quantity_sold"),
-                 F.sum("total_revenue").alias("total_revenue"))
-            .orderBy(F.col("total_revenue").desc_nulls_last(), "category"))
+    return sales.sales_by_category(p, products, orders, revenue=F.col("revenue"))
+
+
+WINDOW_PARTIALS = T.StructType([
+    T.StructField("window_start", T.TimestampNTZType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("total", T.DoubleType()),
+    T.StructField("latest", T.TimestampNTZType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+
+def window_partials_stream(stream: DataFrame, ts_col: str, width: str, partials_path: str, checkpoint: str,
+                           key: str | None = None, value: str | None = None, available_now: bool = True):
+    """Tumbling-window counts (and sums) per batch, each batch in its own partition."""
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        ts = F.col(ts_col).cast("timestamp")
+        part = batch.groupBy(F.window(ts, width)["start"].cast("timestamp_ntz").alias("window_start"),
+                             (F.col(key) if key else F.lit(None)).cast("string").alias("key")).agg(
+            F.count(F.lit(1)).alias("n"), (F.sum(value) if value else F.lit(None)).cast("double").alias("total"),
+            F.max(ts.cast("timestamp_ntz")).alias("latest"))
+        write_table(part.withColumn("batch_id", F.lit(batch_id).cast("bigint")), partials_path, WINDOW_PARTIALS,
+                    partition_by=["batch_id"])
+
+    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return _run(w, available_now)
+
+
+def windows_from_partials(spark: SparkSession, partials_path: str, width: str, lag: str) -> DataFrame:
+    """(window_start, window_end, key, n, total) of the windows that ended ``lag`` before the latest row seen."""
+    p = read_back(spark, partials_path, WINDOW_PARTIALS)
+    upto = p.select((F.max("latest") - F.expr(f"INTERVAL {lag}")).alias("u")).scalar()
+    end = F.col("window_start") + F.expr(f"INTERVAL {width}")
+    return (p.groupBy("window_start", "key").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+            .select("window_start", end.alias("window_end"), "key", "n", "total").filter(F.col("window_end") <= upto))
 
 
 HOURLY_USAGE = T.StructType([

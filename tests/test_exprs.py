@@ -40,6 +40,7 @@ def test_default_missing(spark):
 def test_round_half_up_and_conversions(spark):
     assert _one(spark, [1.005, 2.25, -2.25, 0.04999999999999999], lambda c: X.round_half_up(c, 2)) \
         == [1.01, 2.25, -2.25, 0.05]
+    assert _one(spark, [2.2499997, 2.25, -2.25], lambda c: X.round_half_up(c, 1)) == [2.2, 2.3, -2.3]
     assert _one(spark, [100.0, -40.0], X.c_to_f) == [212.0, -40.0]
     assert _one(spark, [0.0], X.c_to_k) == [273.15]
 

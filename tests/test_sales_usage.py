@@ -114,15 +114,52 @@ def test_people_fallback_and_messages(spark):
     assert (cnt.number, cnt.listed, cnt.consistent) == (12, 12, True)
 
 
-def test_split_join_hot_keys_exact(spark):
-    from cumulus.operators.joins import hot_keys, split_join
+def test_salted_join_is_exact_under_skew(spark):
+    from cumulus.operators.joins import salted_join
     big = spark.range(0, 3000).select((F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id") % 50))
                                       .alias("k"), F.col("id").alias("v"))
     small = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    assert hot_keys(big, "k", min_rows=500, fraction=1.0) == [7]
-    assert hot_keys(big, "k", min_rows=500, fraction=0.5) == [7]
-    want = rows(big.join(small, "k"))
-    assert rows(split_join(big, small, "k", min_rows=500, fraction=1.0)) == want
-    assert rows(split_join(big, small, "k", min_rows=500, max_keys=0, fraction=1.0)) == want
-    assert rows(split_join(big, small, "k", "left_semi", min_rows=50, fraction=1.0)) == \
-        rows(big.join(small, "k", "left_semi"))
+    assert rows(salted_join(big, small, "k")) == rows(big.join(small, "k"))
+    assert rows(salted_join(big, small, "k", "left")) == rows(big.join(small, "k", "left"))
+    assert rows(salted_join(big, small, "k", "left_semi")) == rows(big.join(small, "k", "left_semi"))
+
+
+def test_hot_key_spreads_over_the_salts(spark):
+    from cumulus.operators.joins import SALTS, salted_join
+    big = spark.range(0, 8000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    small = spark.createDataFrame([(1, 10)], "k int, w int").hint("merge")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = [n for n in salted_join(big, small, "k").rdd.glom().map(len).collect() if n]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(parts) == 8000 and len(parts) > 1 and max(parts) < 8000 * 6 / SALTS
+
+
+def test_building_usage_and_people_queries_starts_no_job(spark):
+    from cumulus.plans import catalog
+
+    from .conftest import SF_SMALL
+    spark.sparkContext.setJobGroup("build-only", "plans are built, not run")
+    try:
+        for name in ("usage_cost_metrics", "usage_metric_counts", "people_count", "people_fallback"):
+            catalog.QUERIES[name](spark, SF_SMALL)
+        # reading a table's footer for its schema is a job of its own kind, so only joins and scans count here
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")
+        stages = [spark.sparkContext.statusTracker().getJobInfo(j).stageIds for j in jobs]
+        assert all(len(s) == 1 for s in stages)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_unreadable_query_time_is_dropped(spark):
+    pages = _pages(spark, [(1, [("q1", "a", "soon"), ("q2", "b", "2024-01-01T05:30:00")])])
+    got = U.external_queries(pages, "2024-01-01T11:00:00", "2024-01-01T12:00:00").collect()
+    assert [r.queryId for r in got] == ["q2"]
+
+
+def test_batch_counts_equal_counted_metrics(spark):
+    meta, attr, hist = _usage(spark)
+    want = rows(U.metric_counts(U.all_metrics(attr, hist, meta)), "category", "type", "n")
+    assert rows(U.batch_counts(attr, hist, meta), "category", "type", "n") == want
+    assert U.batch_counts(attr, hist, meta.limit(0)).isEmpty()

@@ -118,9 +118,9 @@ def test_sales_stream_replay_is_idempotent(spark):
     path, ck = scratch_path(spark, "t_sales"), scratch_path(spark, "t_ck")
     for _ in range(2):  # second start finds nothing new; partials unchanged
         items = inc.stream_source(spark, f"{SF_SMALL}/lineitem*.parquet", li.schema, fx.order_items_from)
-        inc.sales_category_stream(spark, items, fx.retail_products(spark, SF_SMALL),
-                                  fx.retail_orders(spark, SF_SMALL), path, ck)
-    got = rows(inc.sales_from_partials(spark, path), "category", "total_quantity_sold")
+        inc.sales_category_stream(spark, items, path, ck)
+    got = rows(inc.sales_from_partials(spark, path, fx.retail_products(spark, SF_SMALL),
+                                       fx.retail_orders(spark, SF_SMALL)), "category", "total_quantity_sold")
     assert got == rows(catalog.q_sales_by_category(spark, SF_SMALL), "category", "total_quantity_sold")
 
 
@@ -190,11 +190,98 @@ def test_sales_stream_many_batches_sum_to_batch_result(spark):
     li.repartition(3, "l_orderkey").write.parquet(landing)  # three files -> three micro-batches
     items = inc.stream_source(spark, landing, li.schema, fx.order_items_from, max_files_per_trigger=1)
     path = scratch_path(spark, "items_partials")
-    q = inc.sales_category_stream(spark, items, fx.retail_products(spark, SF_SMALL),
-                                  fx.retail_orders(spark, SF_SMALL), path, scratch_path(spark, "ck"))
+    q = inc.sales_category_stream(spark, items, path, scratch_path(spark, "ck"))
     assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 3
     got = {r.category: (r.total_quantity_sold, round(r.total_revenue, 4))
-           for r in inc.sales_from_partials(spark, path).collect()}
+           for r in inc.sales_from_partials(spark, path, fx.retail_products(spark, SF_SMALL),
+                                         fx.retail_orders(spark, SF_SMALL)).collect()}
     want = {r.category: (r.total_quantity_sold, round(r.total_revenue, 4))
             for r in catalog.q_sales_by_category(spark, SF_SMALL).collect()}
     assert got == want
+
+
+def test_items_before_their_order_and_status_changes_count(spark):
+    landing, path, ck = (scratch_path(spark, n) for n in ("waves", "waves_partials", "waves_ck"))
+    schema = "order_id long, product_id long, quantity double, unit_price double"
+    products = spark.createDataFrame([(1, "A"), (2, "B")], "product_id long, category string")
+
+    def wave(items, name):
+        spark.createDataFrame(items, schema).coalesce(1).write.parquet(f"{landing}/{name}")
+        inc.sales_category_stream(spark, spark.readStream.schema(schema).parquet(f"{landing}/*"), path, ck)
+
+    def sales_now(orders):
+        o = spark.createDataFrame(orders, "order_id long, status string")
+        return {r.category: (r.total_quantity_sold, r.total_revenue)
+                for r in inc.sales_from_partials(spark, path, products, o).collect()}
+
+    wave([(10, 1, 2.0, 3.0), (11, 2, 1.0, 1.0)], "a")
+    assert sales_now([(10, "completed")]) == {"A": (2.0, 6.0)}  # order 11 hasn't come yet
+    wave([(10, 1, 1.0, 4.0)], "b")
+    assert sales_now([(10, "completed"), (11, "pending")]) == {"A": (3.0, 10.0)}
+    assert sales_now([(10, "completed"), (11, "shipped")]) == {"A": (3.0, 10.0), "B": (1.0, 1.0)}
+
+
+def test_window_partials_do_not_depend_on_order_or_split(spark):
+    t = dt.datetime(2024, 1, 1)
+    schema = "end_time timestamp_ntz, credits double"
+    data = [(t + dt.timedelta(minutes=17 * i), float(i)) for i in range(200)]
+    want = None
+    for n, order in ((1, data), (5, data[::-1]), (7, data[1::2] + data[::2])):
+        landing, path = scratch_path(spark, "order"), scratch_path(spark, "order_out")
+        for k in range(n):
+            spark.createDataFrame(order[k::n], schema).coalesce(1).write.mode("append").parquet(landing)
+        src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        inc.window_partials_stream(src, "end_time", "1 hour", path, scratch_path(spark, "ck"), value="credits")
+        got = rows(inc.windows_from_partials(spark, path, "1 hour", "6 hours"))
+        want = want or got
+        assert got == want and len(got) > 40
+
+
+def test_missing_days_of_a_city_that_never_loaded(spark):
+    df = spark.createDataFrame([("A", dt.date(2024, 1, 1))], "city string, d date")
+    expected = spark.createDataFrame([("A",), ("Z",)], "city string")
+    got = rows(timeseries.missing_intervals(df, "d", "2024-01-01", "2024-01-02", ["city"], expected))
+    assert got == [("A", dt.date(2024, 1, 2)), ("Z", dt.date(2024, 1, 1)), ("Z", dt.date(2024, 1, 2))]
+
+
+def test_reports_read_one_partition_of_the_stored_table(spark):
+    for name in ("temp_ranking", "city_fibonacci", "weather_run_summary"):
+        plan = catalog.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().toString()
+        assert "PartitionFilters: [isnotnull(analysis_date" in plan, plan
+    assert catalog._stored_analytics(spark, SF_SMALL).select("analysis_date").distinct().count() > 1
+
+
+def test_cap_of_the_weather_stream_is_the_day_of_the_batch(spark, monkeypatch):
+    from cumulus.operators import weather
+    from cumulus.sources.tables import WEATHER_ANALYTICS, WEATHER_RAW
+    raw_path, out, ck = (scratch_path(spark, n) for n in ("cap_raw", "cap_out", "cap_ck"))
+    consts = weather.series_constants_20k(spark)
+
+    class Clock(dt.datetime):
+        today = dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc)
+
+        @classmethod
+        def now(cls, tz=None):
+            return cls.today
+
+    monkeypatch.setattr(inc, "datetime", Clock)
+    raw = catalog._raw(spark, SF_SMALL)
+    for day in (10, 20):
+        Clock.today = dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc)
+        sinks.write_table(raw.filter(F.col("ingestion_date") == F.lit(f"2024-01-{day}").cast("date")), raw_path,
+                          WEATHER_RAW, partition_by=["ingestion_date"], mode="append")
+        inc.weather_analytics_stream(spark, raw_path, out, ck, consts, now=catalog.NOW)
+    dates = {r[0] for r in sinks.read_back(spark, out, WEATHER_ANALYTICS).select("analysis_date").distinct().collect()}
+    assert dates == {dt.date(2024, 1, 10), dt.date(2024, 1, 20)}
+
+
+def test_scratch_is_shared_or_refused_and_can_be_cleared(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from cumulus import session
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                              sparkContext=SimpleNamespace(master="spark://x:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(cluster)

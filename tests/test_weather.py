@@ -152,13 +152,52 @@ def test_json_lines_file_source(spark):
     import os
     from cumulus.session import scratch_path
     from cumulus.sources import documents as docs
-    path = scratch_path(spark, "landing")
-    os.makedirs(path.replace("file:", ""), exist_ok=True)
-    with open(os.path.join(path.replace("file:", ""), "geo.jsonl"), "w") as f:
-        f.write('{"results":[{"latitude":1.5,"longitude":2.5,"country":"Z"}]}\n')
-        f.write('{"results":[\n')
-        f.write('{"results":[]}\n')
-    got = docs.read_documents(spark, path, docs.GEOCODE)
-    assert got.columns == ["doc_file", "results"]
-    sizes = sorted(len(r.results) for r in got.collect())
-    assert sizes == [0, 1]  # the malformed line is dropped
+    path = scratch_path(spark, "landing").replace("file:", "")
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "geo.jsonl"), "w") as f:
+        f.write('{"city":"A","doc":"{\\"results\\":[{\\"latitude\\":1.5,\\"longitude\\":2.5,\\"country\\":\\"Z\\"}]}"}\n')
+        f.write('{"city":"B","doc":"{\\"results\\":["}\n')
+        f.write('{"city":"C","doc":"{\\"results\\":[]}"}\n')
+    landed = docs.read_landed(spark, path, "city string, doc string")
+    assert landed.count() == 3
+    assert rows(W.locations(landed)) == [("A", "Z", 1.5, 2.5)]
+
+
+def test_latest_geocode_counts_once_per_city(spark):
+    def geo(lat):
+        return '{"results":[{"latitude":%s,"longitude":2,"country":"Z"}]}' % lat
+    docs = spark.createDataFrame([("A", "2024-01-01", geo(1)), ("A", "2024-01-03", geo(3)), ("A", "2024-01-02", geo(2)),
+                                  ("B", "2024-01-01", geo(1)), ("B", "2024-01-02", '{"results":[]}')],
+                                 "city string, fetched_at string, doc string")
+    wx = spark.createDataFrame([("A", None, '{"current_weather":{"temperature":1}}'),
+                                ("B", None, '{"current_weather":{"temperature":1}}')],
+                               "city string, observed_at timestamp_ntz, doc string")
+    assert rows(W.flatten_weather_json(docs, wx, "2024-01-05 00:00:00"), "city", "latitude") == [("A", 3.0)]
+
+
+def test_null_is_not_missing_and_types_are_cast(spark):
+    geo = spark.createDataFrame([
+        ("null country", '{"results":[{"latitude":"1.5","longitude":2,"country":null}]}'),
+        ("no latitude", '{"results":[{"name":"x"}]}'), ("null latitude", '{"results":[{"latitude":null,"longitude":1}]}'),
+        ("text", '{"results":[{"latitude":"north","longitude":1}]}'), ("null results", '{"results":null}'),
+    ], "city string, doc string")
+    assert rows(W.locations(geo)) == [("null country", None, 1.5, 2.0)]
+    wx = spark.createDataFrame([(i, None, d) for i, d in enumerate([
+        '{"current_weather":{"temperature":"5.5","windspeed":3,"weathercode":3.0}}',
+        '{"current_weather":{"temperature":null,"windspeed":3}}',
+        '{"current_weather":null}', '{"current_weather":7}', '{}', '[]', 'null', '',
+        '{"current_weather":{"temperature":"mild"}}'])], "city int, observed_at timestamp_ntz, doc string")
+    got = rows(W.current_weather(wx, "2024-01-05 00:00:00"), "city", "temperature", "windspeed", "weathercode")
+    assert got == sorted([(0, 5.5, 3.0, 3), (1, None, 3.0, 0), (4, 0.0, 0.0, 0), (8, None, 0.0, 0)], key=repr)
+
+
+def test_variance_of_a_large_mean_with_a_small_spread(spark):
+    from cumulus.sources.tables import WEATHER_RAW as SCHEMA
+    base = dict.fromkeys(SCHEMA.names)
+    data = [base | {"city": "A", "country": "Z", "latitude": 1.0, "longitude": 1.0, "windspeed": 1.0, "comfort_index": 1.0,
+                    "temperature": 1e6 + (d % 2) * 1e-3, "ingestion_date": D(2024, 1, d)} for d in range(1, 9)]
+    raw = spark.createDataFrame([tuple(r[c] for c in SCHEMA.names) for r in data], SCHEMA)
+    dates = spark.createDataFrame([(D(2024, 1, 8),)], "analysis_date date")
+    consts = spark.createDataFrame([(0.0, 0.0)], "total_calc double, avg_calc double")
+    v = W.analytics_for_dates(raw, consts, dates).first().temperature_variance
+    assert 0 <= v < 0.01
