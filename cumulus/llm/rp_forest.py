@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import hashed_share, stored
 from .components import connected_components
 
 COSINE = 0.93
 TREES = 5
 MARGIN = 0.65  # of the standard deviation of a borderline pair's difference along a direction
-SAMPLE = 20_000  # bound of the sample that sets the thresholds: vectors with the smallest hash
+SAMPLE = 20_000  # size of the sample that sets the thresholds: vectors by hash
 LEAF = 512  # classes a leaf should hold
 BLOCK = 1024  # classes compared at once
 LEAST = 32  # sampled vectors below which a node isn't split
@@ -136,7 +136,8 @@ def link(rows: DataFrame, cosine: float = COSINE, trees: int = TREES, sample: in
     most = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
     half = 0.5 + MARGIN * np.sqrt(2 - 2 * cosine) * 0.4  # what a side keeps, with its share of the margin
     depth = max(0, int(np.ceil(np.log(max(1, most / LEAF)) / np.log(1 / min(half, 0.9)))))
-    drawn = classes.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("embedding").toArrow().column(0).to_pylist()
+    drawn = (classes.filter(hashed_share(F.xxhash64("rep"), sample, classes.count())).orderBy("rep")
+             .select("embedding").toArrow().column(0).to_pylist())
     by_dim: dict[int, list] = {}
     for v in drawn:
         by_dim.setdefault(len(v), []).append(v)

@@ -79,7 +79,7 @@ def test_held_out(spark, edge, empty, clashing):
     assert (C.train(docs, flipped, vectors, F.col("doc_id") % 4 != 0).w1 == net.w1).all()
     scored = C.score(edge, vectors, net).collect()
     assert len(scored) == edge.count() and all(0 <= r["score"] <= 1 for r in scored)
-    assert sorted(C.score(clashing, vectors, net).collect()) == sorted(scored)
+    assert sorted(C.score(clashing, vectors, net).collect(), key=repr) == sorted(scored, key=repr)
     assert C.score(empty, vectors, net).count() == 0 and not C.contexts(empty).any()
     assert C.train(docs, labels.limit(0), vectors, F.lit(True)) == 0.5
     assert {r["score"] for r in C.score(edge, vectors, 0.5).collect()} == {0.5}
