@@ -79,5 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_rp_forest": rp_forest.ORACLE,
     "op3_mixing": mixing.ORACLE,
+    "op7_quotation": quotation.ORACLE,
 }

@@ -161,3 +161,59 @@ def linked(conversations: DataFrame) -> DataFrame:
     placed = _positions(out.withColumn("hops_first", (F.col("hops") > 0).cast("int")), "thread_conv_id", order)
     return placed.select("conv_id", "turn", "role", "text", "n_quotes", "n_linked", "reply_conv_id", "reply_turn",
                          "thread_conv_id", "thread_turn", "hops", F.col("position").cast("long").alias("position"))
+
+
+#: The tables' messages may quote each other like any others; units as in ``_UNITS``.
+ORACLE = r"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS mid, conv_id, turn, role, coalesce(text, '') AS raw FROM conversations),
+lines AS (
+  SELECT mid, conv_id, turn, i, regexp_extract(x, '^[ \t]*(?:>[ \t]*)*') AS p, x FROM (
+    SELECT mid, conv_id, turn, unnest(l) AS x, generate_subscripts(l, 1) AS i
+    FROM (SELECT *, string_split(raw, chr(10)) AS l FROM messages))),
+levels AS (
+  SELECT mid, conv_id, turn, i, len(p) - len(replace(p, '>', '')) AS d,
+    CASE WHEN d > 0 THEN substr(x, len(p) + 1) ELSE x END AS c FROM lines),
+runs AS (
+  SELECT *, sum(new) OVER (PARTITION BY mid ORDER BY i) - 1 AS k FROM (
+    SELECT *, (d IS DISTINCT FROM lag(d) OVER (PARTITION BY mid ORDER BY i))::INT AS new FROM levels)),
+passages AS (
+  SELECT mid, conv_id, turn, k, any_value(d) AS d, string_agg(c, chr(10) ORDER BY i) AS t FROM runs GROUP BY ALL),
+units AS (
+  SELECT mid, conv_id, turn, k, d, u.level AS level, u.n AS n FROM (
+    SELECT *, unnest(list_concat([{'level': 3, 'n': t}],
+      list_transform(regexp_split_to_array(t, '\n[ \t]*\n'), lambda x: {'level': 2, 'n': x}),
+      list_transform(string_split(t, chr(10)), lambda x: {'level': 1, 'n': x}))) AS w FROM passages
+    WHERE conv_id IS NOT NULL AND turn IS NOT NULL) s,
+    LATERAL (SELECT {'level': s.w.level, 'n': lower(trim(regexp_replace(s.w.n, '\s+', ' ', 'g')))} AS u)
+  WHERE u.n <> ''),
+here AS (SELECT n, conv_id, min(turn) AS t0, min((turn, mid)) AS o FROM units WHERE d = 0 GROUP BY ALL),
+there AS (SELECT n, min((conv_id, turn, mid)) AS e FROM units WHERE d = 0 AND level > 1 GROUP BY n),
+hits AS (
+  SELECT q.mid, q.k, q.d, q.level, h.o IS NULL AS far,
+    CASE WHEN h.o IS NOT NULL THEN q.conv_id ELSE e[1] END AS c, coalesce(h.o[1], e[2]) AS t, coalesce(h.o[2], e[3]) AS m
+  FROM units q LEFT JOIN here h ON h.n = q.n AND h.conv_id = q.conv_id AND h.t0 < q.turn
+  LEFT JOIN there ON there.n = q.n AND q.level > 1 AND there.e[1] < q.conv_id
+  WHERE q.d > 0 AND (h.o IS NOT NULL OR e IS NOT NULL)),
+best AS (
+  SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY mid, k ORDER BY level DESC, far, t DESC, c, m) = 1),
+about AS (
+  SELECT mid, count(*) AS n_quotes, (SELECT count(*) FROM best b WHERE b.mid = p.mid) AS n_linked
+  FROM passages p WHERE d > 0 GROUP BY mid),
+replies AS (SELECT mid, c, t, m FROM best WHERE d = 1 QUALIFY row_number() OVER (PARTITION BY mid ORDER BY k) = 1),
+climb(mid, up, hops) AS (SELECT mid, m, 1 FROM replies UNION ALL SELECT x.mid, r.m, x.hops + 1 FROM climb x JOIN replies r ON r.mid = x.up),
+roots AS (SELECT mid, arg_max(up, hops) AS root, max(hops) AS hops FROM climb GROUP BY mid),
+own AS (SELECT mid, string_agg(c, chr(10) ORDER BY i) AS t FROM levels WHERE d = 0 GROUP BY mid),
+threads AS (
+  SELECT g.*, coalesce(trim(own.t, ' ' || chr(9) || chr(10) || chr(13)), '') AS text, coalesce(n_quotes, 0) AS n_quotes,
+    coalesce(n_linked, 0) AS n_linked, r.c AS reply_conv_id, r.t AS reply_turn,
+    CASE WHEN z.mid IS NULL THEN g.conv_id ELSE f.conv_id END AS thread_conv_id,
+    CASE WHEN z.mid IS NULL THEN g.turn ELSE f.turn END AS thread_turn, coalesce(z.hops, 0) AS hops
+  FROM messages g LEFT JOIN own USING (mid) LEFT JOIN about USING (mid) LEFT JOIN replies r USING (mid)
+  LEFT JOIN roots z USING (mid) LEFT JOIN messages f ON f.mid = z.root)
+SELECT conv_id, turn, role, text, n_quotes::BIGINT AS n_quotes, n_linked::BIGINT AS n_linked, reply_conv_id, reply_turn,
+  thread_conv_id, thread_turn, hops::BIGINT AS hops,
+  row_number() OVER (PARTITION BY thread_conv_id ORDER BY thread_turn NULLS FIRST, hops > 0, conv_id NULLS FIRST,
+    turn NULLS FIRST, role NULLS FIRST, md5(raw), mid) - 1 AS position
+FROM threads
+"""

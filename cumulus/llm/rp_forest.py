@@ -190,3 +190,22 @@ def link(rows: DataFrame, cosine: float = COSINE, trees: int = TREES, sample: in
     return joined.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                          component.alias("component_id"),
                          F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+
+
+ORACLE = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM valid a JOIN valid b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+found AS (
+  SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id
+  FROM embeddings LEFT JOIN (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u) USING (vec_id)
+  LEFT JOIN (SELECT u AS vec_id, min(v) AS low FROM reach GROUP BY u) USING (vec_id))
+SELECT *, vec_id IS NULL OR vec_id = component_id AS kept FROM found
+"""

@@ -119,3 +119,16 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     plan = Q.linked(spark.createDataFrame(messages(1), SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_oracle_on_quoting_messages(spark):
+    import duckdb
+    import pandas as pd
+    rows = messages(3)
+    duck = duckdb.connect()
+    duck.register("frame", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    duck.execute("CREATE TABLE conversations AS SELECT * FROM frame")
+    rel = duck.sql(Q.ORACLE)
+    out = Q.linked(spark.createDataFrame(rows, SCHEMA))
+    want = sorted((tuple(r[rel.columns.index(c)] for c in out.columns) for r in rel.fetchall()), key=repr)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == want

@@ -71,3 +71,15 @@ def test_edges(spark):
                                (110, [1.] * 8, 1), (111, [1.] * 8, 1), (112, [1.] * 16, 0)]
     assert got(spark, rows) == brute(rows)
     assert got(spark, []) == []
+
+
+def test_oracle_on_linked_vectors(spark):
+    import duckdb
+    rows = vectors(4, n=200) + [(900, None, 1), (901, [0.] * 16, 1), (902, [1.] * 16, None)]
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INTEGER)")
+    duck.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    rel = duck.sql(R.ORACLE)
+    cols = ["vec_id", "n_links", "component_id", "kept"]
+    want = sorted((tuple(r[rel.columns.index(c)] for c in cols) for r in rel.fetchall()), key=repr)
+    assert got(spark, rows) == want and sum(w[1] for w in want) > 0
