@@ -328,7 +328,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "temp_extremes": _report(reports.temp_extremes),
     "climate_distribution": _report(reports.climate_distribution),
     "wind_patterns": _report(reports.wind_patterns),
-    "variance_top5": _report(reports.variance_top5),
+    "variance_top5": _report(reports.variance_top5, spread=True),
     "variance_category_all": _report(reports.variance_category_all, spread=True),
     "report_summary": _report(reports.report_summary),
     "comfort_top5": _report(reports.comfort_top5),

@@ -98,11 +98,22 @@ def weather_readings(spark: SparkSession, sf_dir: str, spread: bool = False) ->
     """The ten reading columns, one row per event.
 
     ``spread`` scales temperature by a per-city factor so the sample variances
-    fall into all three variance classes (used by ``variance_category_all``).
+    fall into all three variance classes, and adds a city per region with one
+    reading without a wind speed, whose variance is NULL (used by the variance
+    reports).
     """
     j = _events_by_city(spark, sf_dir).join(_city_dim(spark, sf_dir), "city_key")
-    return j.select("city", "country", "latitude", "longitude", *_measures(j, spread),
-                    j.ts.alias("timestamp"), F.to_date(j.ts).alias("ingestion_date"))
+    out = j.select("city", "country", "latitude", "longitude", *_measures(j, spread),
+                   j.ts.alias("timestamp"), F.to_date(j.ts).alias("ingestion_date"))
+    if not spread:
+        return out
+    r, at = read_table(spark, sf_dir, "region"), F.lit(f"{AS_OF} 06:00:00").cast("timestamp_ntz")
+    lone = r.select(F.concat(r.r_name, F.lit(" CITY")).alias("city"), r.r_name.alias("country"),
+                    (r.r_regionkey * 10.0).alias("latitude"), F.lit(0.0).alias("longitude"),
+                    (r.r_regionkey * 5.0).alias("temperature"), F.lit(None).cast("double").alias("windspeed"),
+                    F.lit(0.0).alias("winddirection"), F.lit(0).alias("weathercode"),
+                    at.alias("timestamp"), F.to_date(at).alias("ingestion_date"))
+    return out.unionByName(lone)
 
 
 def geocode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
