@@ -245,7 +245,16 @@ def keep_one(docs: DataFrame, k: int = 3, bits: int = 2) -> DataFrame:
     often its row repeats. Rows without a doc_id can't be told apart, so
     they are kept only if their component has no other (one of them stays).
     """
-    found = near_duplicates(docs.select("doc_id", "text"), k, bits)
-    keep = stored(found.select("component_id").distinct(), "keep")
-    hit = docs.join(keep, docs["doc_id"].eqNullSafe(keep["component_id"]), "left_semi")
-    return hit.dropDuplicates(["doc_id"])
+    found = stored(near_duplicates(docs.select("doc_id", "text"), k, bits).select("doc_id", "component_id"), "found")
+    kept = stored(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+                  .join(found.select(F.col("component_id").alias("root")).distinct(),
+                        F.col("doc_id").eqNullSafe(F.col("root")), "left_semi")
+                  .select(F.col("doc_id").alias("_kept"), "rows"), "kept")
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        # the ids are the hashed side: texts are shuffled once and never sorted
+        return docs.join(ids.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
+    once, again = kept.filter("rows = 1"), kept.filter("rows > 1")
+    if again.isEmpty():
+        return rows_of(once)
+    return rows_of(once).unionByName(rows_of(again).dropDuplicates(["doc_id"]))
