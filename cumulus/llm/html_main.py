@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hashed_share
+
 #: Fixed values of HTML: elements without content, with raw content, and those that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
@@ -46,7 +48,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
 NAMES = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s'\">]+))", re.I)
 HIDDEN = re.compile(r"\shidden(?:[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
-LABELLED = 2000  # bound of the labelled sample: pages with the smallest hash of their id
+LABELLED = 2000  # size of the labelled sample: pages by the hash of their html
 WORD_FLOOR, TAG_CEILING, CLIP = 0.05, -0.05, 5.0
 UNSEEN_WORD, UNSEEN_TAG = 1.0, -0.5
 
@@ -195,10 +197,10 @@ def extract(html: str | None, weight: dict[str, float]) -> str:
 
 
 def learn(pages: DataFrame, labelled: int = LABELLED) -> dict[str, float]:
-    """Weights from at most ``labelled`` pages that mark their article (html; smallest hash first)."""
+    """Weights from about ``labelled`` pages that mark their article, told by the hash of their html."""
     marked = pages.select(F.col("html").cast("string").alias("html")).filter(
         F.lower("html").rlike("<(?:article|main)[\\s>]"))
-    sample = marked.select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(labelled)
+    sample = marked.filter(hashed_share(F.xxhash64("html"), labelled, marked.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
