@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import salted_join
 from .common import stored
 
 SYMBOLS = "#*$%&|<>"
@@ -216,7 +217,8 @@ def _step(rows: DataFrame, now: DataFrame, cutoff: float | None = None) -> DataF
         ss = np.vstack(pdf["ss"].to_numpy())[:k].sum(0)
         return pd.DataFrame([_estimate(key[0], int(key[1]), float(cum[k - 1]), s, ss, cover)])
 
-    near = rows.join(now.select("gkey", "start", "m", "prec"), "gkey").withColumn("bin", _bin(_distance()))
+    # salted: a shuffle by gkey alone would also serve the sums, and bring a hot group's rows to one task
+    near = salted_join(rows, now.select("gkey", "start", "m", "prec"), "gkey").withColumn("bin", _bin(_distance()))
     return stored(_sums(near, ["gkey", "start", "bin"]).groupBy("gkey", "start")
                   .applyInPandas(choose, ESTIMATE), "mcd")
 
@@ -225,11 +227,11 @@ def _starts(rows: DataFrame) -> DataFrame:
     """Three estimates per group: scaled medians, tanh scores, spatial signs."""
     med = stored(rows.groupBy("gkey").agg(F.array(*[
         F.percentile_approx(F.col("v")[i], 0.5, 2000) for i in range(P)]).alias("m")), "median")
-    dev = stored(rows.join(med, "gkey").groupBy("gkey").agg(
+    dev = stored(salted_join(rows, med, "gkey").groupBy("gkey").agg(
         F.first("m").alias("m"), F.array(*[F.percentile_approx(F.abs(F.col("v")[i] - F.col("m")[i]), 0.5, 2000)
                                             for i in range(P)]).alias("dev")), "deviation")
     sd = [F.sqrt(F.pow(1.4826 * F.col("dev")[i], 2) + float(FLOOR[i])) for i in range(P)]
-    z = rows.join(dev, "gkey").select("gkey", "m", "dev", F.array(*[
+    z = salted_join(rows, dev, "gkey").select("gkey", "m", "dev", F.array(*[
         (F.col("v")[i] - F.col("m")[i]) / sd[i] for i in range(P)]).alias("z"))
     norm = F.greatest(sum((F.pow(F.col("z")[i], 2) for i in range(P)), F.lit(0.0)), F.lit(1e-12))
     agg = z.groupBy("gkey").agg(
