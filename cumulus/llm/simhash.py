@@ -30,9 +30,10 @@ from itertools import combinations, islice, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import SALTS
 from .common import stored
 from .components import connected_components
 
@@ -65,13 +66,15 @@ def fingerprint(text: str | None, k: int = 3) -> int:
     return int((np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64))[votes * 2 > n]).sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, k: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the long columns ``carry``: fp is the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), k) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *b.columns[2:]],
+                                             ["doc_id", "fp", *carry])
+    return docs.select(F.col("doc_id").cast("long"), "text", *carry).mapInArrow(
+        run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *carry)))
 
 
 # ---------------------------------------------------------------- Golay keys
@@ -238,23 +241,40 @@ def hex_fingerprint(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _row_hashes(docs: DataFrame) -> tuple[Column, Column]:
+    """Two hashes (96 bits) of a row's columns, but for maps, which have no order; equal rows agree."""
+    cols = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    return F.xxhash64(*cols), F.hash(*cols).cast("long")
+
+
 def keep_one(docs: DataFrame, k: int = 3, bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` that remain when one document of each component stays.
+    """The rows of ``docs`` that remain when one row of each component stays.
 
-    The document with the component's smallest doc_id stays, once however
-    often its row repeats. Rows without a doc_id can't be told apart, so
-    they are kept only if their component has no other (one of them stays).
+    The row with the component's smallest doc_id stays (of several, that
+    with the smallest hash), once however often it repeats. A null doc_id
+    comes after all others. Rows are told apart by all their columns, so
+    rows without a doc_id, or of one doc_id in several components, each
+    count for their own component.
     """
-    found = stored(near_duplicates(docs.select("doc_id", "text"), k, bits).select("doc_id", "component_id"), "found")
-    kept = stored(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-                  .join(found.select(F.col("component_id").alias("root")).distinct(),
-                        F.col("doc_id").eqNullSafe(F.col("root")), "left_semi")
-                  .select(F.col("doc_id").alias("_kept"), "rows"), "kept")
-
-    def rows_of(ids: DataFrame) -> DataFrame:
-        # the ids are the hashed side: texts are shuffled once and never sorted
-        return docs.join(ids.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
-    once, again = kept.filter("rows = 1"), kept.filter("rows > 1")
+    h1, h2 = _row_hashes(docs)
+    hashed = docs.select("doc_id", "text", h1.alias("h1"), h2.alias("h2"))
+    rows = (stored(fingerprints(hashed, k, ("h1", "h2")), "fp")
+            .groupBy("fp", "h1", "h2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")))
+    first = F.min(F.struct(F.isnull("id").alias("no_id"), "id", "h1", "h2", "n")).alias("first")
+    classes = stored(rows.groupBy("fp").agg(first), "classes")
+    comp = connected_components(stored(links(classes, bits), "links")).withColumnRenamed("node", "fp")
+    kept = stored(classes.join(stored(comp, "comp"), "fp", "left")
+                  .groupBy(F.coalesce("component", "fp").alias("root")).agg(F.min("first").alias("first"))
+                  .select(F.col("first.h1").alias("_h1"), F.col("first.h2").alias("_h2"),
+                          F.col("first.n").alias("_n")), "kept")
+    once, again = kept.filter("_n = 1"), kept.filter("_n > 1")
+    # the hashes are the hashed side: texts are shuffled once and never sorted
+    out = docs.join(once.hint("shuffle_hash"), (h1 == once["_h1"]) & (h2 == once["_h2"]), "left_semi")
     if again.isEmpty():
-        return rows_of(once)
-    return rows_of(once).unionByName(rows_of(again).dropDuplicates(["doc_id"]))
+        return out
+    # equal rows are dealt over SALTS tasks, of which each leaves one
+    part = docs.withColumns({"_h1": h1, "_h2": h2, "_salt": F.monotonically_increasing_id() % SALTS})
+    dealt = again.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    same = part.join(dealt.hint("shuffle_hash"), ["_h1", "_h2", "_salt"], "left_semi")
+    one = same.dropDuplicates(["_h1", "_h2", "_salt"]).dropDuplicates(["_h1", "_h2"])
+    return out.unionByName(one.drop("_h1", "_h2", "_salt"))

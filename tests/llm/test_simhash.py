@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from cumulus.llm import simhash as S
-from tests.llm.conftest import DOCS, prose
+from tests.llm.conftest import CLASH, DOCS, prose
 
 
 def plain_fingerprint(text, k=3):
@@ -103,6 +104,18 @@ def test_one_of_each_component_stays(edge, clashing, empty):
     assert S.keep_one(empty).count() == 0
 
 
+def test_rows_without_or_with_repeated_ids_keep_their_component(spark):
+    rng = random.Random(9)
+    a, b, c, d, *clean = [prose(rng, 150) for _ in range(24)]
+    rows = [(None, t) for t in clean]  # different texts, no id: all stay
+    rows += [(1, a), (None, a), (1, a), (1, b), (2, b), (1, b)]  # id 1 is the smallest of two components
+    rows += [(None, c)] * 20 + [(7, d), (None, d)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS).repartition(4)
+    for docs in (docs, docs.withColumns({n: F.lit(n) for n in CLASH})):
+        kept = sorted(((r["doc_id"], r["text"]) for r in S.keep_one(docs).collect()), key=repr)
+        assert kept == sorted([(None, t) for t in clean] + [(1, a), (1, b), (None, c), (7, d)], key=repr)
+
+
 def test_components_of_long_chains_and_stars(spark):
     from cumulus.llm.components import connected_components
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, j) for j in range(6, 90)] + [(7, 7), (None, 1)]
