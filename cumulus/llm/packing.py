@@ -16,6 +16,7 @@ ITEMS pieces stay partly empty.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -46,8 +47,8 @@ def encoder(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a ``tokenizers`` file, run by tiktoken's faster merge loop.
 
     The ids are those of ``tokenizers`` (tested): in this vocabulary the
-    order of the ids is the order of the merges. Special strings in a text
-    are ordinary text.
+    order of the ids is the order of the merges. It knows no added tokens;
+    ``ids_of`` tells them before.
     """
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -59,6 +60,33 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """A pattern of the added tokens of a ``tokenizers`` file (longest first) with one group, and their ids."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError("added tokens that look at the text around them are not supported")
+    ids = {t["content"]: t["id"] for t in added}
+    longest = sorted(ids, key=len, reverse=True)
+    return (re.compile(f"({'|'.join(map(re.escape, longest))})") if ids else None), ids
+
+
+def ids_of(text: str, path: str) -> list[int]:
+    """The ids that ``tokenizers`` gives, added tokens included: the text is cut at these, each part encoded alone."""
+    enc, (pattern, added) = encoder(path), added_tokens(path)
+    parts = pattern.split(text) if pattern else [text]
+    if len(parts) == 1:
+        return enc.encode_ordinary(text)
+    ids: list[int] = []
+    for i, part in enumerate(parts):  # every second part is an added token
+        if i % 2:
+            ids.append(added[part])
+        else:
+            ids += enc.encode_ordinary(part)
+    return ids
+
+
 def cuts(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids; only the first may be shorter than a sequence."""
     first = n if n <= length else n % length or length
@@ -70,11 +98,11 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
     file = path or TOKENIZER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path or public_tokenizers.path(file))
+        at_file = path or public_tokenizers.path(file)
         for b in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.array([*enc.encode_ordinary(text.as_py() or ""), END], "<u4")
+                ids = np.array([*ids_of(text.as_py() or "", at_file), END], "<u4")
                 for k, (at, n) in enumerate(cuts(len(ids), length)):
                     for column, x in zip(out, (doc_id, k, at, n, zlib.crc32(ids[at:at + n].tobytes()))):
                         column.append(x)

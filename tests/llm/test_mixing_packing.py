@@ -91,6 +91,23 @@ def test_ids_are_those_of_tokenizers():
         K.encoder(path).encode_ordinary(x) for x in texts]
 
 
+def test_added_tokens_have_their_ids(spark):
+    t = Tokenizer.from_file(public_tokenizers.path(K.TOKENIZER))  # as the file says, nothing set
+    rng = random.Random(10)
+    end = "<|endoftext|>"
+    texts = ["a log line <|endoftext|> and more", end, end * 3, f" {end}  \n{end}a", "<|endoftext|", "<|<|endoftext|>|>",
+             "".join(rng.choice([end, " ", "\n", "word ", "it's", "<|", "1é"]) for _ in range(3000)), "", None]
+    ids = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert ids[0] == [64, 2604, 1627, 220, 50256, 290, 517]
+    path = public_tokenizers.path(K.TOKENIZER)
+    assert [K.ids_of(x or "", path) for x in texts] == ids
+    out = K.pieces(spark.createDataFrame([(i, x, None, None, None) for i, x in enumerate(texts)], DOCS)).collect()
+    for r in out:
+        own = [*ids[r["doc_id"]], K.END][r["start"]:r["start"] + r["length"]]
+        assert len(own) == r["length"] and r["ids_crc32"] == zlib.crc32(np.array(own, "<u4").tobytes())
+    assert sum(r["length"] for r in out) == sum(map(len, ids)) + len(ids)
+
+
 def check(docs, out, length=1024):
     enc = K.encoder(public_tokenizers.path(K.TOKENIZER))
     want = []
