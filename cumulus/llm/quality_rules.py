@@ -44,8 +44,8 @@ LEVEL = 0.9999  # chi-square level beyond which a document is an outlier
 PRIOR = 30.0  # words by which shares of short texts are drawn to typical ones
 PER_OCTAVE, LOWEST, BINS = 4, -6, 100  # distance bins
 #: name, typical share (the prior's), smallest standard deviation taken as real
-FEATURES = (("word_length", 4.6, 0.4), ("symbols", 0.01, 0.06), ("capitals", 0.03, 0.09),
-            ("digits", 0.002, 0.2), ("marks", 0.12, 0.12), ("repeats", 0.01, 0.2))
+FEATURES = (("word_length", 4.6, 0.1), ("symbols", 0.01, 0.015), ("capitals", 0.03, 0.02),
+            ("digits", 0.002, 0.05), ("marks", 0.12, 0.03), ("repeats", 0.01, 0.05))
 P = len(FEATURES)
 
 
@@ -159,6 +159,7 @@ def chi2_quantile(q: float, k: int) -> float:
 
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 FLOOR = np.array([f for _, _, f in FEATURES]) ** 2
+RIDGE = 1e-6  # part of each variance that is added, so that the covariance can be inverted
 ESTIMATE = "gkey string, start int, m array<double>, prec array<double>, det double, scale double"
 
 
@@ -185,7 +186,9 @@ def _estimate(gkey: str, start: int, n: float, s: np.ndarray, ss: np.ndarray, co
     for (i, j), x in zip(PAIRS, ss):
         cov[i, j] = cov[j, i] = x / n - m[i] * m[j]
     scale = cover / max(chi2_cdf(chi2_quantile(cover, P), P + 2), 1e-9) if cover < 1 else 1.0
-    cov = cov * scale + np.diag(FLOOR)  # statistics that hardly vary count only beyond their floor
+    cov *= scale
+    own = np.diag(cov)  # the group's own spread counts, but for statistics that hardly vary in it
+    cov = cov + np.diag(np.maximum(FLOOR - own, 0) + RIDGE * np.maximum(own, FLOOR))
     return {"gkey": gkey, "start": start, "m": m.tolist(), "prec": np.linalg.inv(cov).ravel().tolist(),
             "det": float(np.linalg.slogdet(cov)[1]), "scale": scale}
 
@@ -230,7 +233,7 @@ def _starts(rows: DataFrame) -> DataFrame:
     dev = stored(salted_join(rows, med, "gkey").groupBy("gkey").agg(
         F.first("m").alias("m"), F.array(*[F.percentile_approx(F.abs(F.col("v")[i] - F.col("m")[i]), 0.5, 2000)
                                             for i in range(P)]).alias("dev")), "deviation")
-    sd = [F.sqrt(F.pow(1.4826 * F.col("dev")[i], 2) + float(FLOOR[i])) for i in range(P)]
+    sd = [F.greatest(1.4826 * F.col("dev")[i], F.lit(float(FLOOR[i] ** 0.5))) for i in range(P)]
     z = salted_join(rows, dev, "gkey").select("gkey", "m", "dev", F.array(*[
         (F.col("v")[i] - F.col("m")[i]) / sd[i] for i in range(P)]).alias("z"))
     norm = F.greatest(sum((F.pow(F.col("z")[i], 2) for i in range(P)), F.lit(0.0)), F.lit(1e-12))
@@ -243,7 +246,7 @@ def _starts(rows: DataFrame) -> DataFrame:
         for pdf in batches:
             out = []
             for r in pdf.itertuples():
-                sd = np.sqrt((1.4826 * np.array(r.dev)) ** 2 + FLOOR)
+                sd = np.maximum(1.4826 * np.array(r.dev), np.sqrt(FLOOR))
                 for start, pairs in enumerate((None, r.tanh, r.sign)):
                     corr = np.eye(P)
                     if pairs is not None:

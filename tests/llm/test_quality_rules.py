@@ -58,6 +58,21 @@ def test_outliers_go_and_prose_stays(spark):
     assert all(out[i]["kept"] == (i % 8 != 0) for i in range(len(rows)) if not out[i]["base_failed"])
 
 
+def test_moderate_outliers_of_clean_groups_go(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, rng.randint(100, 300)), "en", f"s{i % 2}", None) for i in range(400)]
+    odd = []
+    for i in range(4):
+        words = prose(rng, 200).split()
+        odd.append(" ".join(str(rng.randint(10000, 99999)) if j % 2 else w for j, w in enumerate(words)))
+        odd.append(" ".join(w + "#" if j % 3 == 0 else w for j, w in enumerate(words)))
+        odd.append(" ".join(words[:181] + words[:19]))  # 19% in repeated windows
+    rows += [(1000 + i, t, "en", f"s{i % 2}", None) for i, t in enumerate(odd)]
+    out = {r["doc_id"]: r for r in Q.judged(spark.createDataFrame(rows, DOCS), ["doc_id"]).select("row.doc_id", "*").collect()}
+    assert not any(out[1000 + i]["base_failed"] or out[1000 + i]["kept"] for i in range(len(odd)))
+    assert sum(out[i]["kept"] for i in range(400)) >= 390
+
+
 def test_estimate_is_that_of_the_covered_rows(spark):
     """The concentration steps end where numpy's, over the same rows, does (up to the width of a distance bin)."""
     rng = np.random.default_rng(4)
