@@ -41,6 +41,7 @@ comment comments comentarios kommentare disqus respond reply replies sidebar sid
 navigation breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr notice notices notification popup modal
 overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations
 teaser widget footer header masthead toolbar topbar skip hidden legal disclaimer copyright tags""".split())
+COMMENTS = frozenset("comment comments comentarios kommentare disqus respond reply replies".split())
 ARTICLE = frozenset({"article", "main"})
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
@@ -53,34 +54,52 @@ WORD_FLOOR, TAG_CEILING, CLIP = 0.05, -0.05, 5.0
 UNSEEN_WORD, UNSEEN_TAG = 1.0, -0.5
 
 
-def is_out(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element holds something else than the article."""
+class Named:
+    """An element whose class or id words say that it is no article: a guess, which its size may refute."""
+
+    def __init__(self, name: str, found: frozenset[str], parent: int):
+        self.look, self.found, self.parent = (name, found), found, parent
+        self.words, self.main, self.article = 0, name == "main", False
+
+
+NONE: frozenset[str] = frozenset()
+
+
+def is_out(name: str, attributes: str, in_article: bool) -> tuple[bool, frozenset[str]]:
+    """Whether an element's tag, role or hiding tells that it is no article, and the class or id words that say so."""
     if name in OUT_TAGS or name == "header" and not in_article:
-        return True
+        return True, NONE
     if name in ARTICLE or name in ("body", "html") or not attributes:
-        return False
+        return False, NONE
     if HIDDEN.search(attributes):
-        return True
+        return True, NONE
+    words: frozenset[str] = NONE
     for kind, *values in NAMES.findall(attributes):
         value = next(filter(None, values), "").lower()
         if kind.lower() == "role":
             if value in OUT_ROLES:
-                return True
+                return True, NONE
         elif found := OUT_WORDS.intersection(re.split(r"[^a-z]+", value)):
             if not in_article or found != {"header"}:
-                return True
-    return False
+                words |= found
+    return False, words
 
 
-def parse(html: str) -> list[tuple[str, str, bool, int, bool]]:
+def parse(html: str, freed: frozenset[int] | set[int] = NONE,
+          named: list[Named] | None = None) -> list[tuple[str, str, bool, int, bool]]:
     """Tokens in page order: (kind, text, out, block, inside).
 
+    ``named`` receives the elements that only their class or id words mark;
+    those whose positions there are ``freed`` aren't marked.
+
     kind is "w:" and the block's element for text, "t:" and the element for
     a tag ("x" within an element that is no article, which ``out`` tells);
     ``block`` numbers the blocks, ``inside`` that an article element is open.
     """
     tokens: list[tuple[str, str, bool, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, out, inside an article
+    # element, out, inside an article, out by more than names, the innermost named element
+    stack: list[tuple[str, bool, bool, bool, int]] = []
+    named = [] if named is None else named
     names: Counter = Counter()
     blocks = ["body"]
     block = 0
@@ -94,6 +113,8 @@ def parse(html: str) -> list[tuple[str, str, bool, int, bool]]:
     def text(s: str) -> None:
         if s:
             out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            if stack and stack[-1][4] >= 0 and not stack[-1][3]:
+                named[stack[-1][4]].words += len(s.split())
             kind = "w:x" if out else "w:a" if names["a"] > 0 else f"w:{blocks[-1]}"
             tokens.append((kind, s, out, block, inside))
 
@@ -129,7 +150,18 @@ def parse(html: str) -> list[tuple[str, str, bool, int, bool]]:
         if name in VOID or attributes.endswith("/") and name not in BLOCK:
             continue
         here = inside or name in ARTICLE
-        stack.append((name, out or is_out(name, attributes, here), here))
+        hard, within = (stack[-1][3], stack[-1][4]) if stack else (False, -1)
+        own, words = is_out(name, attributes, here)
+        if words and not own and not hard:
+            named.append(Named(name, words, within))
+            within = len(named) - 1
+            own_out = within not in freed
+        else:
+            own_out = own
+        if name in ARTICLE and within >= 0 and not hard:
+            named[within].article = True
+            named[within].main |= name == "main"
+        stack.append((name, out or own_out, here, hard or own, within))
         names[name] += 1
         if name in BLOCK:
             blocks.append(name)
@@ -139,12 +171,49 @@ def parse(html: str) -> list[tuple[str, str, bool, int, bool]]:
                 text(html[at:end.start() if end else len(html)])
             at = end.start() if end else len(html)
     text(html[at:])
+    for e in reversed(named):  # parents stand before their children
+        if e.parent >= 0:
+            up = named[e.parent]
+            up.words, up.main, up.article = up.words + e.words, up.main or e.main, up.article or e.article
     return tokens
 
 
+def judged(html: str, weight: dict[str, float]) -> tuple[list[tuple[str, str, bool, int, bool]], tuple[int, int]]:
+    """The tokens of a page and their best region, names heeded only where they don't mark the content itself.
+
+    While no article element outside of named elements has words, the named
+    element with most words is freed of its mark if it has more words than
+    the best region, or holds <main>; with it those of the same tag and
+    names, and named elements inside that hold over half of its words.
+    Comments may outgrow their article: their names yield only to an article
+    element inside.
+    """
+    freed: set[int] = set()
+    while True:
+        named: list[Named] = []
+        tokens = parse(html, freed, named)
+        a, b = region([weight.get(kind, UNSEEN_WORD) * len(s.split()) if kind[0] == "w" else weight.get(kind, UNSEEN_TAG)
+                       for kind, s, *_ in tokens])
+        marked = [e.parent >= 0 and e.parent not in freed for e in named]
+        for i, e in enumerate(named):
+            marked[i] = marked[i] or e.parent >= 0 and marked[e.parent]
+        outer = [i for i, e in enumerate(named) if i not in freed and not marked[i] and e.words
+                 and (e.article or e.main or not e.found & COMMENTS)]
+        if not outer or any(inside and not out and s.strip() for _, s, out, _, inside in tokens):
+            return tokens, (a, b)
+        best = sum(len(s.split()) for _, s, out, *_ in tokens[a:b] if not out)
+        top = max(outer, key=lambda i: (named[i].main, named[i].words, -i))
+        if not named[top].main and named[top].words <= best:
+            return tokens, (a, b)
+        freed |= {i for i in outer if named[i].look == named[top].look}
+        for i, e in enumerate(named):
+            if e.parent in freed and 2 * e.words > named[e.parent].words and (e.article or e.main or not e.found & COMMENTS):
+                freed.add(i)
+
+
 def counts(html: str) -> Counter:
     """(kind, inside the marked article and no other element) -> words or tags, of a labelled page."""
-    tokens = parse(html)
+    tokens, _ = judged(html, {})
     found: Counter = Counter()
     if any(inside for *_, inside in tokens):
         for kind, s, out, _, inside in tokens:
@@ -180,14 +249,7 @@ def region(scores: list[float]) -> tuple[int, int]:
 
 def extract(html: str | None, weight: dict[str, float]) -> str:
     """Main text: blocks of one line each, joined by an empty line; empty if there is none."""
-    tokens = parse(html or "")
-    scores = []
-    for kind, s, *_ in tokens:
-        if kind[0] == "w":
-            scores.append(weight.get(kind, UNSEEN_WORD) * len(s.split()))
-        else:
-            scores.append(weight.get(kind, UNSEEN_TAG))
-    a, b = region(scores)
+    tokens, (a, b) = judged(html or "", weight)
     blocks: dict[int, list[str]] = {}
     for kind, s, out, block, _ in tokens[a:b]:
         if s and not out:

@@ -43,6 +43,27 @@ def test_unmarked_page():
     assert M.extract(OTHER, {}) == want  # without labelled pages
 
 
+def test_names_do_not_hide_the_content():
+    w = weights()
+    text = "<h1>A title here</h1><p>First words of the text go on.</p><p>Second words of it go on.</p>"
+    want = "A title here\n\nFirst words of the text go on.\n\nSecond words of it go on."
+    side = "<div class='sidebar'><p>Buy these things</p></div><div class='comments'><p>" + "nice one " * 40 + "</p></div>"
+    nav = "<nav><a href=x>Home page</a></nav>"
+    for page in (f"<div class='layout has-sidebar'><article>{text}</article>{side}</div>",
+                 f"<div id='menu-page'>{nav}<main>{text}</main>{side}</div>",
+                 f"<div class='side-by-side'>{text}{side}</div>",
+                 f"<section class='legal'>{text}</section>{side}",
+                 f"<div class='has-sidebar'><div class='page tags'><article>{text}</article></div>{side}</div>",
+                 "<div class='has-menu'><div class='share-page'><article class='menu'>" + text + "</article></div></div>"):
+        for known in (w, {}):
+            assert M.extract(f"<body>{page}<footer>someone</footer>", known) == want, page
+    both = "<section class='legal'><p>One part of it.</p></section><section class='legal'><p>Other part of the text.</p></section>"
+    assert M.extract(both, w) == "One part of it.\n\nOther part of the text."
+    teasers = f"<div class='content'>{text}</div><div class='related'><article><p>More to read</p></article></div>"
+    assert M.extract(teasers, w) == want
+    assert M.extract(f"<article>{text}</article>{side}", w) == want
+
+
 def test_odd_pages():
     w = weights()
     for html in (None, "", "<", "<p", "<p>", "</p></div>", "<!-- x", "<script>a", "<article></article>", "<a b='>c"):
