@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_main, license_scan, mixing, packing, quality_classifier, quality_rules, quotation, rp_forest, simhash, toxicity
+from . import collocations, html_main, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, quotation, rp_forest, simhash, toxicity, whitening
 from .common import held_out, read
 
 
@@ -66,6 +66,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.train(docs, usable=~held_out(4, 2))
+    return language_id.predict(docs, model, ["doc_id"]).select(
+        F.col("row.doc_id").alias("doc_id"), held_out(4, 2, "row.doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), ["vec_id"]).select(
+        F.col("row.vec_id").alias("vec_id"), "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_rp_forest": op2_rp_forest,
@@ -77,9 +93,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_html_main": op9_html_main,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
+    "op12_language_id": op12_language_id,
+    "op13_whitening": op13_whitening,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_rp_forest": rp_forest.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op7_quotation": quotation.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }

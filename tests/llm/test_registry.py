@@ -14,7 +14,7 @@ from tests.conftest import SF_SMALL
 
 def test_all_are_registered():
     import corpus_pipeline
-    assert [n.split("_")[0] for n in Q.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in Q.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(Q.ORACLE_SQL) <= set(E.oracle_sql()) and len(corpus_pipeline.STAGES) == 5
 
