@@ -8,7 +8,7 @@ explicit NULL placement so results do not depend on the engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_date, c_to_f, round_half_up, variance_category
@@ -85,16 +85,19 @@ def variance_category_all(a: DataFrame, as_of) -> DataFrame:
     return _variance_columns(_today(a, as_of))
 
 
+def _summary_columns() -> list:
+    return [F.count_distinct("city").alias("total_cities"),
+            F.count_distinct("country").alias("total_countries"),
+            F.count_distinct("climate_zone").alias("climate_zones"),
+            F.sum("record_count").alias("total_records"),
+            round_half_up(F.avg("avg_temperature"), 1).alias("global_avg_temp_c"),
+            round_half_up(F.min("min_temperature"), 1).alias("global_min_temp"),
+            round_half_up(F.max("max_temperature"), 1).alias("global_max_temp"),
+            round_half_up(F.avg("comfort_score"), 1).alias("avg_comfort_score")]
+
+
 def report_summary(a: DataFrame, as_of) -> DataFrame:
-    return _today(a, as_of).agg(
-        F.count_distinct("city").alias("total_cities"),
-        F.count_distinct("country").alias("total_countries"),
-        F.count_distinct("climate_zone").alias("climate_zones"),
-        F.sum("record_count").alias("total_records"),
-        round_half_up(F.avg("avg_temperature"), 1).alias("global_avg_temp_c"),
-        round_half_up(F.min("min_temperature"), 1).alias("global_min_temp"),
-        round_half_up(F.max("max_temperature"), 1).alias("global_max_temp"),
-        round_half_up(F.avg("comfort_score"), 1).alias("avg_comfort_score"))
+    return _today(a, as_of).agg(*_summary_columns())
 
 
 def comfort_top5(a: DataFrame, as_of, k: int = 5) -> DataFrame:
@@ -103,3 +106,25 @@ def comfort_top5(a: DataFrame, as_of, k: int = 5) -> DataFrame:
                     round_half_up("comfort_score", 1).alias("comfort"),
                     round_half_up("avg_temperature", 1).alias("avg_temp"),
                     round_half_up("avg_windspeed", 1).alias("avg_wind")))
+
+
+# --------------------------------------------------------------------------- all dates at once
+def daily_summary(a: DataFrame) -> DataFrame:
+    """``report_summary`` of every analysis date."""
+    return a.groupBy("analysis_date").agg(*_summary_columns())
+
+
+def daily_climate(a: DataFrame) -> DataFrame:
+    """``climate_distribution`` of every analysis date."""
+    return a.groupBy("analysis_date", "climate_zone").agg(
+        F.count_distinct("city").alias("city_count"), round_half_up(F.avg("avg_temperature"), 1).alias("avg_temp"),
+        round_half_up(F.avg("comfort_score"), 1).alias("avg_comfort"))
+
+
+def daily_ranking(a: DataFrame, k: int = 10) -> DataFrame:
+    """``temp_ranking`` of every analysis date, with the place; a limit within the window keeps k rows a date and task."""
+    best = Window.partitionBy("analysis_date").orderBy(F.col("avg_temperature").desc_nulls_last(), *_tie())
+    top = a.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+    return top.select("analysis_date", "place", "city", "country", round_half_up("avg_temperature", 1).alias("avg_temp_c"),
+                      round_half_up(c_to_f("avg_temperature"), 1).alias("avg_temp_f"),
+                      round_half_up("avg_windspeed", 1).alias("avg_wind_kmh"), "climate_zone")

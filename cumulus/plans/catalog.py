@@ -19,6 +19,7 @@ from ..session import apply_runtime_defaults, scratch_path
 from ..sources import documents
 from ..sources import fixtures as fx
 from ..sources.tables import METRICS, WEATHER_ANALYTICS, WEATHER_HISTORICAL, WEATHER_RAW, read_table
+from ..streaming import catchup, listings, manifest, orders
 from ..streaming import incremental as inc
 
 AS_OF, NOW = fx.AS_OF, fx.NOW
@@ -33,6 +34,10 @@ STORED_START = "2024-01-27"  # first analysis date of the stored analytics table
 CATCHUP_START = "2024-01-01"
 EXPECTED_START = "2023-12-30"  # catch-up is due from here on, before the first reading
 LANDED_FILES = 4  # files (and micro-batches) in which the streams' rows arrive
+WAVES = (2, 0, 3, 1)  # the order in which the chain's waves of rows land
+# Waves of the watermark query: the usage up to a time, the usage up to another, the rest; late rows come last.
+WATERMARK_CUTS = ("1994-06-01 00:00:00", "1997-01-01 00:00:00")
+DONE_BEFORE = (("2024-01-18", "2024-01-19"), ("2024-01-23", "2024-01-23"))  # days that the catch-up finds done
 
 # --------------------------------------------------------------------------- shared builders
 
@@ -49,12 +54,19 @@ def _analytics(spark, d, spread=False):
 _STORED: dict[tuple, str] = {}
 
 
+def _version(spark, d, *tables) -> tuple:
+    """Modification times of the tables' files or folders: a table rewritten at its path is another table."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/{t}.parquet") for t in tables]
+    return tuple(p.getFileSystem(conf).getFileStatus(p).getModificationTime() for p in paths)
+
+
 def _stored_analytics(spark, d, spread=False):
     """The analytics table of several analysis dates, written once a session and read back by date.
 
     Reports filter ``analysis_date`` and so read one partition of it.
     """
-    key = (spark.sparkContext.applicationId, d, spread)
+    key = (spark.sparkContext.applicationId, d, spread, _version(spark, d, "events", "nation", "region"))
     if key not in _STORED:
         out = weather.analytics_for_dates(
             _raw(spark, d, spread), weather.series_constants_20k(spark),
@@ -302,6 +314,141 @@ def q_stream_tumbling_30m(spark, d):
                     F.col("total").alias("total_value")))
 
 
+def _landed(rows, *keys):
+    """Rows with the wave in which they land, told by a hash of ``keys``, and their time of landing (an hour a wave)."""
+    wave = F.pmod(F.xxhash64(*keys), F.lit(len(WAVES))).cast("int")
+    return rows.withColumn("wave", wave).withColumn("landed_at", F.expr("timestampadd(HOUR, wave, TIMESTAMP '2024-01-01 00:00:00')"))
+
+
+def _land(rows, wave, path):
+    rows.filter(F.col("wave") == wave).drop("wave").write.mode("append").parquet(path)
+
+
+def order_waves(spark, d, waves=WAVES):
+    """The order summary from orders and items that land in waves, items before their order as often as after."""
+    o = _landed(fx.retail_orders(spark, d).withColumn("order_date", F.col("order_date").cast("timestamp_ntz")), "order_id")
+    i = _landed(fx.retail_order_items(spark, d).select("order_id", "product_id"), F.lit("item"), "order_id", "product_id")
+    o_path, i_path, out, ckpt = (scratch_path(spark, n) for n in ("landed_orders", "landed_items", "stream_order_items", "ckpt"))
+    for wave in waves:
+        _land(o, wave, o_path)
+        _land(i, wave, i_path)
+        inc_orders = inc.stream_source(spark, o_path, o.drop("wave").schema)
+        inc_items = inc.stream_source(spark, i_path, i.drop("wave").schema)
+        orders.order_items_stream(inc_orders, inc_items, out, ckpt)
+    return orders.order_summary_from_partials(spark, out, fx.retail_customers(spark, d))
+
+
+def q_stream_order_summary(spark, d):
+    return order_waves(spark, d)
+
+
+def category_changes(spark, d):
+    """Items, and statuses of orders: every third order was pending first, and of the others every fifth completed."""
+    o, none = fx.retail_orders(spark, d), F.lit(None)
+    first = F.when(F.pmod("order_id", F.lit(3)) == 0, F.lit("pending")).when(F.pmod("order_id", F.lit(5)) == 0, F.lit("completed"))
+    versions = F.explode(F.array(F.struct(first.alias("status"), F.lit(1).alias("seq")),
+                                 F.struct(F.col("status").alias("status"), F.lit(2).alias("seq")))).alias("v")
+    status = (o.select("order_id", first.isNotNull().alias("changed"), versions).filter("changed or v.seq = 2")
+              .select(F.lit("order").alias("kind"), "order_id", none.cast("long").alias("product_id"),
+                      none.cast("double").alias("quantity"), none.cast("double").alias("unit_price"),
+                      F.col("v.status").alias("status"), F.col("v.seq").cast("long").alias("seq")))
+    items = fx.retail_order_items(spark, d).select(
+        F.lit("item").alias("kind"), "order_id", "product_id", F.col("quantity").cast("double").alias("quantity"), "unit_price",
+        none.cast("string").alias("status"), none.cast("long").alias("seq"))
+    return sinks.conform(items, orders.CHANGE).unionByName(sinks.conform(status, orders.CHANGE))
+
+
+def category_waves(spark, d, waves=WAVES, compact_every=3, store=None):
+    """The store of category totals after the waves; every three batches are compacted."""
+    rows = _landed(category_changes(spark, d), "kind", "order_id", "product_id", "seq")
+    path, ckpt = scratch_path(spark, "landed_changes"), scratch_path(spark, "ckpt")
+    store = store or scratch_path(spark, "category_totals")
+    for wave in waves:
+        _land(rows.drop("landed_at"), wave, path)
+        orders.category_totals_stream(inc.stream_source(spark, path, orders.CHANGE), fx.retail_products(spark, d), store, ckpt,
+                                      compact_every=compact_every)
+    return store
+
+
+def q_stream_category_totals(spark, d):
+    """Keyed running totals under new items, new orders and changed statuses."""
+    return orders.category_totals(spark, category_waves(spark, d))
+
+
+def report_waves(spark, d):
+    """The folder of reports that follow the analytics over three waves of raw rows."""
+    raw_path, out_path, reports_path, commits, ckpt, ckpt2 = (
+        scratch_path(spark, n) for n in ("chain_raw", "chain_analytics", "chain_reports", "chain_manifest", "ckpt", "ckpt"))
+    raw = _raw(spark, d)
+    early = F.col("ingestion_date") <= F.lit(BACKFILL_START).cast("date")
+    late = F.col("winddirection") >= 180
+    for mode, wave in (("overwrite", early & ~late), ("append", ~early), ("append", early & late)):
+        sinks.write_table(raw.filter(wave), raw_path, WEATHER_RAW, partition_by=["ingestion_date"], mode=mode)
+        inc.weather_analytics_stream(
+            spark, raw_path, out_path, ckpt, weather.series_constants_20k(spark), as_of=AS_OF, now=NOW,
+            published=lambda s, batch_id, dates: manifest.publish(s, commits, "analytics", batch_id, dates))
+        manifest.reports_stream(spark, commits, out_path, reports_path, ckpt2)
+    return reports_path
+
+
+def q_stream_weather_reports(spark, d):
+    """The summary report of every analysis date, refreshed by the analytics' commits."""
+    return sinks.read_back(spark, f"{report_waves(spark, d)}/summary")
+
+
+def backfill_run(spark, d, path):
+    """Writes the analytics of a range of days."""
+    def run(first, last):
+        out = weather.analytics_for_dates(_raw(spark, d), weather.series_constants_20k(spark),
+                                          weather.date_spine(spark, first, last), NOW, first=first, last=last)
+        sinks.write_table(out, path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
+    return run
+
+
+def q_catchup_backfill(spark, d):
+    """Days that are missing between days already done, found by the ledger and run range by range, in two runs."""
+    path, ledger = scratch_path(spark, "catchup_analytics"), scratch_path(spark, "catchup_ledger")
+    run = backfill_run(spark, d, path)
+    for first, last in DONE_BEFORE:
+        catchup.catch_up(spark, ledger, first, last, run, "earlier")
+    catchup.catch_up(spark, ledger, BACKFILL_START, "2024-01-24", run, RUN_ID)
+    catchup.catch_up(spark, ledger, BACKFILL_START, BACKFILL_END, run, RUN_ID)
+    return sinks.read_back(spark, path, WEATHER_ANALYTICS)
+
+
+def q_stream_usage_id_dedup(spark, d):
+    """The last record of each query id, from pages in four waves, each of which sends the one before again."""
+    pages = _landed(fx.external_query_documents(spark, d), "page")
+    path, out, ckpt = (scratch_path(spark, n) for n in ("landed_pages", "stream_listings", "ckpt"))
+    again = None
+    for wave in WAVES:
+        _land(pages, wave, path)
+        if again is not None:
+            hour = F.lit(f"2024-01-01 0{wave}:30:00").cast("timestamp")
+            pages.filter(F.col("wave") == again).drop("wave").withColumn("landed_at", hour).write.mode("append").parquet(path)
+        listings.listings_stream(inc.stream_source(spark, path, pages.drop("wave").schema), out, ckpt, USAGE_START, USAGE_END)
+        again = wave
+    return listings.last_listings(spark, out)
+
+
+def q_stream_usage_watermark(spark, d):
+    """Hourly usage under a six-hour watermark, appended when closed: in time order, but for a tenth that comes last.
+
+    Late rows count only in windows that are still open then, as the
+    contract of an append-only sink says.
+    """
+    li = read_table(spark, d, "lineitem")
+    rows = fx.attribution_from(li).withColumn("late", F.pmod(F.col("query_id").cast("long"), F.lit(10)) == 0)
+    cuts = [F.lit(c).cast("timestamp_ntz") for c in WATERMARK_CUTS]
+    wave = F.when(F.col("late"), 3).when(F.col("end_time") < cuts[0], 0).when(F.col("end_time") < cuts[1], 1).otherwise(2)
+    rows = rows.withColumn("wave", wave).drop("late")
+    path, out, ckpt = (scratch_path(spark, n) for n in ("landed_usage", "stream_usage_watermark", "ckpt"))
+    for w in range(4):
+        _land(rows, w, path)
+        inc.usage_hourly_stream(spark, inc.stream_source(spark, path, rows.drop("wave").schema), out, ckpt)
+    return sinks.read_back(spark, out, inc.HOURLY_USAGE)
+
+
 def q_weather_raw_recreated(spark, d):
     """Create-or-replace of the raw table: a first run's other days are gone; the load stamp is the column's default."""
     path, raw = scratch_path(spark, "weather_raw_recreated"), _raw(spark, d).drop("load_timestamp")
@@ -359,6 +506,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sales_incremental": q_stream_sales_incremental,
     "stream_usage_hourly": q_stream_usage_hourly,
     "stream_tumbling_30m": q_stream_tumbling_30m,
+    "stream_order_summary": q_stream_order_summary,
+    "stream_category_totals": q_stream_category_totals,
+    "stream_weather_reports": q_stream_weather_reports,
+    "catchup_backfill": q_catchup_backfill,
+    "stream_usage_id_dedup": q_stream_usage_id_dedup,
+    "stream_usage_watermark": q_stream_usage_watermark,
 }
 
 # Double columns fixed to N decimals in both engines before comparison
@@ -387,7 +540,10 @@ ROUNDING: dict[str, dict[str, int]] = {
     "tumbling_1h": {"total_value": 4},
     "tumbling_1d": {"total_value": 4},
     "stream_sales_incremental": {"total_quantity_sold": 2, "total_revenue": 2},
+    "stream_category_totals": {"total_quantity_sold": 2, "total_revenue": 2},
+    "catchup_backfill": _ANALYTICS_R,
     "stream_usage_hourly": {"credits": 9},
+    "stream_usage_watermark": {"credits": 9},
     "stream_tumbling_30m": {"total_value": 4},
 }
 

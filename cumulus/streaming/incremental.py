@@ -47,14 +47,16 @@ def _run(writer, available_now: bool = True):
 
 def weather_analytics_stream(spark: SparkSession, raw_path: str, analytics_path: str,
                              checkpoint: str, constants: DataFrame, as_of=None, now=None,
-                             days: int = weather.LOOKBACK_DAYS, available_now: bool = True):
+                             days: int = weather.LOOKBACK_DAYS, available_now: bool = True,
+                             published: Callable[[SparkSession, int, list[date]], None] | None = None):
     """Keep the analytics table current as raw partitions arrive.
 
     Each micro-batch yields the ingestion dates it touched; every analysis
     date whose look-back window contains one of them (d .. d+days, capped
     at ``as_of``, by default the day on which the batch runs) is recomputed from the raw partitions of its window only
     (literal partition filters) and its partition replaced (dynamic
-    overwrite), so replays and reruns are idempotent.
+    overwrite), so replays and reruns are idempotent. ``published(spark,
+    batch_id, dates)`` is called once they are written.
     """
     src = spark.readStream.schema(WEATHER_RAW).parquet(raw_path)
 
@@ -74,6 +76,8 @@ def weather_analytics_stream(spark: SparkSession, raw_path: str, analytics_path:
         raw_all = s.read.schema(WEATHER_RAW).parquet(raw_path)
         out = weather.analytics_for_dates(raw_all, constants, dates, now, days, listed=wanted)
         write_table(out, analytics_path, WEATHER_ANALYTICS, partition_by=["analysis_date"])
+        if published:
+            published(s, batch_id, wanted)
 
     w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _run(w, available_now)
