@@ -40,6 +40,21 @@ def order_summary(orders: DataFrame, customers: DataFrame, items: DataFrame) ->
             .orderBy(F.col("order_date").desc_nulls_last(), F.col("order_id")))
 
 
+def order_summary_stored(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+    """``order_summary`` of orders and items stored in buckets of ``order_id``.
+
+    Items are counted and meet their orders in their buckets, without an
+    exchange; only then does one row per order go to its customer.
+    """
+    per_order = items.groupBy("order_id").agg(F.count("product_id").alias("item_count"))
+    counted = orders.join(per_order, "order_id")
+    named = customers.select("customer_id", concat_name("first_name", "last_name").alias("customer_name"))
+    return (counted.join(named, "customer_id")
+            .groupBy("order_id", "customer_name", "order_date", "status", "total_amount")
+            .agg(F.sum("item_count").alias("item_count"))
+            .orderBy(F.col("order_date").desc_nulls_last(), F.col("order_id")))
+
+
 def sales_by_category(items: DataFrame, products: DataFrame, orders: DataFrame,
                       statuses=COMPLETED_OR_SHIPPED, revenue=None) -> DataFrame:
     """Quantity and revenue per product category over qualifying orders.

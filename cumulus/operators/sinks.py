@@ -7,7 +7,7 @@ retried task or a rerun of the same run id never duplicates rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,3 +75,43 @@ def publish(df: DataFrame, path: str, partition_by=("category", "type"), schema:
     """
     write_table(df, path, schema, partition_by=list(partition_by))
     return not read_back(df.sparkSession, path, schema or df.schema).isEmpty()
+
+
+def publish_counted(df: DataFrame, path: str, batches: list[tuple[str, str]], schema: T.StructType | None = None) -> DataFrame:
+    """Publishes like ``publish`` and returns the rows of each (category, type) batch, counted by the write itself.
+
+    The counts are observed on the rows as they pass to the writer, so the
+    published table isn't read again; a batch without rows has none. ``batches``
+    names those that can occur: one counter each.
+    """
+    seen = Observation("published")
+    is_batch = [(F.col("category") == c) & (F.col("type") == t) for c, t in batches]
+    counted = df.observe(seen, *[F.count_if(b).alias(f"n{i}") for i, b in enumerate(is_batch)])
+    write_table(counted, path, schema, partition_by=["category", "type"])
+    n = seen.get
+    rows = [(*b, n[f"n{i}"]) for i, b in enumerate(batches) if n[f"n{i}"]]
+    return df.sparkSession.createDataFrame(rows, "category string, type string, n long")
+
+
+def create_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition_by=(),
+                 defaults: dict[str, str] | None = None) -> None:
+    """A catalogue table at ``path`` with the declared columns and DEFAULTs (``COLUMN_DEFAULTS``)."""
+    defaults = COLUMN_DEFAULTS if defaults is None else defaults
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "")
+                        for f in schema.fields)
+    parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+
+
+def insert_columns(df: DataFrame, name: str) -> None:
+    """INSERT with the list of the columns that ``df`` has: the table's others take their DEFAULT, else NULL.
+
+    Values are stored under the strict assignment of ANSI: one that doesn't
+    fit the column's type fails the insert.
+    """
+    df.sparkSession.sql(f"INSERT INTO {name} ({', '.join(f'`{c}`' for c in df.columns)}) SELECT * FROM {{rows}}", rows=df)
+
+
+def insert_by_position(df: DataFrame, name: str) -> None:
+    """INSERT without a column list: the n-th column of ``df`` goes into the table's n-th, whatever their names."""
+    df.sparkSession.sql(f"INSERT INTO {name} SELECT * FROM {{rows}}", rows=df)

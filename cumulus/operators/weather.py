@@ -118,20 +118,47 @@ def current_weather(wx_docs: DataFrame, now=None) -> DataFrame:
     ``current_weather`` is null or no object, are dropped; missing fields (or
     a missing ``current_weather``) default to 0; a null or unreadable field
     is NULL. The reading time is the document's ``observed_at``, else ``now``."""
-    w = docs.parse_objects(wx_docs, "doc", keep=["city", "observed_at"])
-    nested = F.when(F.map_contains_key("fields", "current_weather"), F.col("fields")["current_weather"]).otherwise("{}")
-    w = w.select("city", "observed_at", F.explode(F.array(F.from_json(nested, docs.OBJECT))).alias("cw")
-                 ).filter(F.col("cw").isNotNull())
+    return _accepted(_judged_weather(wx_docs), now)
 
-    def field(name):
-        return F.when(F.map_contains_key("cw", name), F.col("cw")[name].try_cast("double")).otherwise(0.0)
 
-    return w.select(
+def _judged_weather(wx_docs: DataFrame, keep=("city", "observed_at")) -> DataFrame:
+    """``keep``, ``v`` (the parsed document), ``cw`` (its current weather, NULL if there is none) and ``reason``, why it
+    can't be used: NULL for those that can."""
+    w = docs.parse_variant(wx_docs, "doc", keep=keep)
+    w = w.withColumn("cw", F.try_variant_get("v", "$.current_weather", "variant"))
+    reason = (F.when(F.col("v").isNull(), "malformed").when(~docs.is_object(F.col("v")), "no object")
+              .when(F.is_variant_null("cw"), "null weather")
+              .when(F.col("cw").isNotNull() & ~docs.is_object(F.col("cw")), "no weather object"))
+    return w.withColumn("reason", reason)
+
+
+def _accepted(judged: DataFrame, now=None) -> DataFrame:
+    def field(name):  # missing (SQL NULL) and null (a Variant) differ; other types are cast where they can be
+        value = F.try_variant_get("cw", f"$.{name}", "string").try_cast("double")
+        return F.when(F.try_variant_get("cw", f"$.{name}", "variant").isNull(), 0.0).otherwise(value)
+
+    return judged.filter(F.col("reason").isNull()).select(
         "city", field("temperature").alias("temperature"), field("windspeed").alias("windspeed"),
         field("winddirection").alias("winddirection"), field("weathercode").cast("int").alias("weathercode"),
         F.coalesce(F.col("observed_at").cast("timestamp_ntz"), X.as_timestamp(now)).alias("timestamp"))
 
 
+def land_weather(wx_docs: DataFrame, path: str) -> None:
+    """One parse, two outputs: each document goes, with its reason, to the ``accepted`` or ``rejected`` part of a table.
+
+    Every document ends up in exactly one part; accepted ones keep their
+    parsed form, rejected ones their text.
+    """
+    judged = _judged_weather(wx_docs, keep=("city", "observed_at", "doc"))
+    out = judged.select("city", "observed_at", F.when(F.col("reason").isNotNull(), F.col("doc")).alias("doc"),
+                        F.when(F.col("reason").isNull(), F.to_json("v")).alias("parsed"), "reason",
+                        F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("part"))
+    out.write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+LANDED_WEATHER = "city string, observed_at timestamp_ntz, doc string, parsed string, reason string, part string"
+
+
 def flatten_weather_json(geo_docs: DataFrame, wx_docs: DataFrame, now=None,
                          cities: DataFrame | None = None) -> DataFrame:
     """Readings (the ten declared columns) from the two JSON sources.

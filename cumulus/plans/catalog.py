@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import fix_scale
 from ..operators import people, reports, sales, settings, sinks, timeseries, usage, weather
 from ..session import apply_runtime_defaults, scratch_path
-from ..sources import documents
+from ..sources import bucketed, documents
 from ..sources import fixtures as fx
 from ..sources.tables import METRICS, WEATHER_ANALYTICS, WEATHER_HISTORICAL, WEATHER_RAW, read_table
 from ..streaming import catchup, listings, manifest, orders
@@ -459,6 +459,52 @@ def q_weather_raw_recreated(spark, d):
         "city", "timestamp", "ingestion_date", "temperature", F.col("load_timestamp").isNotNull().alias("stamped"))
 
 
+def bucketed_orders(spark, d):
+    """(orders, items) stored in sorted buckets of the order."""
+    out = []
+    for rows in (fx.retail_orders(spark, d), fx.retail_order_items(spark, d)):
+        name = bucketed.new_name("orders")
+        bucketed.write_bucketed(rows, name, scratch_path(spark, name), ["order_id"], bucketed.bucket_count(spark), sort=True)
+        out.append(spark.table(name))
+        bucketed.forget(spark, name)
+    return out
+
+
+def q_order_summary_bucketed(spark, d):
+    o, i = bucketed_orders(spark, d)
+    return sales.order_summary_stored(o, fx.retail_customers(spark, d), i)
+
+
+def q_weather_rejected(spark, d):
+    """Weather documents that can't be used, with the reason; the same write keeps the others in another part."""
+    path = scratch_path(spark, "landed_weather")
+    weather.land_weather(fx.weather_documents(spark, d), path)
+    landed = spark.read.schema(weather.LANDED_WEATHER).parquet(path)
+    return landed.filter("part = 'rejected'").select("city", "observed_at", "doc", "reason")
+
+
+def q_usage_published_counts(spark, d):
+    """Rows of each published batch, as counted while they are written."""
+    batches = [(usage.COST_CATEGORY, usage.COST_TYPE), *[(usage.USAGE_CATEGORY, t) for t in usage.USAGE_TYPES.values()]]
+    return sinks.publish_counted(q_usage_metrics_all(spark, d), scratch_path(spark, "metrics_counted"), batches, METRICS)
+
+
+def q_weather_inserted(spark, d):
+    """A declared raw table filled by INSERT: one half with a column list that omits the load stamp, one by position."""
+    name, path = bucketed.new_name("weather_raw"), scratch_path(spark, "weather_raw_inserted")
+    raw = _raw(spark, d)
+    half = F.col("winddirection") < 180
+    columns = ["city", "temperature", "timestamp", "ingestion_date", "wind_category", "weathercode"]
+    sinks.create_table(spark, name, path, WEATHER_RAW)
+    sinks.insert_columns(raw.filter(half).select(*columns), name)
+    sinks.insert_by_position(raw.filter(~half).select(*WEATHER_RAW.names), name)
+    table = spark.table(name)
+    bucketed.forget(spark, name)
+    stamp = F.lit(NOW).cast("timestamp_ntz")
+    return table.select(*columns, "windspeed", (F.col("load_timestamp") == stamp).alias("given_stamp"),
+                        F.col("load_timestamp").isNotNull().alias("stamped"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_customers": q_scan_customers,
     "scan_products": q_scan_products,
@@ -512,6 +558,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catchup_backfill": q_catchup_backfill,
     "stream_usage_id_dedup": q_stream_usage_id_dedup,
     "stream_usage_watermark": q_stream_usage_watermark,
+    "order_summary_bucketed": q_order_summary_bucketed,
+    "weather_rejected": q_weather_rejected,
+    "usage_published_counts": q_usage_published_counts,
+    "weather_inserted": q_weather_inserted,
 }
 
 # Double columns fixed to N decimals in both engines before comparison

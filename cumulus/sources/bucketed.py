@@ -40,5 +40,6 @@ def write_bucketed(df: DataFrame, name: str, path: str, keys, buckets: int, part
 
 
 def forget(spark: SparkSession, name: str) -> None:
-    """The catalogue forgets the table; its files stay where they are."""
+    """The catalogue forgets the table; its files stay where they are, also for frames that read it already, but for
+    partitioned tables, whose partitions the catalogue lists."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

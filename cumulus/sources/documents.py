@@ -70,6 +70,15 @@ def parse_objects(df: DataFrame, doc: str, keep=()) -> DataFrame:
     return parsed.filter(F.col("fields").isNotNull())
 
 
+def parse_variant(df: DataFrame, doc: str, keep=()) -> DataFrame:
+    """``keep`` columns + ``v``, the document as a Variant, NULL if it is malformed. Parsed once, whatever is read of it."""
+    return df.select(*keep, F.explode(F.array(F.try_parse_json(F.col(doc)))).alias("v"))
+
+
+def is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
 def land(df: DataFrame, path: str) -> None:
     """Documents with their columns as JSON lines, as a landing folder holds them."""
     df.write.mode("overwrite").option("timestampNTZFormat", MICROS).json(path)
