@@ -53,20 +53,25 @@ def _spans(norm: str, pattern: str) -> str:
         acc -> acc.spans)"""
 
 
-def _rules() -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(label).alias("label"), F.lit(p).alias("prio"),
-                              F.lit(float(c)).alias("conf"), F.lit(f" {kw}").alias("kw"),
-                              F.lit(license_rules.regex(pat)).alias("pattern"))
-                     for i, (label, p, c, kw, pat) in enumerate(license_rules.rules())])
+def _matching(norm: Column) -> Column:
+    """The rules that match, in order of their keywords: each keyword is looked for once, and only where a text has it
+    are its rules' patterns tried, which are literals and so compiled once."""
+    by_keyword: dict[str, list[Column]] = {}
+    for i, (label, prio, conf, kw, pattern) in enumerate(license_rules.rules()):
+        regex = license_rules.regex(pattern)
+        rule = F.struct(F.lit(i).alias("i"), F.lit(label).alias("label"), F.lit(prio).alias("prio"),
+                        F.lit(float(conf)).alias("conf"), F.lit(regex).alias("pattern"))
+        by_keyword.setdefault(kw, []).append(F.when(norm.rlike(regex), rule))
+    return F.flatten(F.array_compact(F.array(*[F.when(norm.contains(f" {kw}"), F.array_compact(F.array(*found)))
+                                               for kw, found in by_keyword.items()])))
 
 
 #: Detections of a row: (s, e, prio, i, label, conf), in scanning order.
 _FOUND = f"""
   array_sort(flatten(transform(
-    filter(rules, r -> contains(norm, r.kw)),
-    r -> CASE WHEN norm RLIKE r.pattern THEN transform({_spans('norm', 'r.pattern')}, x -> named_struct(
-      's', x.s, 'e', x.e, 'prio', r.prio, 'i', r.i, 'label', r.label, 'conf', r.conf))
-      ELSE CAST(array() AS array<struct<s: bigint, e: bigint, prio: int, i: int, label: string, conf: double>>) END)),
+    rules,
+    r -> transform({_spans('norm', 'r.pattern')}, x -> named_struct(
+      's', x.s, 'e', x.e, 'prio', r.prio, 'i', r.i, 'label', r.label, 'conf', r.conf)))),
     (a, b) -> CASE WHEN a.s <> b.s THEN CAST(sign(a.s - b.s) AS INT) WHEN a.e <> b.e THEN CAST(sign(b.e - a.e) AS INT)
                    WHEN a.prio <> b.prio THEN b.prio - a.prio ELSE a.i - b.i END)"""
 
@@ -116,7 +121,7 @@ def scan(docs: DataFrame) -> DataFrame:
         "base_labels": F.when(has, F.array_sort(F.array_compact(F.array(*phrases)))).otherwise(
             F.array().cast("array<string>"))}).drop("b")
     cols = [*names, *mine[:5]]
-    found = counted.withColumn("rules", F.when(F.col("norm") != "", _rules())).select(
+    found = counted.withColumn("rules", F.when(F.col("norm") != "", _matching(F.col("norm")))).select(
         *cols, F.explode(F.array(F.coalesce(F.expr(_FOUND), F.expr(
             "CAST(array() AS array<struct<s: bigint, e: bigint, prio: int, i: int, label: string, conf: double>>)"))))
         .alias("found"))
