@@ -98,9 +98,10 @@ def training_texts(docs: DataFrame, usable: Column, train_bytes: int = TRAIN_BYT
     rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string")).alias("h"))
-    share = rows.groupBy("lang").agg((F.lit(float(train_bytes)) / F.sum(F.octet_length("text"))).alias("share"))
-    drawn = (F.col("h") / F.lit(2.0 ** 64) + 0.5) < F.coalesce("share", F.lit(1.0))
-    return rows.join(share, "lang").filter(drawn).select("lang", F.col("text").cast("binary").alias("text"))
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b")).collect()  # a row per language, as there are trees
+    shares = [F.lit(x) for r in sizes if r.b > train_bytes for x in (r.lang, train_bytes / r.b)]
+    share = F.coalesce(F.element_at(F.create_map(*shares), F.col("lang")), F.lit(1.0)) if shares else F.lit(1.0)
+    return rows.filter(F.col("h") / F.lit(2.0 ** 64) + 0.5 < share).select("lang", F.col("text").cast("binary").alias("text"))
 
 
 def train(docs: DataFrame, usable: Column, train_bytes: int = TRAIN_BYTES, nodes: int = NODES) -> Model:
