@@ -34,7 +34,7 @@ from ..session import scratch_path
 from ..sources.bucketed import bucket_count, forget, new_name, write_bucketed
 from .common import stored
 
-SHARDS = 3
+SHARDS = 2
 BLOOM_BITS = 1 << 25
 BLOCK = 2_000_000  # words of a task between two flushes
 TOP = 2000
@@ -68,6 +68,11 @@ def _hashes(lang: bytes, phrases: list[bytes]) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(lang + b"\x1f" + p, 42) for p in phrases), np.uint64, len(phrases))
 
 
+def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A pair's key in the bit arrays, from its words' hashes."""
+    return first ^ ((second << np.uint64(1)) | (second >> np.uint64(63)))
+
+
 def _counted(lang: str, words: list[bytes], ids: np.ndarray, plan: dict) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
     """(length, phrases, counts) of a block's active phrases; id 0 is the end of a piece."""
     key = lang.encode()
@@ -86,22 +91,19 @@ def _counted(lang: str, words: list[bytes], ids: np.ndarray, plan: dict) -> Iter
         return
     size = np.int64(len(words))
     pairs, inverse, n = np.unique(left[at] * size + right[at], return_inverse=True, return_counts=True)
-    active = new[pairs // size] | new[pairs % size]
-    tell = plan["reached"][2] is not None
-    named = np.ones(len(pairs), bool) if tell else active
-    names = {int(i): words[p // size] + b" " + words[p % size] for i, p in zip(np.flatnonzero(named), pairs[named].tolist())}
-    if active.any():
-        which = np.flatnonzero(active)
-        yield 2, [names[i] for i in which.tolist()], n[which]
-    if not tell:
+    active = np.flatnonzero(new[pairs // size] | new[pairs % size])
+    if len(active):
+        yield 2, [words[p // size] + b" " + words[p % size] for p in pairs[active].tolist()], n[active]
+    if plan["reached"][2] is None:
         return
-    h = _hashes(key, list(names.values()))
-    ok2, new2 = plan["reached"][2].has(h), plan["recent"][2].has(h)
+    keys = pair_key(h[pairs // size], h[pairs % size])
+    ok2, new2 = plan["reached"][2].has(keys), plan["recent"][2].has(keys)
     first = np.flatnonzero((at[:-1] + 1 == at[1:]) & ok2[inverse[:-1]] & ok2[inverse[1:]]
                            & (new2[inverse[:-1]] | new2[inverse[1:]]))
     if len(first):
         triples, n = np.unique(inverse[first].astype(np.int64) * size + ids[at[first] + 2], return_counts=True)
-        yield 3, [names[t // size] + b" " + words[t % size] for t in triples.tolist()], n
+        found = [(pairs[t // size], t % size) for t in triples.tolist()]
+        yield 3, [words[p // size] + b" " + words[p % size] + b" " + words[w] for p, w in found], n
 
 
 def _scan(batches: Iterator[pa.RecordBatch], plan: dict) -> Iterator[pa.RecordBatch]:
@@ -139,10 +141,17 @@ def _scan(batches: Iterator[pa.RecordBatch], plan: dict) -> Iterator[pa.RecordBa
     yield from flush()
 
 
-def _bits(reached: DataFrame, size: int) -> np.ndarray | None:
-    """The bit array of (lang, phrase) rows: at most size / 64 numbers come to the driver."""
-    h = F.xxhash64(F.concat("lang", F.lit("\x1f"), "phrase"))
-    places = reached.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h")).select(
+def _bits(reached: DataFrame, k: int, size: int) -> np.ndarray | None:
+    """The bit array of (lang, phrase) rows of words or pairs: at most size / 64 numbers come to the driver."""
+    def hashed(word):
+        return F.xxhash64(F.concat("lang", F.lit("\x1f"), word))
+
+    h = hashed(F.substring_index("phrase", " ", 1))
+    if k == 2:  # as pair_key
+        second = hashed(F.substring_index("phrase", " ", -1))
+        h = h.bitwiseXOR(F.shiftleft(second, 1).bitwiseOR(F.shiftrightunsigned(second, 63)))
+    keys = reached.select(h.alias("h"))
+    places = keys.select(F.explode(F.array("h", F.shiftrightunsigned("h", 32))).alias("h")).select(
         F.col("h").bitwiseAND(F.lit(size - 1)).alias("p"))
     got = (places.groupBy(F.shiftright("p", 6).alias("i"))
            .agg(F.expr("bit_or(shiftleft(1L, CAST(p & 63 AS INT)))").alias("b"))).toArrow()
@@ -207,7 +216,7 @@ def phrase_counts(docs: DataFrame, least: int = 10, shards: int = SHARDS, bloom_
         step += 1
         for k, ran in ((1, plan["words"]), (2, late[1] is not None)):
             new = _totals(spark.table(name), k, shards, step).filter(f"total >= {int(least)} and was < {int(least)}")
-            reached[k].append(_bits(new, bloom_bits) if ran else None)
+            reached[k].append(_bits(new, k, bloom_bits) if ran else None)
     counts = spark.table(name)
     words = stored(_totals(counts, 1, shards, step).drop("was"), "dic-words")
     longer = [_totals(counts, k, shards, step).filter(F.col("total") >= least)
