@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import fix_scale
-from ..operators import people, reports, sales, settings, sinks, timeseries, usage, weather
+from ..operators import distinct, people, reports, sales, settings, sinks, timeseries, usage, weather
 from ..session import apply_runtime_defaults, scratch_path
 from ..sources import bucketed, documents
 from ..sources import fixtures as fx
@@ -505,6 +505,24 @@ def q_weather_inserted(spark, d):
                         F.col("load_timestamp").isNotNull().alias("stamped"))
 
 
+def distinct_history(spark, d):
+    """Folder of the cities' and countries' bitmaps by day, stored in three waves, the last of them late and run twice."""
+    root, raw = scratch_path(spark, "distinct_history"), fx.weather_readings(spark, d)
+    early, late = F.col("ingestion_date") < F.lit(BACKFILL_START).cast("date"), F.col("winddirection") >= 180
+    for wave, rows in enumerate((early & ~late, ~early, early & late, early & late)):
+        distinct.add_wave(spark, raw.filter(rows), root, min(wave, 2), "ingestion_date", ["city", "country", "weathercode"])
+    return root
+
+
+def q_distinct_over_history(spark, d):
+    """Distinct cities, countries and weather codes of every analysis window, and of one, two and four weeks, from bitmaps."""
+    maps = distinct.read_bitmaps(spark, distinct_history(spark, d))
+    found = distinct.distinct_over(maps, distinct.windows(spark, CATCHUP_START, AS_OF, [1, 8, 14, 28]))
+    count = {n: F.coalesce(F.max(F.when(F.col("dimension") == n, F.col("n"))), F.lit(0)) for n in ("city", "country", "weathercode")}
+    return found.groupBy("first", "last").agg(count["city"].alias("total_cities"), count["country"].alias("total_countries"),
+                                              count["weathercode"].alias("weather_codes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_customers": q_scan_customers,
     "scan_products": q_scan_products,
@@ -562,6 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_rejected": q_weather_rejected,
     "usage_published_counts": q_usage_published_counts,
     "weather_inserted": q_weather_inserted,
+    "distinct_over_history": q_distinct_over_history,
 }
 
 # Double columns fixed to N decimals in both engines before comparison
