@@ -8,10 +8,14 @@ their sizes, summed up, come nearest to the rest.
 
 The order is never made by one task. Keys fall into buckets of 1/256 octave
 (no bucket holds more than a few thousandths of a source, whatever its
-quality); bucket sums are prefix-summed per source, which leaves one bucket
-per source whose rows are put in order. The result is one number per
-source, the cut key, so documents join a table of sources and their texts
-are never shuffled.
+quality, unless keys are equal); bucket sums are prefix-summed per source,
+which leaves one bucket per source in which its rest ends. That bucket is
+divided in the same way again: into 4096 parts, by the key itself and, for
+rows of one key (repeated rows, rows without id), by the row's place in the
+stored table, first its high bits and then all. So equal rows are told
+apart, and what is put in order are sums of small shares of a source.
+The result is one cut per source, so documents join a table of sources and
+their texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -78,73 +82,106 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
         F.lit(float(per_weight)) * F.col("w"), (MAX_EPOCHS * F.col("source_size")).cast("double")).alias("target"))
 
 
+def placed(table: DataFrame) -> DataFrame:
+    """A stored table with _place, which tells rows of equal key apart: a hash of the row's file and number there."""
+    return table.withColumn("_place", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+
+
+#: The digits by which rows are put in order, coarse to fine; each divides the rows that agree in those before.
+DIGITS = {"bucket": f"cast(floor(log2(key) * {PER_OCTAVE}) AS long)",
+          "part": f"cast(floor(log2(key) * {PER_OCTAVE} * 4096) AS long)",
+          "key": "struct(key, shiftright(place, 48) AS range)",
+          "place": "place"}
+
+
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """(source, source_size, target, epochs, cut): documents of a source enter ``epochs`` times, and once more if their key is at most ``cut``.
+    """(source, source_size, target, epochs, cut, cut_place): how often documents of a source enter.
 
-    ``rows`` is a stored table of (source, size, key). Rows of equal key
-    enter together.
+    They enter ``epochs`` times, and once more if their (key, place) is at
+    most (cut, cut_place). ``rows`` is a stored table of (source, size, key, place).
     """
-    bucket = F.floor(F.log2("key") * PER_OCTAVE).cast("long")
-    rows = rows.select("source", "size", "key", bucket.alias("bucket"))
-    sums = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "buckets")
+    sums = stored(rows.groupBy("source", F.expr(DIGITS["bucket"]).alias("digit")).agg(F.sum("size").alias("size")), "buckets")
     sources = stored(sums.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     goal = targets(sources, weights).withColumn("epochs", F.when(
         F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MAX_EPOCHS)))
         .otherwise(0).cast("int"))
     goal = stored(goal.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "goal")
-    named = goal.select(F.col("source").alias("s"), "rest")
-    # the bucket in which the rest of a source ends, and the words before it
-    upto = F.sum("size").over(Window.partitionBy("source").orderBy("bucket"))
-    crossing = (sums.withColumn("upto", upto).join(named, F.col("source").eqNullSafe(F.col("s")))
-                .filter("upto > rest").groupBy("s")
-                .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("size")).alias("before"), "rest")).alias("c"))
-                .select("s", F.col("c.bucket").alias("at"), "c.before", "c.rest"))
-    crossing = stored(crossing, "crossing")
-    inside = (rows.join(crossing, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("at")))
-              .groupBy("source", "key", "at", "before", "rest").agg(F.sum("size").alias("size")))
-    summed = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key"))
-    entered = (inside.withColumn("summed", summed).filter(F.col("summed") - F.col("size") / 2 <= F.col("rest"))
-               .groupBy(F.col("source").alias("e")).agg(F.max("key").alias("cut")))
-    # no row of the crossing bucket enters: the buckets before it do, whose keys are all below its edge
-    edge = F.pow(F.lit(2.0), F.col("at") / PER_OCTAVE)
-    below = crossing.select(F.col("s").alias("b"), (edge * (1 - 1e-12)).alias("edge"))
-    return stored(goal.join(entered, F.col("source").eqNullSafe(F.col("e")), "left")
-                  .join(below, F.col("source").eqNullSafe(F.col("b")), "left")
-                  .select("source", "source_size", "target", "epochs", F.coalesce(
-                      "cut", "edge", F.lit(float("inf"))).alias("cut")), "mix-plan")
-
-
-def times(key: str = "_key") -> Column:
+    # per source: the digit in which its rest ends, and the words before it
+    at = goal.select(F.col("source").alias("s"), "rest", F.lit(0).cast("long").alias("before"))
+    inside = rows.select("source", "size", "key", "place")
+    for name, digit in DIGITS.items():
+        if name != "bucket":
+            sums = inside.groupBy("source", F.expr(digit).alias("digit")).agg(F.sum("size").alias("size"))
+        upto = F.sum("size").over(Window.partitionBy("source").orderBy("digit"))
+        same = F.col("source").eqNullSafe(F.col("s"))
+        in_order = (sums.withColumn("upto", upto).join(at, same)
+                    .withColumn("upto", F.col("upto") + F.col("before")))
+        if name == "place":
+            break
+        at = stored(in_order.filter("upto > rest").groupBy("s", "rest").agg(
+            F.min(F.struct("digit", (F.col("upto") - F.col("size")).alias("before"))).alias("c"))
+            .select("s", "rest", "c.before", F.col("c.digit").alias("at")), f"ends-{name}")
+        inside = stored(inside.withColumn("digit", F.expr(digit)).join(at, same & (F.col("digit") == F.col("at")))
+                        .select("source", "size", "key", "place"), f"inside-{name}")
+        if name == "key":
+            last_key = at.select(F.col("s").alias("k"), F.col("at.key").alias("cut"))
+        at = at.drop("at")
+    # the row in which the rest ends enters if the target is nearer with it; those before it do
+    entered = (in_order.filter(F.col("upto") - F.col("size") / 2 <= F.col("rest")).groupBy("s")
+               .agg(F.max("digit").alias("entered")))
+    ends = (at.join(entered.withColumnRenamed("s", "e"), F.col("s").eqNullSafe(F.col("e")), "left")
+            .select("s", F.col("before").alias("b"), "entered"))
+    first = inside.groupBy(F.col("source").alias("i")).agg(F.min("place").alias("first"))
+    ends = (ends.join(first, F.col("s").eqNullSafe(F.col("i")))
+            .join(last_key, F.col("s").eqNullSafe(F.col("k")))
+            .select("s", "cut", F.coalesce("entered", F.col("first") - 1).alias("cut_place")))
+    # a source whose rest never ends enters whole
+    return stored(goal.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        "source", "source_size", "target", "epochs", F.coalesce("cut", F.lit(float("inf"))).alias("cut"),
+        F.coalesce("cut_place", F.lit((1 << 63) - 1)).alias("cut_place")), "mix-plan")
+
+
+def times(key: str = "_key", place: str = "_place") -> Column:
     """How often a row that was joined to its source's plan enters the mix."""
-    return F.col("epochs") + (F.col(key) <= F.col("cut")).cast("int")
+    enters = (F.col(key) < F.col("cut")) | (F.col(key) == F.col("cut")) & (F.col(place) <= F.col("cut_place"))
+    return F.col("epochs") + enters.cast("int")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """``docs`` mixed: each row as often as the mix takes it, all its columns unchanged.
 
     A null or empty text has size 0; a null source is a source of its own,
-    the last; repeated rows are sized and taken each; without rows, or
-    without words, nothing is taken more than its source's epochs say (0).
+    the last; repeated rows are sized and taken each, so that equal rows may
+    enter differently often; rows of a source without words enter once; no
+    rows give no rows.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names)  # clash-free, whatever the columns are called
     of = dict(zip(docs.columns, names))
-    have = keyed(rows.withColumns({"doc_id": F.col(of["doc_id"]), "text": F.col(of["text"])}))
-    sized = stored(have.select(F.col(of["source"]).cast("string").alias("source"), F.col("_size").alias("size"),
-                               F.col("_key").alias("key")), "sized")
-    chosen = plan(sized, weights).select(F.col("source").alias("_s"), "epochs", "cut")
-    return (have.join(chosen, F.col(of["source"]).cast("string").eqNullSafe(F.col("_s")))
+    have = keyed(rows.withColumns({"doc_id": F.col(of["doc_id"]), "text": F.col(of["text"])})).drop("doc_id", "text")
+    have = placed(stored(have, "keyed")).withColumn("_source", F.col(of["source"]).cast("string"))
+    chosen = plan(have.select(F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_key").alias("key"),
+                              F.col("_place").alias("place")), weights).select(
+        F.col("source").alias("_s"), "epochs", "cut", "cut_place")
+    return (have.join(chosen, F.col("_source").eqNullSafe(F.col("_s")))
             .withColumn("_n", F.explode(F.array_repeat(F.lit(1), times().cast("int"))))
             .select(*names).toDF(*docs.columns))
 
 
 def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of ``docs``."""
-    rows = stored(keyed(docs.select("doc_id", "text", F.col("source").cast("string").alias("source")))
-                  .select("doc_id", "source", F.col("_size").alias("size"), F.col("_key").alias("key")), "sized")
-    chosen = plan(rows.select("source", "size", "key"), weights).withColumnRenamed("source", "_s")
+    """(doc_id, size, source_size, target, taken) of every row of ``docs``.
+
+    Nulls as in ``mix``. Repeated rows, and rows of one id (or none) and one
+    size, are taken each for itself, so that a target is met among them too;
+    no rows give no rows. Other columns, whatever their names, aren't read.
+    """
+    rows = placed(stored(keyed(docs.select("doc_id", "text", F.col("source").cast("string").alias("source")))
+                         .select("doc_id", "source", F.col("_size").alias("size"), F.col("_key").alias("key")), "sized")
+                  ).withColumnRenamed("_place", "place")
+    chosen = plan(rows.select("source", "size", "key", "place"), weights).withColumnRenamed("source", "_s")
     return (rows.join(chosen, F.col("source").eqNullSafe(F.col("_s")))
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * times("key")).alias("taken")))
+            .select("doc_id", "size", "source_size", "target",
+                    (F.col("size") * times("key", "place")).alias("taken")))
 
 
 ORACLE = r"""
@@ -175,10 +212,9 @@ goal AS (
   FROM filled, share),
 summed AS (
   SELECT k.doc_id, k.size, g.source_size, g.target, g.epochs,
-    sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key RANGE UNBOUNDED PRECEDING) AS upto,
-    sum(k.size) OVER (PARTITION BY k.source, k.key) AS own
+    sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key ROWS UNBOUNDED PRECEDING) AS upto  -- equal keys: one each
   FROM keyed k JOIN goal g ON k.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
-  (size * (epochs + (upto - own / 2 <= target - epochs * source_size)::INT))::BIGINT AS taken
+  (size * (epochs + (upto - size / 2 <= target - epochs * source_size)::INT))::BIGINT AS taken
 FROM summed
 """

@@ -59,6 +59,25 @@ def test_mix_hits_targets(spark):
     assert all(r["size"] * times.get(r["doc_id"], 0) == r["taken"] for r in out)
 
 
+def test_rows_of_equal_key_meet_their_target(spark):
+    same = "one two three four five six seven eight nine ten"
+    rows = [(None, same, None, "a", None)] * 400 + [(7, same, None, "b", None)] * 300
+    rows += [(i, same, None, "c" if i % 2 else None, None) for i in range(100)] + [(None, None, None, "a", None)] * 3
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    out = M.taken(docs).collect()
+    assert len(out) == len(rows)
+    sizes, took = {}, {}
+    target = {r["source_size"]: r["target"] for r in out}
+    for r in out:
+        took[r["source_size"]] = took.get(r["source_size"], 0) + r["taken"]
+    sizes = {"a": 4000, "b": 3000, "c": 500, None: 500}
+    want = plain_targets(sizes)
+    assert abs(target[4000] - want["a"]) < 1e-6 and abs(target[3000] - want["b"]) < 1e-6
+    assert abs(took[4000] - want["a"]) <= 5 and abs(took[3000] - want["b"]) <= 5
+    assert sorted(map(repr, out)) == sorted(map(repr, M.taken(docs).collect()))
+    assert M.mix(docs).filter("source = 'a' and text is not null").count() * 10 == took[4000]
+
+
 def test_noisy_documents_come_later(spark):
     rng = random.Random(7)
     rows = [(i, prose(rng, 50) if i % 2 else " ".join(w + "##" for w in prose(rng, 50).split()), None,
