@@ -4,16 +4,18 @@ Kernel. Two strings are compared by their common subsequences of three
 characters within a window of six; a subsequence that spans s characters
 weighs DECAY ** (s - 3), and the kernel is normalised to 1 for equal
 strings. So "idxiot", "id-iot" and "i d i o t" stay close to "idiot".
-Strings are single words with their ends marked; digits and signs that
-stand for letters are read as these, other signs inside a word are
-dropped, and a run of four or more single characters is read as one word.
+Strings are the words of a sentence with their ends marked; digits and signs
+that stand for letters are read as these, other signs inside a word are
+dropped, a run of four or more single characters is read as one word, and so
+are two neighbours, unless both are words of clean documents ("id iot").
 
 Model. Nyström: the kernel to a fixed number of landmark words, whitened by
 the landmarks' own kernel matrix, gives the features of a linear SVM with
 squared hinge loss. A sentence is toxic if one of its words is (the witness),
 so sentences of toxic documents name their witness by the current model
-(at first by log-odds) and clean sentences give the negatives, hardest
-first, in several rounds. As the kernel is a dot product over gapped
+and clean sentences give the negatives, joined neighbours included, hardest
+first, in several rounds. A witness is a word whose toxic documents are too
+many for chance, given how many words could have been. As the kernel is a dot product over gapped
 trigrams, the trained machine folds into one weight per trigram, and a word
 is scored without visiting the landmarks.
 
@@ -24,6 +26,7 @@ fit is gathered; scoring covers every word of every text.
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections import Counter
@@ -39,15 +42,18 @@ from pyspark.sql import functions as F
 SPAN = 6
 COMMON = 0.05  # share of toxic documents from which a witness is also learnt with a character put in
 DECAY = 0.7
+JOINED = 14  # characters of a word that a blank may split
 PIECE = 64  # longer words are scored in overlapping pieces of this length
 CACHE = 300_000  # words whose scores a worker remembers
 BLOCK = 4000  # words scored together
 DOCS = 256  # texts scored together
 MAX_LABELLED = 3000  # bound of the labelled sample: rows with the smallest hash of their id
+FAVOUR = 4  # weight of all witnesses against that of all negatives: joined parts make negatives many
 LANDMARKS = 256
 NEGATIVES = 4000
 THRESHOLD = 0.3
 SURE = 3.0  # log-odds from which a word of several toxic documents may witness for them
+CHANCE = 1.0  # words that chance alone may make witnesses: bound of their expected number
 FLOOR = -1.5  # margin of a text without words
 
 #: Signs read as letters.
@@ -65,15 +71,40 @@ def normal(word: str) -> str:
     return "".join(filter(str.isalpha, w.translate(SIGNS)))
 
 
-def tokens(text: str) -> set[str]:
-    """Distinct raw lower-case words of a text or sentence, spaced-out words joined."""
+def tokens(text: str, known: frozenset[str] | None = None) -> set[str]:
+    """Distinct raw lower-case words of a text or sentence, spaced-out words joined.
+
+    With ``known``, also the words that a single blank may have split.
+    """
     low = text.lower()
     found = set(low.split())
+    if known is not None:
+        found |= joined(low, known)
     for m in SPACED.finditer(low):
         found.add("".join(m.group().split()))
     return found
 
 
+def pieces(word: str) -> list[str]:
+    """Overlapping pieces of a long word; the word itself if it is short."""
+    return [word[at:at + PIECE] for at in range(0, max(1, len(word) - 8), PIECE - 8)]
+
+
+def joined(text: str, known: frozenset[str]) -> set[str]:
+    """Neighbouring parts of a lower-case sentence read as one word, unless both are ``known`` words.
+
+    So "id iot" stays close to "idiot", whereas prose isn't read twice.
+    Signs between two parts hold them apart.
+    """
+    words = text.split()
+    new = [w not in known for w in words]
+    out = set()
+    for a, b, x, y in zip(words, words[1:], new, new[1:]):
+        if (x or y) and len(a) + len(b) <= JOINED and len(a) > 1 and len(b) > 1 and a[-1].isalnum() and b[0].isalnum():
+            out.add(a + b)
+    return out
+
+
 def _codes(text: str) -> np.ndarray:
     c = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     return np.where((c >= 97) & (c <= 122), c - 96, np.where(c == 94, 27, np.where(c == 36, 28, 29 + c % 35)))
@@ -106,18 +137,19 @@ class Model:
     weights: np.ndarray  # one per gapped trigram
     bias: float
     top: np.ndarray  # logistic weights of the three highest margins, and the intercept
+    known: frozenset[str] = frozenset()  # words of several clean documents, which are no parts of a split word
 
     def margins(self, words: list[str]) -> np.ndarray:
         """SVM margin of each normal word."""
-        pieces, owner = [], []
+        parts, owner = [], []
         for i, w in enumerate(words):
-            for at in range(0, max(1, len(w) - 8), PIECE - 8):
-                pieces.append(w[at:at + PIECE])
+            for part in pieces(w):
+                parts.append(part)
                 owner.append(i)
         out = np.full(len(words), FLOOR)
-        own, gram, value = trigrams(pieces)
-        f = np.bincount(own, value * self.weights[gram], len(pieces)) + self.bias
-        f[np.fromiter(map(len, pieces), np.int64, len(pieces)) == 0] = FLOOR
+        own, gram, value = trigrams(parts)
+        f = np.bincount(own, value * self.weights[gram], len(parts)) + self.bias
+        f[np.fromiter(map(len, parts), np.int64, len(parts)) == 0] = FLOOR
         np.maximum.at(out, np.array(owner, np.int64), f)
         return out
 
@@ -133,7 +165,7 @@ class Scorer:
 
     def tops(self, texts: list[str]) -> np.ndarray:
         """The three highest word margins of each text."""
-        sets = [tokens(t) for t in texts]
+        sets = [tokens(t, self.model.known) for t in texts]
         if len(self.seen) > CACHE:  # raw words, and normal words below
             self.seen.clear()
             self.known.clear()
@@ -214,24 +246,52 @@ def _nystrom(landmarks: list[str], words: list[str], y: np.ndarray, weight: np.n
     return weights, bias
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 4, ridge: float = 0.01) -> Model | None:
+def _sure(df: list[Counter], nt: int, nc: int) -> dict[str, float]:
+    """Words of high log-odds whose toxic documents are too many for chance, and how likely chance is.
+
+    By chance a word of n documents has a or more toxic ones with the
+    binomial tail at ``share``; times the words of n or more documents this
+    bounds how many such words chance would make.
+    """
+    total = Counter(df[0][w] + df[1][w] for w in {*df[0], *df[1]})
+    share = nt / (nt + nc)
+    upto, rarer = 0, {}
+    for n in sorted(total, reverse=True):
+        upto += total[n]
+        rarer[n] = upto
+    out, tails = {}, {}
+    for w, a in df[1].items():
+        n = a + df[0][w]
+        if a < 2 or math.log((a + .5) / nt) - math.log((df[0][w] + .5) / nc) <= SURE:
+            continue
+        if (a, n) not in tails:
+            tails[a, n] = sum(math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+                                       + k * math.log(share) + (n - k) * math.log1p(-share)) for k in range(a, n + 1))
+        if tails[a, n] * rarer[n] < CHANCE:
+            out[w] = tails[a, n]
+    return out
+
+
+def fit(texts: list[str], labels: list[int], rounds: int = 4, ridge: float = 0.004) -> Model | None:
     """Model from labelled texts; None without both labels or
     without a word that tells them apart. Same rows, same model."""
     toxic = np.array(labels, bool)
     if toxic.all() or not toxic.any():
         return None
-    bags: list[list[str]] = []  # a document's words by sentence, joined: one set of normal words
-    for t in texts:
-        bag: set[str] = set()
-        for sentence in SENTENCE.split(t):
-            bag.update(normal(w)[:PIECE] for w in tokens(sentence))
+    sentences = [SENTENCE.split(t) for t in texts]
+    plain = Counter(w for found, t in zip(sentences, toxic) if not t for w in {w for x in found for w in x.lower().split()})
+    known = frozenset(w for w, n in plain.items() if n > 1)
+    bags: list[list[str]] = []  # a document's normal words and joined parts, sentence by sentence
+    for found in sentences:
+        bag = {part for x in found for w in tokens(x, known) for part in pieces(normal(w))}
         bag.discard("")
         bags.append(sorted(map(sys.intern, bag)))
     df = [Counter(), Counter()]
     for bag, t in zip(bags, toxic):
         df[int(t)].update(bag)
     nt, nc = toxic.sum() + 1, (~toxic).sum() + 1
-    odds = {w: np.log((n + .5) / nt) - np.log((df[0][w] + .5) / nc) for w, n in df[1].items()}
+    whole = {part for found in sentences for x in found for w in tokens(x) for part in pieces(normal(w))}
+    sure = {w: p for w, p in _sure(df, nt, nc).items() if w in whole}  # joined parts give negatives only
     clean = sorted(df[0], key=lambda w: (-df[0][w], w))
     step = max(1, len(clean) // NEGATIVES)
     base = clean[:NEGATIVES // 4] + clean[NEGATIVES // 4::step]
@@ -247,11 +307,10 @@ def fit(texts: list[str], labels: list[int], rounds: int = 4, ridge: float = 0.0
                 continue
             if f is None:
                 if t:
-                    best = nlargest(3, bag, key=lambda w: (odds[w], w))
-                    positive.update(w for w in best if df[1][w] > 1 and odds[w] > SURE)
+                    positive.update(nlargest(3, sure.keys() & set(bag), key=lambda w: (-sure[w], w)))
             elif t:
                 best = nlargest(5, bag, key=lambda w: f[place[w]])
-                positive.update(w for w in best if f[place[w]] > 0 and df[1][w] > 1 and odds[w] > SURE)
+                positive.update(w for w in best if f[place[w]] > 0 and w in sure)
             else:
                 hard.update(w for w in nlargest(4, bag, key=lambda w: f[place[w]]) if f[place[w]] > -1)
         for w in [w for w in positive if df[1][w] >= COMMON * nt and len(w) >= 4]:
@@ -260,16 +319,16 @@ def fit(texts: list[str], labels: list[int], rounds: int = 4, ridge: float = 0.0
                     positive.setdefault(w[:i] + chr(97 + (step * i + len(w)) % 26) + w[i:], positive[w] // len(w))
         negative = sorted(({*base} | {*hard}) - {*positive})
         pos = sorted(positive)
+        if not pos:
+            return None
         words = pos + negative
         y = np.array([1.] * len(pos) + [-1.] * len(negative))
         weight = np.array([float(np.sqrt(positive[w])) for w in pos] + [1. + hard[w] ** .5 for w in negative])
-        weight[:len(pos)] *= weight[len(pos):].sum() / weight[:len(pos)].sum()
-        if not pos:
-            return None
+        weight[:len(pos)] *= FAVOUR * weight[len(pos):].sum() / weight[:len(pos)].sum()
         lead = [w for w, _ in sorted(positive.items(), key=lambda x: (-x[1], x[0]))][:LANDMARKS * 2 // 3]
         landmarks = lead + negative[::max(1, len(negative) // (LANDMARKS - len(lead)))][:LANDMARKS - len(lead)]
         weights, bias = _nystrom(landmarks, words, y, weight / weight.mean(), ridge)
-        model = Model(weights, bias, np.zeros(4))
+        model = Model(weights, bias, np.zeros(4), known)
         f = np.concatenate([model.margins(every[at:at + BLOCK]) for at in range(0, len(every), BLOCK)])
     score = Scorer(model)
     tops = np.vstack([score.tops(texts[at:at + DOCS]) for at in range(0, len(texts), DOCS)])

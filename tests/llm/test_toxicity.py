@@ -67,6 +67,39 @@ def test_gapped_and_inserted_insults(model):
     assert s([clean])[0] < X.THRESHOLD
 
 
+def test_split_insults(model):
+    rng = random.Random(8)
+    s = X.Scorer(model)
+    for insult in ("id iot", "mo ron", "wort hless", "path etic", "disg usting"):
+        for _ in range(5):
+            before, after = prose(rng, 40).rstrip("."), prose(rng, 40)
+            assert s([f"{before} {insult} {after}"])[0] >= X.THRESHOLD, insult
+    clean = s([prose(rng, 80) for _ in range(200)])
+    assert (clean >= X.THRESHOLD).mean() <= 0.01
+
+
+def test_neighbours_are_joined_unless_both_are_known():
+    known = frozenset({"the", "of"})
+    assert X.joined("the of id iot, the x end", known) == {"ofid", "idiot,"}
+    assert X.joined("averyveryvery longword", frozenset()) == set() == X.joined("", known)
+
+
+def test_witnesses_exceed_chance():
+    from collections import Counter
+    clean, toxic = Counter({f"w{i}": 3 for i in range(500)}), Counter({"bad": 20, "w1": 2, "once": 1})
+    toxic.update({f"pair{i}": 2 for i in range(300)})  # two documents each: as chance would have it
+    assert set(X._sure([clean, toxic], 101, 901)) == {"bad"}
+
+
+def test_long_words_are_learnt_whole():
+    rng = random.Random(9)
+    rows = [(prose(rng, 30) + (" " + "".join(rng.choices("anerth", k=90)) + "idiot" if i % 4 == 0 else ""), int(i % 4 == 0))
+            for i in range(400)]
+    m = X.fit([t for t, _ in rows], [y for _, y in rows])
+    assert X.pieces("a" * 200)[-1][-1] == "a" and "".join(X.pieces("abc")) == "abc" and X.pieces("") == [""]
+    assert m is None or X.Scorer(m)([prose(rng, 30)])[0] < X.THRESHOLD
+
+
 def test_long_text_scores_like_its_words(model):
     rng = random.Random(4)
     text = prose(rng, 20_000)
