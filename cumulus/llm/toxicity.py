@@ -97,12 +97,10 @@ def joined(text: str, known: frozenset[str]) -> set[str]:
     Signs between two parts hold them apart.
     """
     words = text.split()
+    fit = [1 < len(w) < JOINED - 1 for w in words]
     new = [w not in known for w in words]
-    out = set()
-    for a, b, x, y in zip(words, words[1:], new, new[1:]):
-        if (x or y) and len(a) + len(b) <= JOINED and len(a) > 1 and len(b) > 1 and a[-1].isalnum() and b[0].isalnum():
-            out.add(a + b)
-    return out
+    return {a + b for a, b, f, g, x, y in zip(words, words[1:], fit, fit[1:], new, new[1:])
+            if f and g and (x or y) and len(a) + len(b) <= JOINED and a[-1].isalnum() and b[0].isalnum()}
 
 
 def _codes(text: str) -> np.ndarray:
@@ -110,23 +108,25 @@ def _codes(text: str) -> np.ndarray:
     return np.where((c >= 97) & (c <= 122), c - 96, np.where(c == 94, 27, np.where(c == 36, 28, 29 + c % 35)))
 
 
-def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Normalised gapped trigrams: (word position, trigram, value), sorted by word."""
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Marked words as one row of characters: (word position, code, characters from here to the word's end), and lengths."""
     marked = [f"^{w}$" if w else "" for w in words]
     n = np.fromiter(map(len, marked), np.int64, len(marked))
     code = _codes("".join(marked))
-    own = np.repeat(np.arange(len(words)), n)
-    left = np.repeat(np.cumsum(n), n) - np.arange(len(code))  # characters from here to the word's end
-    keys, values = [], []
+    return np.repeat(np.arange(len(words)), n), code, np.repeat(np.cumsum(n), n) - np.arange(len(code)), n
+
+
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Normalised gapped trigrams: (word position, trigram, value), sorted by word."""
+    own, code, left, _ = _letters(words)
+    keys, values = [np.empty(0, np.int64)], [np.empty(0)]
     for b in range(2, SPAN):
         at = np.flatnonzero(left > b)
         for a in range(1, b):
             keys.append(own[at] << 18 | code[at] << 12 | code[at + a] << 6 | code[at + b])
             values.append(np.full(len(at), DECAY ** (b - 2)))
-    if not keys or not sum(map(len, keys)):
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0),)
     key, back = np.unique(np.concatenate(keys), return_inverse=True)
-    value = np.bincount(back, np.concatenate(values))
+    value = np.bincount(back, np.concatenate(values), len(key))
     own, gram = key >> 18, key & 0x3FFFF
     norm = np.sqrt(np.bincount(own, value ** 2, len(words)))
     return own, gram, value / norm[own]
@@ -153,6 +153,24 @@ class Model:
         np.maximum.at(out, np.array(owner, np.int64), f)
         return out
 
+    def positive(self, words: list[str]) -> dict[str, float]:
+        """Margins of the short normal words whose margin is positive.
+
+        Occurrences not yet summed per trigram give a norm that is too small
+        and so a bound that is too high; only words that pass it are sorted out.
+        """
+        own, code, left, n = _letters(words)
+        dot, low = np.zeros(len(words)), np.zeros(len(words))
+        for b in range(2, SPAN):
+            at = np.flatnonzero(left > b)
+            ends = code[at] << 12 | code[at + b]
+            sums = sum(self.weights[ends | code[at + a] << 6] for a in range(1, b))
+            dot += DECAY ** (b - 2) * np.bincount(own[at], sums, len(words))
+            low += DECAY ** (2 * b - 4) * (b - 1) * np.maximum(n - b, 0)
+        bound = dot / np.sqrt(np.maximum(low, 1e-9)) + self.bias
+        likely = [words[i] for i in np.flatnonzero(bound > -1e-6)]
+        return {w: m for w, m in zip(likely, self.margins(likely).tolist()) if m > 0} if likely else {}
+
     def probability(self, tops: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(tops @ self.top[:3] + self.top[3], -30, 30)))
 
@@ -165,7 +183,7 @@ class Scorer:
 
     def tops(self, texts: list[str]) -> np.ndarray:
         """The three highest word margins of each text."""
-        sets = [tokens(t, self.model.known) for t in texts]
+        sets = [tokens(t) for t in texts]
         if len(self.seen) > CACHE:  # raw words, and normal words below
             self.seen.clear()
             self.known.clear()
@@ -176,12 +194,19 @@ class Scorer:
             part = missing[at:at + BLOCK]
             known.update(zip(part, self.model.margins(part).tolist()))
         seen.update((w, known[n]) for w, n in new.items())
+        # neighbours read as one word count where they are toxic; they are rarely the same, so none is remembered
+        pairs = [joined(t.lower(), self.model.known) for t in texts]
+        each = {w: normal(w) for p in pairs for w in p}
+        forms, toxic = list(set(each.values())), {}
+        for at in range(0, len(forms), BLOCK):
+            toxic.update(self.model.positive(forms[at:at + BLOCK]))
         tops = np.full((len(texts), 3), FLOOR)
         for i, s in enumerate(sets):
-            best = nlargest(3, map(seen.__getitem__, s))
+            best = nlargest(3, [*map(seen.__getitem__, s), *(toxic[each[w]] for w in pairs[i] if each[w] in toxic)])
             if best and best[0] > 0 and (len(best) < 2 or best[1] < 0):  # one toxic word: it may repeat
                 word = max(s, key=seen.__getitem__)
-                best = sorted([best[0]] * min(3, max(1, texts[i].lower().count(word))) + best[1:], reverse=True)[:3]
+                often = texts[i].lower().count(word) if seen[word] == best[0] else 1
+                best = sorted([best[0]] * min(3, max(1, often)) + best[1:], reverse=True)[:3]
             tops[i, :len(best)] = best
         return np.minimum(tops, 3.)  # so that no single word decides by how far it lies beyond the margin
 

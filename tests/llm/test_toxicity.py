@@ -84,6 +84,16 @@ def test_neighbours_are_joined_unless_both_are_known():
     assert X.joined("averyveryvery longword", frozenset()) == set() == X.joined("", known)
 
 
+def test_positive_margins_are_those_of_margins(model):
+    rng = random.Random(11)
+    words = [*INSULTS, "idxiot", "", "a", "aaaaaaaa", *{w.strip(".").lower() for w in prose(rng, 3000).split()}]
+    words += [w[:i] + c + w[i:] for w in INSULTS for i in range(1, len(w)) for c in "aqz"]
+    want = {w: m for w, m in zip(words, model.margins(words).tolist()) if m > 0}
+    got = model.positive(words)
+    assert got.keys() == want.keys() and len(got) > 5
+    assert all(abs(got[w] - want[w]) < 1e-9 for w in got)
+
+
 def test_witnesses_exceed_chance():
     from collections import Counter
     clean, toxic = Counter({f"w{i}": 3 for i in range(500)}), Counter({"bad": 20, "w1": 2, "once": 1})
