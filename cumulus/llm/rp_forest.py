@@ -1,12 +1,16 @@
 """Embedding near-duplicates by a forest of random-projection trees.
 
-A tree splits the unit vectors at the median of a random direction, again
-and again; vectors within a margin of the threshold go to both sides
-(spill). The margin is a share of the spread that the difference of two
-linked vectors has along a random direction, so a linked pair is rarely
-parted in one tree and practically never in all. Trees depend on the
-dimension only and their thresholds on a bounded sample; every vector is
-routed through every tree, within its label.
+A tree splits the unit vectors of a label at the median of a random
+direction, again and again, until a leaf holds at most LEAF classes; vectors
+within a margin of the threshold go to both sides (spill). The margin is a
+share of the spread that the difference of two linked vectors has along a
+random direction, so a linked pair is rarely parted in one tree and
+practically never in all.
+
+Trees grow in rounds, to any depth: a round draws a bounded sample of every
+node that is still too large, fits the node's next levels on it, and routes
+the node's members, dealt over tasks by a hash. A node that no direction
+divides well (both sides would keep most of it) stays a leaf.
 
 Equal vectors are one class, compared once. Within a leaf all classes are
 compared by cosine in double precision; a leaf of more than BLOCK classes
@@ -19,23 +23,25 @@ connected components.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_share, stored
+from .common import stored
 from .components import connected_components
 
 COSINE = 0.93
 TREES = 5
 MARGIN = 0.65  # of the standard deviation of a borderline pair's difference along a direction
-SAMPLE = 20_000  # size of the sample that sets the thresholds: vectors by hash
-LEAF = 512  # classes a leaf should hold
+SAMPLE = 4096  # classes of a node that its next levels are fitted on, by hash
+LEAF = 128  # classes a leaf may hold
+LEAST = 32  # sampled classes below which the next round goes on with a node
+MOST = 0.7  # share of a node that a side may keep: two sides of more cost more than the node itself
+TRIES = 4  # directions tried for a split
+GROUP = 20_000  # classes routed at once
 BLOCK = 1024  # classes compared at once
-LEAST = 32  # sampled vectors below which a node isn't split
+TREE = 48  # a node's number: its tree above this bit, its path (1 for the root) below
 SEED = 7
 
 
@@ -44,45 +50,114 @@ def unit(rows: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-class Forest:
-    """Directions and thresholds of all trees for one dimension."""
-
-    def __init__(self, sample: np.ndarray, depth: int, cosine: float = COSINE, trees: int = TREES):
-        d = sample.shape[1]
-        self.margin = MARGIN * np.sqrt(2 - 2 * cosine) / np.sqrt(d)
-        self.nodes: list[dict[int, tuple[np.ndarray, float]]] = []
-        for t in range(trees):
-            nodes: dict[int, tuple[np.ndarray, float]] = {}
-            todo = [(1, np.arange(len(sample)), 0)]
-            while todo:
-                node, rows, level = todo.pop()
-                if level == depth or len(rows) < LEAST:
-                    continue
-                u = np.random.default_rng([SEED, d, t, node]).normal(size=d)
-                u /= np.linalg.norm(u)
-                p = sample[rows] @ u
-                cut = float(np.median(p))
-                nodes[node] = (u, cut)
-                todo += [(2 * node, rows[p <= cut], level + 1), (2 * node + 1, rows[p > cut], level + 1)]
-            self.nodes.append(nodes)
-
-    def leaves(self, x: np.ndarray) -> list[list[tuple[int, int]]]:
-        """For each unit vector its sorted (tree, leaf) list."""
-        out: list[list[tuple[int, int]]] = [[] for _ in x]
-        for t, nodes in enumerate(self.nodes):
-            todo = [(1, np.arange(len(x)))]
-            while todo:
-                node, rows = todo.pop()
-                if not len(rows):
-                    continue
-                if node not in nodes:
-                    for r in rows.tolist():
-                        out[r].append((t, node))
-                    continue
-                u, cut = nodes[node]
-                p = x[rows] @ u
-                todo += [(2 * node, rows[p <= cut + self.margin]), (2 * node + 1, rows[p >= cut - self.margin])]
-        return [sorted(o) for o in out]
+def margin(d: int, cosine: float) -> float:
+    return MARGIN * np.sqrt(2 - 2 * cosine) / np.sqrt(d)
+
+
+def direction(d: int, node: int, way: int) -> np.ndarray:
+    u = np.random.default_rng([SEED, d, node, way]).normal(size=d)
+    return u / np.linalg.norm(u)
+
+
+def grow(x: np.ndarray, root: int, n: int, cosine: float, leaf: int = LEAF) -> dict[int, tuple[int, float]]:
+    """{node: (direction, cut)} of the levels under ``root``, fitted on ``x``, a sample of its ``n`` classes.
+
+    Direction -1: the node stays a leaf. A node that isn't named is small
+    enough, or has too few sampled classes to be split in this round.
+    """
+    nodes: dict[int, tuple[int, float]] = {}
+    each, m = n / max(1, len(x)), margin(x.shape[1], cosine)
+    todo = [(root, np.arange(len(x)))]
+    while todo:
+        node, rows = todo.pop()
+        if node != root and (len(rows) * each <= leaf or len(rows) < LEAST):
+            continue
+        nodes[node] = (-1, 0.0)
+        path = node & (1 << TREE) - 1
+        for way in range(TRIES if path < 1 << TREE - 1 else 0):
+            p = x[rows] @ direction(x.shape[1], node, way)
+            cut = float(np.median(p))
+            sides = [rows[p <= cut + m], rows[p >= cut - m]]
+            if max(map(len, sides)) <= MOST * len(rows):
+                nodes[node] = (way, cut)
+                todo += [(child(node, k), side) for k, side in enumerate(sides)]
+                break
+    return nodes
+
+
+def child(node: int, side: int) -> int:
+    tree, path = node >> TREE, node & (1 << TREE) - 1
+    return tree << TREE | 2 * path + side
+
+
+def descend(x: np.ndarray, root: int, nodes: dict[int, tuple[int, float]], cosine: float
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, node, done) for every node in which a row of ``x`` ends; done: no later round splits it."""
+    m = margin(x.shape[1], cosine)
+    ends: list[tuple[np.ndarray, int, bool]] = []
+    todo = [(root, np.arange(len(x)))]
+    while todo:
+        node, rows = todo.pop()
+        way, cut = nodes.get(node, (-1, 0.0))
+        if way < 0:
+            ends.append((rows, node, node in nodes or not nodes))
+            continue
+        p = x[rows] @ direction(x.shape[1], node, way)
+        todo += [(child(node, 0), rows[p <= cut + m]), (child(node, 1), rows[p >= cut - m])]
+    at = np.concatenate([rows for rows, _, _ in ends])
+    return (at, np.concatenate([np.full(len(rows), node, np.int64) for rows, node, _ in ends]),
+            np.concatenate([np.full(len(rows), done) for rows, _, done in ends]))
+
+
+def leaves_of(classes: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
+    """(rep, cid, leaves) of (label, dim, rep, cid, embedding): a label of at most ``leaf`` classes is leaf 0."""
+    kind = {f.name: f.dataType.simpleString() for f in classes.schema}
+    key, own = ["label", "dim", "node"], ["label", "dim", "rep", "cid", "embedding"]
+    label = f"label {kind['label']}, dim int"
+    number = F.xxhash64("rep", "cid")
+
+    def fit(group: tuple, table: pa.Table) -> pa.Table:
+        node = group[2].as_py()
+        nodes = grow(unit(table.column("embedding").to_pylist()), node, table.column("n")[0].as_py(), cosine,
+                     leaf)
+        return pa.table({"label": table.column("label").slice(0, 1), "dim": table.column("dim").slice(0, 1),
+                         "node": pa.array([node]), "n": table.column("n").slice(0, 1),
+                         "nodes": pa.array([list(nodes)], pa.list_(pa.int64())),
+                         "ways": pa.array([[w for w, _ in nodes.values()]], pa.list_(pa.int64())),
+                         "cuts": pa.array([[c for _, c in nodes.values()]], pa.list_(pa.float64()))})
+
+    def route(group: tuple, rows: pa.Table, model: pa.Table) -> pa.Table:
+        nodes: dict[int, tuple[int, float]] = {}
+        for r in model.select(["nodes", "ways", "cuts"]).to_pylist():
+            nodes |= zip(r["nodes"], zip(r["ways"], r["cuts"]))
+        x = unit(rows.column("embedding").to_pylist()) if len(rows) else np.empty((0, group[1].as_py()))
+        at, node, done = descend(x, group[2].as_py(), nodes, cosine)
+        return rows.select(own).take(at).append_column("node", pa.array(node)).append_column("done", pa.array(done))
+
+    roots = F.array(*[F.lit(t << TREE | 1) for t in range(trees)])
+    sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    at = stored(classes.join(stored(sizes, "label-sizes"), ["label", "dim"]).select(
+        *own, F.explode(F.when(F.col("n") > leaf, roots).otherwise(F.array(F.lit(0).cast("long")))).alias("node"),
+        (F.col("n") <= leaf).alias("done")), "nodes")
+    ends = []
+    while True:
+        large = stored(at.filter(~F.col("done")).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+                       .filter(F.col("n") > leaf), "large-nodes")
+        if large.isEmpty():
+            break
+        ends.append(at.join(large, key, "left_anti").select("rep", "cid", "node"))
+        members = at.join(large, key).withColumn("bucket", F.pmod(number, F.ceil(F.col("n") / GROUP)))
+        drawn = members.filter(F.shiftrightunsigned(number, 20) / F.lit(1 << 44) * F.col("n") < SAMPLE)
+        models = stored(drawn.select(*key, "n", "embedding").groupBy(*key).applyInArrow(
+            fit, f"{label}, node long, n long, nodes array<long>, ways array<long>, cuts array<double>"), "models")
+        models = models.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / GROUP) - 1)))
+        at = stored(members.groupBy(*key, "bucket").cogroup(models.groupBy(*key, "bucket")).applyInArrow(
+            route, f"{label}, rep long, cid long, embedding {kind['embedding']}, node long, done boolean"), "nodes")
+    ends.append(at.select("rep", "cid", "node"))
+    found = ends[0]
+    for more in ends[1:]:
+        found = found.union(more)
+    return found.groupBy("rep", "cid").agg(F.sort_array(F.collect_list("node")).alias("leaves"))
 
 
 def _valid(vec, label, vec_id):
@@ -120,7 +195,7 @@ def compare(x: np.ndarray, weight: np.ndarray, first: np.ndarray, earlier: list[
     return links, root
 
 
-def link(rows: DataFrame, cosine: float = COSINE, trees: int = TREES, sample: int = SAMPLE) -> DataFrame:
+def link(rows: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding, label).
 
     Vectors link when their labels and dimensions are equal and their cosine
@@ -132,31 +207,10 @@ def link(rows: DataFrame, cosine: float = COSINE, trees: int = TREES, sample: in
     rows = stored(rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label"), "vectors")
     good = rows.filter(_valid(F.col("embedding"), F.col("label"), F.col("vec_id")))
     classes = stored(good.groupBy("label", "embedding").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("w")).withColumn("dim", F.size("embedding")), "classes")
-    most = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    half = 0.5 + MARGIN * np.sqrt(2 - 2 * cosine) * 0.4  # what a side keeps, with its share of the margin
-    depth = max(0, int(np.ceil(np.log(max(1, most / LEAF)) / np.log(1 / min(half, 0.9)))))
-    drawn = (classes.filter(hashed_share(F.xxhash64("rep"), sample, classes.count())).orderBy("rep")
-             .select("embedding").toArrow().column(0).to_pylist())
-    by_dim: dict[int, list] = {}
-    for v in drawn:
-        by_dim.setdefault(len(v), []).append(v)
-    forests = {d: Forest(unit(v), depth, cosine, trees) for d, v in by_dim.items()}
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            vectors = b.column(0).to_pylist()
-            out: list[list[int]] = [[0]] * len(vectors)
-            for d in {len(v) for v in vectors}:
-                at = [i for i, v in enumerate(vectors) if len(v) == d]
-                if d in forests:  # a dimension that isn't in the sample has one leaf
-                    for i, ls in zip(at, forests[d].leaves(unit([vectors[i] for i in at]))):
-                        out[i] = [t << 48 | node for t, node in ls]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.int64()))], [*b.schema.names, "leaves"])
-    kind = {f.name: f.dataType.simpleString() for f in classes.schema}
-    routed = stored(classes.select("embedding", "rep", "w", "label", "dim").mapInArrow(
-        route, f"embedding {kind['embedding']}, rep long, w long, label {kind['label']}, dim int, leaves array<long>"),
-        "routed")
+        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("w"))
+        .withColumns({"dim": F.size("embedding"), "cid": F.xxhash64("label", "embedding")}), "classes")
+    routed = stored(classes.join(leaves_of(classes.drop("w"), cosine, trees, leaf), ["rep", "cid"])
+                    .select("embedding", "rep", "w", "label", "dim", "leaves"), "routed")
     key = ["label", "dim", "leaf"]
     members = routed.withColumn("leaf", F.explode("leaves"))
     blocks = stored(members.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")),

@@ -36,23 +36,77 @@ def vectors(seed, n=900, d=16, centres=12, spread=0.07):
     return rows
 
 
-def got(spark, rows):
-    return sorted((tuple(r) for r in R.link(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
+def got(spark, rows, **how):
+    return sorted((tuple(r) for r in R.link(spark.createDataFrame(rows, SCHEMA), **how).collect()), key=repr)
 
 
 def test_recall_and_no_false_links(spark):
     rows = vectors(1)
-    keep = R.LEAF
-    R.LEAF = 40  # several levels of splits
-    try:
-        found = got(spark, rows)
-    finally:
-        R.LEAF = keep
+    found = got(spark, rows, leaf=40)  # several levels of splits
     want = brute(rows)
     assert all(f[1] <= w[1] for f, w in zip(found, want))
     assert sum(f[1] for f in found) >= 0.99 * sum(w[1] for w in want) > 0
 
 
+def pairs_of_near_copies(seed, n, d=64):
+    """Random vectors, every second one a copy of the one before at a cosine just above the limit."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(1, n, 2):
+        side = rng.normal(size=d)
+        side -= side @ x[i - 1] * x[i - 1]
+        x[i] = 0.932 * x[i - 1] + np.sqrt(1 - 0.932 ** 2) * side / np.linalg.norm(side)
+    return x.astype(np.float32)
+
+
+def frame(spark, x):
+    import pandas as pd
+    return spark.createDataFrame(pd.DataFrame({"vec_id": range(len(x)), "embedding": x.tolist(), "label": 1}), SCHEMA)
+
+
+def test_leaves_hold_about_leaf_classes_at_any_size(spark):
+    for n in (1500, 9000):
+        classes = frame(spark, pairs_of_near_copies(n, n)).selectExpr(
+            "label", "64 as dim", "vec_id as rep", "vec_id as cid", "embedding")
+        leaves = [r["leaves"] for r in R.leaves_of(classes).collect()]
+        assert len(leaves) == n and all(len({x >> R.TREE for x in ls}) == R.TREES for ls in leaves)
+        size = np.unique(np.concatenate(leaves), return_counts=True)[1]
+        assert size.max() <= R.LEAF and np.median(size) >= R.LEAF / 3
+        depth = np.log2(max(x & (1 << R.TREE) - 1 for ls in leaves for x in ls))
+        assert depth >= 3
+
+
+def test_recall_at_production_settings(spark):
+    x = pairs_of_near_copies(5, 8000)
+    found = {r["vec_id"]: r for r in R.link(frame(spark, x)).collect()}
+    y = x.astype(float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    links = (y @ y.T >= R.COSINE).sum(1) - 1
+    assert links.sum() >= 7900
+    assert all(found[i]["n_links"] <= links[i] for i in range(len(x)))
+    assert sum(r["n_links"] for r in found.values()) >= 0.99 * links.sum()
+
+
+def test_node_that_no_direction_divides_is_a_leaf():
+    rng = np.random.default_rng(1)
+    x = R.unit(np.ones((600, 32)) + rng.normal(size=(600, 32)) * 1e-3)
+    nodes = R.grow(x, 1, 600, R.COSINE)
+    assert nodes == {1: (-1, 0.0)}
+    at, node, done = R.descend(x, 1, nodes, R.COSINE)
+    assert len(at) == 600 and set(node) == {1} and done.all()
+
+
+def test_clashing_columns_and_dense_leaf(spark):
+    rng = np.random.default_rng(2)
+    dense = np.float32(np.ones((300, 16)) + rng.normal(size=(300, 16)) * 0.01)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(dense)] + [(i + 300, v[1], v[2]) for i, v in enumerate(vectors(6, n=50))]
+    from pyspark.sql import functions as F
+    names = ["rep", "cid", "node", "n", "w", "dim", "leaf", "leaves", "links", "component", "done", "bucket"]
+    wide = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in names})
+    assert sorted((tuple(r) for r in R.link(wide, leaf=40).collect()), key=repr) == brute(rows)
+
+
 def test_one_leaf_in_blocks_is_exact(spark):
     rows = vectors(2, n=300)
     keep = R.BLOCK
