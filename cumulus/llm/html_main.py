@@ -4,7 +4,9 @@ A page is a sequence of words and tags. Words score positive by the block
 they stand in, tags negative, with weights learnt from labelled pages: pages
 that mark their article (<article> or <main>) tell how often a kind of word
 or tag stands inside and outside of it. A linear scan finds the contiguous
-region of the highest sum. Of that region, blocks inside elements that are
+region of the highest sum. On a page that marks its article, words outside of
+the mark score negative and tags inside of it cost nothing, so the region ends
+with the article. Of that region, blocks inside elements that are
 no article (menus, adverts, forms, comments and the like) are left out, and
 the rest is written block by block.
 """
@@ -25,7 +27,7 @@ from .common import hashed_share
 
 #: Fixed values of HTML: elements without content, with raw content, and those that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search
 section summary table tbody td tfoot th thead title tr ul""".split())
@@ -34,13 +36,19 @@ SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "
            "option": {"option"}}
 #: Elements, roles and words of class or id that are not the article.
 OUT_TAGS = frozenset("nav aside footer form head script style noscript template svg button select textarea iframe "
-                     "dialog menu math object canvas audio video".split())
+                     "dialog menu audio video".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 OUT_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion
 comment comments comentarios kommentare disqus respond reply replies sidebar sidebars side menu menus nav navbar
 navigation breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr notice notices notification popup modal
 overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations
 teaser widget footer header masthead toolbar topbar skip hidden legal disclaimer copyright tags""".split())
+#: Words that also name parts of an article: they don't mark a text element inside one.
+SOFT = frozenset("related legal side tags skip copyright disclaimer header footer share sharing reply replies respond "
+                 "recommended notice notices".split())
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figure figcaption span em strong b i a q cite code".split())
+#: Words beside "header" that make it the header of the article.
+OWN = frozenset("post article entry story content".split())
 COMMENTS = frozenset("comment comments comentarios kommentare disqus respond reply replies".split())
 ARTICLE = frozenset({"article", "main"})
 
@@ -51,7 +59,7 @@ HIDDEN = re.compile(r"\shidden(?:[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|display
 
 LABELLED = 2000  # size of the labelled sample: pages by the hash of their html
 WORD_FLOOR, TAG_CEILING, CLIP = 0.05, -0.05, 5.0
-UNSEEN_WORD, UNSEEN_TAG = 1.0, -0.5
+UNSEEN_WORD, UNSEEN_TAG = 1.0, -0.1
 
 
 class Named:
@@ -65,9 +73,9 @@ class Named:
 NONE: frozenset[str] = frozenset()
 
 
-def is_out(name: str, attributes: str, in_article: bool) -> tuple[bool, frozenset[str]]:
+def is_out(name: str, attributes: str, in_article: bool, quoted: bool = False) -> tuple[bool, frozenset[str]]:
     """Whether an element's tag, role or hiding tells that it is no article, and the class or id words that say so."""
-    if name in OUT_TAGS or name == "header" and not in_article:
+    if name in OUT_TAGS and not (quoted and name == "footer") or name == "header" and not in_article:
         return True, NONE
     if name in ARTICLE or name in ("body", "html") or not attributes:
         return False, NONE
@@ -79,26 +87,30 @@ def is_out(name: str, attributes: str, in_article: bool) -> tuple[bool, frozense
         if kind.lower() == "role":
             if value in OUT_ROLES:
                 return True, NONE
-        elif found := OUT_WORDS.intersection(re.split(r"[^a-z]+", value)):
-            if not in_article or found != {"header"}:
-                words |= found
+        elif found := OUT_WORDS.intersection(all_words := re.split(r"[^a-z]+", value)):
+            if found == {"header"} and (in_article or OWN.intersection(all_words)):
+                continue
+            words |= found
+    if in_article and name in TEXT and words <= SOFT:
+        return False, NONE
     return False, words
 
 
 def parse(html: str, freed: frozenset[int] | set[int] = NONE,
-          named: list[Named] | None = None) -> list[tuple[str, str, bool, int, bool]]:
+          named: list[Named] | None = None) -> list[tuple[str, str, bool, int, int]]:
     """Tokens in page order: (kind, text, out, block, inside).
 
     ``named`` receives the elements that only their class or id words mark;
     those whose positions there are ``freed`` aren't marked.
 
     kind is "w:" and the block's element for text, "t:" and the element for
-    a tag ("x" within an element that is no article, which ``out`` tells);
-    ``block`` numbers the blocks, ``inside`` that an article element is open.
+    a tag ("x" within an element that is no article, which ``out`` tells, "y"
+    for a tag of such an element that begins no block); ``block`` numbers the
+    blocks, ``inside`` is 2 within <article>, 1 within <main> alone, else 0.
     """
-    tokens: list[tuple[str, str, bool, int, bool]] = []
+    tokens: list[tuple[str, str, bool, int, int]] = []
     # element, out, inside an article, out by more than names, the innermost named element
-    stack: list[tuple[str, bool, bool, bool, int]] = []
+    stack: list[tuple[str, bool, int, bool, int]] = []
     named = [] if named is None else named
     names: Counter = Counter()
     blocks = ["body"]
@@ -110,9 +122,12 @@ def parse(html: str, freed: frozenset[int] | set[int] = NONE,
         if name in BLOCK and len(blocks) > 1:
             blocks.pop()
 
+    def tag(name: str, out: bool) -> str:
+        return f"t:{name}" if not out else "t:x" if name in BLOCK else "t:y"
+
     def text(s: str) -> None:
         if s:
-            out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
             if stack and stack[-1][4] >= 0 and not stack[-1][3]:
                 named[stack[-1][4]].words += len(s.split())
             kind = "w:x" if out else "w:a" if names["a"] > 0 else f"w:{blocks[-1]}"
@@ -127,13 +142,13 @@ def parse(html: str, freed: frozenset[int] | set[int] = NONE,
                 text(m.group()[9:-3])
             continue
         closing, name, attributes = m.group(1) == "/", m.group(2).lower(), m.group(3)
-        out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
         if name == "br":
             text(" ")
         if name in BLOCK:
             block += 1
         if closing:
-            tokens.append(("t:x" if out else f"t:{name}", "", out, block, inside))
+            tokens.append((tag(name, out), "", out, block, inside))
             if names[name] > 0:
                 while stack[-1][0] != name:
                     pop()
@@ -145,13 +160,13 @@ def parse(html: str, freed: frozenset[int] | set[int] = NONE,
             pop()
         elif stack and stack[-1][0] in SIBLING.get(name, ()):
             pop()
-        out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        tokens.append(("t:x" if out else f"t:{name}", "", out, block, inside))
+        out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+        own, words = is_out(name, attributes, inside > 0 or name in ARTICLE, names["blockquote"] > 0)
+        tokens.append((tag(name, out or own), "", out, block, inside))
         if name in VOID or attributes.endswith("/") and name not in BLOCK:
             continue
-        here = inside or name in ARTICLE
+        here = max(inside, {"article": 2, "main": 1}.get(name, 0))
         hard, within = (stack[-1][3], stack[-1][4]) if stack else (False, -1)
-        own, words = is_out(name, attributes, here)
         if words and not own and not hard:
             named.append(Named(name, words, within))
             within = len(named) - 1
@@ -178,6 +193,38 @@ def parse(html: str, freed: frozenset[int] | set[int] = NONE,
     return tokens
 
 
+def within_mark(tokens: list[tuple[str, str, bool, int, int]]) -> list[tuple[str, str, bool, int, bool]]:
+    """The tokens with ``inside`` told for the page's mark: its <article> elements, or <main>.
+
+    <main> counts if the page has no <article>, or if those in it have less
+    than a fifth of its words (teasers).
+    """
+    n = Counter()
+    for _, s, out, _, inside in tokens:
+        if not out:
+            n[inside] += len(s.split())
+    least = 2 if n[2] and 4 * n[2] >= n[1] else 1
+    return [(kind, s, out, block, inside >= least) for kind, s, out, block, inside in tokens]
+
+
+def score(kind: str, s: str, inside: bool, marked: bool, weight: dict[str, float]) -> float:
+    """What a token adds to a region's sum; ``marked``: the page marks its article."""
+    if kind[0] == "w":
+        sign = -1 if marked and not inside else 1
+        return sign * weight.get(kind, UNSEEN_WORD) * len(s.split())
+    if marked and inside or kind == "t:y":
+        return 0.0
+    return weight.get(kind, UNSEEN_TAG)
+
+
+def with_title(tokens: list[tuple[str, str, bool, int, bool]], a: int, b: int) -> int:
+    """The region's start, moved back to an h1 that only tags part from it."""
+    i = a - 1
+    while a < b and i >= 0 and (tokens[i][0][0] == "t" or tokens[i][2] or not tokens[i][1].strip()):
+        i -= 1
+    return i if a < b and i >= 0 and tokens[i][0] == "w:h1" else a
+
+
 def judged(html: str, weight: dict[str, float]) -> tuple[list[tuple[str, str, bool, int, bool]], tuple[int, int]]:
     """The tokens of a page and their best region, names heeded only where they don't mark the content itself.
 
@@ -192,14 +239,16 @@ def judged(html: str, weight: dict[str, float]) -> tuple[list[tuple[str, str, bo
     while True:
         named: list[Named] = []
         tokens = parse(html, freed, named)
-        a, b = region([weight.get(kind, UNSEEN_WORD) * len(s.split()) if kind[0] == "w" else weight.get(kind, UNSEEN_TAG)
-                       for kind, s, *_ in tokens])
-        marked = [e.parent >= 0 and e.parent not in freed for e in named]
+        tokens = within_mark(tokens)
+        marked = any(inside and not out and s.strip() for _, s, out, _, inside in tokens)
+        a, b = region([score(kind, s, inside, marked, weight) for kind, s, _, _, inside in tokens])
+        a = with_title(tokens, a, b)
+        hidden = [e.parent >= 0 and e.parent not in freed for e in named]
         for i, e in enumerate(named):
-            marked[i] = marked[i] or e.parent >= 0 and marked[e.parent]
-        outer = [i for i, e in enumerate(named) if i not in freed and not marked[i] and e.words
+            hidden[i] = hidden[i] or e.parent >= 0 and hidden[e.parent]
+        outer = [i for i, e in enumerate(named) if i not in freed and not hidden[i] and e.words
                  and (e.article or e.main or not e.found & COMMENTS)]
-        if not outer or any(inside and not out and s.strip() for _, s, out, _, inside in tokens):
+        if not outer or marked:
             return tokens, (a, b)
         best = sum(len(s.split()) for _, s, out, *_ in tokens[a:b] if not out)
         top = max(outer, key=lambda i: (named[i].main, named[i].words, -i))

@@ -64,6 +64,65 @@ def test_names_do_not_hide_the_content():
     assert M.extract(f"<article>{text}</article>{side}", w) == want
 
 
+HEAD = "<h1>A title here</h1><p>First words of the text go on.</p>"
+TABLE = "<table>" + "".join(f"<tr><td>a{i}</td><td>b{i}</td></tr>" for i in range(40)) + "</table>"
+CELLS = "".join(f"a{i}\n\nb{i}\n\n" for i in range(40))
+TITLE = "A title here\n\nFirst words of the text go on."
+
+
+def test_a_marked_article_is_whole_and_ends_the_text():
+    w = weights()
+    for body, want in [
+            (f"<article>{HEAD}<p class='related'>Related words.</p><p class='legal'>Legal words.</p></article>",
+             TITLE + "\n\nRelated words.\n\nLegal words."),
+            (f"<article>{HEAD}<blockquote><p>Quoted.</p><footer>Someone said</footer></blockquote></article>",
+             TITLE + "\n\nQuoted.\n\nSomeone said"),
+            ("<article><p>Let <math>x</math> be one.</p></article>", "Let x be one."),
+            ("<article><p>Let <object>x</object> <svg><g>v</g></svg>be one.</p></article>", "Let x be one."),
+            (f"<article>{HEAD}{TABLE}<p>After it.</p></article>", f"{TITLE}\n\n{CELLS}After it."),
+            (f"<article>{HEAD}<div class='ad'><p>Buy it</p></div><form>Mail</form><p>After it.</p></article>",
+             TITLE + "\n\nAfter it."),
+            (f"<article>{HEAD}</article><section><p>" + "I like it a lot. " * 40 + "</p></section>", TITLE),
+            (f"<main><article>{HEAD}</article><section><p>I like it a lot.</p></section></main>", TITLE),
+            (f"<main>{HEAD * 3}<article><p>A teaser.</p></article></main>", "\n\n".join([TITLE] * 3 + ["A teaser."]))]:
+        assert M.extract(f"<body><nav><a href=x>Home page</a></nav>{body}<footer>someone</footer>", w) == want, body
+
+
+def test_unmarked_pages_keep_formulas_tables_and_titles():
+    w = weights()
+    for body, want in [
+            ("<div><p>Let <math><mi>x</mi></math> be one and go on.</p></div>", "Let x be one and go on."),
+            ("<div><p>Let <svg><g>v</g></svg>be one and go on.</p></div>", "Let be one and go on."),
+            (f"<div>{HEAD}{TABLE}<p>After it.</p></div>", f"{TITLE}\n\n{CELLS}After it."),
+            ("<div class='post-header'><h1>The title</h1></div><div><p>Some words that go on.</p></div>",
+             "The title\n\nSome words that go on.")]:
+        assert M.extract(f"<body><nav><a href=x>Home page</a></nav>{body}<footer>someone</footer>", w) == want, body
+
+
+def brute_region(scores):
+    """The best of all ranges, the first and shortest of equal ones."""
+    best, at = 0.0, (0, 0)
+    for j in range(len(scores) + 1):
+        for i in range(j):
+            total = 0.0
+            for x in scores[i:j]:
+                total += x
+            if total > best + 1e-9:
+                best, at = total, (i, j)
+    return at
+
+
+def test_pages_against_all_ranges(monkeypatch):
+    rng = random.Random(3)
+    parts = [HEAD, "<div>", "</div>", "<p>Some words go on.</p>", "<nav>Menu of it</nav>", "<ul><li>one item<li>two</ul>",
+             "<article>", "</article>", "<table><tr><td>cell</table>", "<div class='related'>More of it</div>", "<br>"]
+    pages = ["<body>" + "".join(rng.choices(parts, k=rng.randint(1, 7))) for _ in range(150)]
+    known = {k: v + rng.uniform(-0.01, 0.01) for k, v in weights().items()}
+    found = [M.extract(p, known) for p in pages]
+    monkeypatch.setattr(M, "region", brute_region)
+    assert found == [M.extract(p, known) for p in pages] and len(set(found)) > 30
+
+
 def test_odd_pages():
     w = weights()
     for html in (None, "", "<", "<p", "<p>", "</p></div>", "<!-- x", "<script>a", "<article></article>", "<a b='>c"):
