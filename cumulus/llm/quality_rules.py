@@ -4,7 +4,10 @@ Every text gives counts (words, symbols, repeated lines, repeated five-word
 windows) and a vector of transformed shares. A document whose base rule
 fails is out; the others are judged, within their language and source, by
 the Mahalanobis distance to the minimum covariance determinant (MCD)
-estimate of the group.
+estimate of the group. Estimates are made for every language and source,
+every language, and all rows; a group's own counts by its rows, and that of
+its language (of all rows, for the language) as OTHERS rows more. So every
+group is judged the same way, however small.
 
 MCD by deterministic starts and concentration steps. Three starts
 (distance to the coordinate medians scaled by the median deviations, tanh
@@ -39,7 +42,7 @@ MAX_REPEATED = 20  # percent of words in repeated five-word windows
 WINDOW = 5
 COVER = 0.6  # share of a group's rows that the estimate rests on, at least
 STEPS = 3  # concentration steps after the choice of a start
-MIN_GROUP = 60  # groups with fewer usable rows are judged together
+OTHERS = 30.0  # rows that the estimate of the language, or of all rows, counts as
 LEVEL = 0.9999  # chi-square level beyond which a document is an outlier
 PRIOR = 30.0  # words by which shares of short texts are drawn to typical ones
 PER_OCTAVE, LOWEST, BINS = 4, -6, 100  # distance bins
@@ -109,7 +112,7 @@ def measured(docs: DataFrame, carry: list[str]) -> DataFrame:
     """(row, key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, v) of every row.
 
     ``row`` holds the columns ``carry`` of ``docs`` unchanged; key names the
-    language and source (null is a value of its own).
+    language and source (null is a value of its own), as a JSON array.
     """
     rows = docs.select(F.struct(*carry).alias("row"), F.col("text").cast("string").alias("text"),
                        F.to_json(F.array(F.col("lang").cast("string"), F.col("source").cast("string"))).alias("key"))
@@ -271,28 +274,62 @@ def estimates(rows: DataFrame) -> DataFrame:
     return _step(rows, now, chi2_quantile(0.975, P)).select("gkey", "m", "prec")
 
 
+ALL = "all"  # no JSON array, hence no language's or group's key
+
+
+def language(key: str):
+    """The key of a group's language: a JSON array of it alone."""
+    return F.to_json(F.array(F.get_json_object(key, "$[0]")))
+
+
+def blended(usable: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, m, prec) of every group: its estimate, its language's and that of all rows, weighted by rows.
+
+    Means and covariances are weighted alike: the language's estimate of n
+    rows takes n parts of n + OTHERS beside that of all rows, then the
+    group's of n rows beside the outcome.
+    """
+    groups = stored(usable.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("lkey", language("key")), "groups")
+    languages = groups.groupBy("lkey").agg(F.sum("n").alias("ln"))
+    found = stored(found, "mcd-estimates")
+    both = [found.select(F.col("gkey").alias(key), F.struct("m", "prec").alias(name))
+            for key, name in (("key", "own"), ("lkey", "of_language"))]
+    sides = groups.join(languages, "lkey").join(both[0], "key").join(both[1], "lkey")
+    every = found.filter(F.col("gkey") == ALL).select("m", "prec").first()  # one row of P + P * P numbers
+
+    def mix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for key, n, ln, *two in pdf.itertuples(index=False):
+                (m1, c1), (m2, c2), (m3, c3) = [
+                    (np.array(x["m"]), np.linalg.inv(np.array(x["prec"]).reshape(P, P))) for x in (*two, every)]
+                of_language = ln / (ln + OTHERS)
+                own = n / (n + OTHERS)
+                m = own * m1 + (1 - own) * (of_language * m2 + (1 - of_language) * m3)
+                cov = own * c1 + (1 - own) * (of_language * c2 + (1 - of_language) * c3)
+                out.append({"key": key, "m": m.tolist(), "prec": np.linalg.inv(cov).ravel().tolist()})
+            yield pd.DataFrame(out, columns=["key", "m", "prec"])
+    return sides.select("key", "n", "ln", "own", "of_language").mapInPandas(
+        mix, "key string, m array<double>, prec array<double>")
+
+
 def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
     """The columns of ``measured`` with distance (squared) and kept, one row per row of ``docs``.
 
     Null and empty texts fail the base rule, like texts of fewer than ten
-    words. Groups with fewer than MIN_GROUP usable rows are judged together
-    as one group; if even these are too few, only the base rule decides
-    (distance null). Null languages and sources form groups of their own;
-    equal rows get equal verdicts; no rows give no rows.
+    words, and have no distance; every other row has one. Null languages and
+    sources form groups of their own; a group of one row is judged by its
+    language's estimate almost alone, and a row that is alone in the table
+    is its own estimate and kept. Equal rows get equal verdicts; no rows
+    give no rows.
     """
     all_rows = stored(measured(docs, carry), "measured")
-    sizes = stored(all_rows.groupBy("key").agg(F.count_if(~F.col("base_failed")).alias("usable"))
-                   .select("key", F.when(F.col("usable") >= MIN_GROUP, F.col("key")).otherwise("*").alias("gkey"),
-                           "usable"), "sizes")
-    named = sizes.select("key", "gkey")
-    enough = sizes.groupBy("gkey").agg(F.sum("usable").alias("n")).filter(F.col("n") >= MIN_GROUP).select("gkey")
-    rows = stored(all_rows.filter(~F.col("base_failed")).select("key", "v").join(named, "key")
-                  .join(stored(enough, "enough"), "gkey", "left_semi").select("gkey", "v"), "usable")
-    found = estimates(rows)
-    out = (all_rows.join(named, "key").join(found, "gkey", "left")
-           .withColumn("distance", F.when(~F.col("base_failed"), _distance())))
+    usable = all_rows.filter(~F.col("base_failed"))
+    rows = stored(usable.select(F.explode(F.array("key", language("key"), F.lit(ALL))).alias("gkey"), "v"), "usable")
+    of_groups = stored(blended(usable, estimates(rows)), "group-estimates")
+    out = all_rows.join(of_groups, "key", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(
-        F.col("distance") <= chi2_quantile(LEVEL, P), F.lit(True))).drop("m", "prec", "gkey", "key")
+        F.col("distance") <= chi2_quantile(LEVEL, P), F.lit(False))).drop("m", "prec", "key")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -73,6 +73,44 @@ def test_moderate_outliers_of_clean_groups_go(spark):
     assert sum(out[i]["kept"] for i in range(400)) >= 390
 
 
+def test_small_groups_are_judged_like_large_ones(spark):
+    """Twenty rows a group and an outlier in each, a language of one group, and groups without names."""
+    rng = random.Random(8)
+    rows, odd = [], []
+    for g, (lang, source) in enumerate([("en", "a"), ("en", "b"), ("de", "a"), (None, None), (None, "b"), ("en", "c")]):
+        for i in range(20):
+            rows.append((100 * g + i, prose(rng, rng.randint(100, 300)), lang, source, None))
+        words = prose(rng, 200).split()
+        odd.append(100 * g + 50)
+        rows.append((odd[-1], " ".join(str(rng.randint(10000, 99999)) if j % 2 else w for j, w in enumerate(words)),
+                     lang, source, None))
+    out = {r["doc_id"]: r for r in Q.judged(spark.createDataFrame(rows, DOCS), ["doc_id"]).select("row.doc_id", "*").collect()}
+    assert all(r["distance"] is not None for r in out.values())
+    assert not any(out[i]["kept"] for i in odd)
+    assert sum(r["kept"] for r in out.values()) >= 118
+
+
+def test_a_single_row_and_a_single_group(spark):
+    rng = random.Random(9)
+    one = [(1, prose(rng, 80), "en", "a", None)]
+    r = Q.judged(spark.createDataFrame(one, DOCS), ["doc_id"]).first()
+    assert r["kept"] and abs(r["distance"]) < 1e-6
+    alone = [(i, prose(rng, 100), "en", "a", None) for i in range(15)] + [(99, prose(rng, 100), "xx", "z", None)]
+    out = Q.judged(spark.createDataFrame(alone, DOCS), ["doc_id"]).collect()
+    assert len(out) == 16 and all(r["kept"] and r["distance"] is not None for r in out)
+
+
+def test_blend_weighs_by_rows(spark):
+    prec = (np.eye(Q.P) / 4).ravel().tolist()
+    found = spark.createDataFrame(
+        [('["en","a"]', [1.0] * Q.P, prec), ('["en"]', [2.0] * Q.P, np.eye(Q.P).ravel().tolist()),
+         (Q.ALL, [4.0] * Q.P, np.eye(Q.P).ravel().tolist())], "gkey string, m array<double>, prec array<double>")
+    usable = spark.createDataFrame([('["en","a"]',)] * 30, "key string")
+    r = Q.blended(usable, found).collect()
+    assert len(r) == 1 and np.allclose(r[0]["m"], 0.5 * 1 + 0.5 * (0.5 * 2 + 0.5 * 4))
+    assert np.allclose(np.array(r[0]["prec"]).reshape(Q.P, Q.P), np.eye(Q.P) / (0.5 * 4 + 0.5))
+
+
 def test_estimate_is_that_of_the_covered_rows(spark):
     """The concentration steps end where numpy's, over the same rows, does (up to the width of a distance bin)."""
     rng = np.random.default_rng(4)
