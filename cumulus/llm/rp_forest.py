@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +46,13 @@ TREE = 48  # a node's number: its tree above this bit, its path (1 for the root)
 SEED = 7
 
 
-def unit(rows: list) -> np.ndarray:
-    x = np.array(rows, np.float64)
+def matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """The vectors, all of one length and without nulls, as rows."""
+    return np.asarray(pc.list_flatten(vectors), np.float64).reshape(len(vectors), -1)
+
+
+def unit(rows: list | np.ndarray) -> np.ndarray:
+    x = np.asarray(rows, np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -118,7 +124,7 @@ def leaves_of(classes: DataFrame, cosine: float = COSINE, trees: int = TREES, le
 
     def fit(group: tuple, table: pa.Table) -> pa.Table:
         node = group[2].as_py()
-        nodes = grow(unit(table.column("embedding").to_pylist()), node, table.column("n")[0].as_py(), cosine,
+        nodes = grow(unit(matrix(table.column("embedding"))), node, table.column("n")[0].as_py(), cosine,
                      leaf)
         return pa.table({"label": table.column("label").slice(0, 1), "dim": table.column("dim").slice(0, 1),
                          "node": pa.array([node]), "n": table.column("n").slice(0, 1),
@@ -130,7 +136,7 @@ def leaves_of(classes: DataFrame, cosine: float = COSINE, trees: int = TREES, le
         nodes: dict[int, tuple[int, float]] = {}
         for r in model.select(["nodes", "ways", "cuts"]).to_pylist():
             nodes |= zip(r["nodes"], zip(r["ways"], r["cuts"]))
-        x = unit(rows.column("embedding").to_pylist()) if len(rows) else np.empty((0, group[1].as_py()))
+        x = unit(matrix(rows.column("embedding"))) if len(rows) else np.empty((0, group[1].as_py()))
         at, node, done = descend(x, group[2].as_py(), nodes, cosine)
         return rows.select(own).take(at).append_column("node", pa.array(node)).append_column("done", pa.array(done))
 
@@ -166,24 +172,24 @@ def _valid(vec, label, vec_id):
     return (vec_id.isNotNull() & label.isNotNull() & vec.isNotNull() & finite & F.exists(d, lambda x: x != 0))
 
 
-def compare(x: np.ndarray, weight: np.ndarray, first: np.ndarray, earlier: list[set], cosine: float
+def compare(x: np.ndarray, weight: np.ndarray, first: np.ndarray, row: np.ndarray, leaf: np.ndarray, cosine: float
             ) -> tuple[np.ndarray, np.ndarray]:
     """(links, root) of unit vectors that share a leaf.
 
     ``first`` is False for vectors of the left block, True for the right
     one: pairs are made across, or among all if there is one block only.
-    ``earlier``: the leaves before this one that a vector lies in.
+    ``row`` also lies in ``leaf``, which is before this one.
     """
     n = len(x)
     linked = x @ x.T >= cosine
     np.fill_diagonal(linked, False)
     if first.any():
         linked &= first[:, None] != first[None, :]
-    seen = {leaf: i for i, leaf in enumerate(sorted(set().union(*earlier)))}
-    if seen:
+    at = np.flatnonzero(linked.any(1)[row]) if len(row) else []
+    if len(at):  # pairs that meet before are found there
+        seen, number = np.unique(leaf[at], return_inverse=True)
         member = np.zeros((n, len(seen)), np.float32)
-        for i, e in enumerate(earlier):
-            member[i, [seen[leaf] for leaf in e]] = 1
+        member[row[at], number] = 1
         linked &= (member @ member.T) == 0
     links = linked @ weight
     root = np.arange(n)
@@ -222,11 +228,12 @@ def link(rows: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int
              .select(*key, "i", "j", (F.col("own") != F.col("i")).alias("right"), "rep", "w", "embedding", "leaves"))
 
     def within(group: tuple, table: pa.Table) -> pa.Table:
-        leaf = group[2].as_py()
-        earlier = [{x for x in ls if x < leaf} for ls in table.column("leaves").to_pylist()]
+        leaves = table.column("leaves").combine_chunks()
+        row, leaf = (np.asarray(f(leaves)) for f in (pc.list_parent_indices, pc.list_flatten))
+        before = leaf < group[2].as_py()
         rep = table.column("rep").to_numpy()
-        links, root = compare(unit(table.column("embedding").to_pylist()), table.column("w").to_numpy(),
-                              table.column("right").to_numpy().astype(bool), earlier, cosine)
+        links, root = compare(unit(matrix(table.column("embedding"))), table.column("w").to_numpy(),
+                              table.column("right").to_numpy().astype(bool), row[before], leaf[before], cosine)
         at = np.flatnonzero(links)
         return pa.table({"rep": pa.array(rep[at]), "links": pa.array(links[at].astype(np.int64)),
                          "root": pa.array(rep[root[at]])})
