@@ -3,8 +3,9 @@
 The id list never passes through the driver: the deduplicated run
 metadata is a DataFrame, and "query_id IN (ids)" is a left-semi join
 (or, when the metadata is needed too, one inner join against the
-one-row-per-id metadata, which both filters and enriches). Spark picks a
-broadcast only when the id side's measured size is under the threshold.
+one-row-per-id metadata, which both filters and enriches). The id side is
+parsed from JSON, of which Spark's estimate says nothing, so these joins never
+broadcast it: they sort and merge at every size.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions.exprs import rfc3339
 from ..sources import documents as docs
 from ..sources.tables import USAGE_MEASURES
-from .joins import salted_join
 
 META = ["assetId", "deploymentId", "runId", "dagId", "taskId", "namespace"]
 SOURCE_LAG = timedelta(hours=6)
@@ -99,10 +99,13 @@ def query_rows(history: DataFrame, listed: DataFrame) -> DataFrame:
 def _enrich(facts: DataFrame, meta: DataFrame) -> DataFrame:
     """Inner join to the one-row-per-id metadata: filters and enriches at once.
 
-    The metadata side is an aggregate (last-wins dedup), which AQE's skew
-    split cannot handle, so the join is salted.
+    The metadata side is an aggregate (last-wins dedup) dealt by the id. The
+    second key, which follows from the id, has Spark deal it anew, in a plain
+    shuffle whose skewed partitions AQE splits; no row is repeated.
     """
-    return salted_join(facts, meta.withColumnRenamed("queryId", "query_id"), "query_id")
+    part = F.crc32(F.col("query_id").cast("binary"))
+    metas = meta.withColumnRenamed("queryId", "query_id").withColumn("_part", part)
+    return facts.withColumn("_part", part).join(metas.hint("merge"), ["query_id", "_part"]).drop("_part")
 
 
 def cost_metrics(attribution: DataFrame, meta: DataFrame) -> DataFrame:

@@ -163,3 +163,40 @@ def test_batch_counts_equal_counted_metrics(spark):
     want = rows(U.metric_counts(U.all_metrics(attr, hist, meta)), "category", "type", "n")
     assert rows(U.batch_counts(attr, hist, meta), "category", "type", "n") == want
     assert U.batch_counts(attr, hist, meta.limit(0)).isEmpty()
+
+
+def _final_plan(df):
+    """The rows, and the plan as it was run."""
+    got = df.collect()
+    return got, df._jdf.queryExecution().executedPlan().toString()
+
+
+def _json_meta(spark, n):
+    pages = _pages(spark, [(i, [(f"q{i}", f"a{i}", "2024-01-01T05:00:00")]) for i in range(n)])
+    return U.external_queries(pages, "2024-01-01T11:00:00", "2024-01-01T12:00:00")
+
+
+def test_metrics_dont_broadcast_the_metadata(spark):
+    listed = _json_meta(spark, 5)
+    _, attr, hist = _usage(spark)
+    attr = attr.unionByName(attr.limit(1).withColumn("query_id", F.lit(None).cast("string")))
+    got, plan = _final_plan(U.all_metrics(attr, hist, U.dedup_last(listed)))
+    assert "Broadcast" not in plan and "Generate explode" not in plan
+    assert len(got) == 2 + 7 * 2 and {r.assetId for r in got} == {"a1"}
+
+
+def test_hot_id_is_split_when_metrics_are_built(spark):
+    attr = spark.range(0, 40000, 1, 8).select(
+        F.when(F.col("id") < 30000, F.lit("q1")).otherwise(F.concat(F.lit("q"), F.col("id") % 50)).alias("query_id"),
+        F.lit(T0).cast("timestamp_ntz").alias("end_time"), F.rand(1).alias("credits_attributed_compute"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got, plan = _final_plan(U.cost_metrics(attr, U.dedup_last(_json_meta(spark, 50))))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 40000 and "skew=true" in plan
