@@ -76,7 +76,8 @@ def dedup_last(records: DataFrame) -> DataFrame:
 
 
 def _ids(listed: DataFrame) -> DataFrame:
-    return listed.select(F.col("queryId").alias("query_id"))
+    """The listed ids, to be merged: never broadcast, whatever Spark takes their size for."""
+    return listed.select(F.col("queryId").alias("query_id")).hint("merge")
 
 
 def query_costs(attribution: DataFrame, listed: DataFrame) -> DataFrame:

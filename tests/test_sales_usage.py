@@ -200,3 +200,14 @@ def test_hot_id_is_split_when_metrics_are_built(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert len(got) == 40000 and "skew=true" in plan
+
+
+def test_listed_ids_are_not_broadcast(spark):
+    listed = _json_meta(spark, 5)
+    _, attr, hist = _usage(spark)
+    got, plan = _final_plan(U.query_costs(attr, listed))
+    assert len(got) == 2 and "Broadcast" not in plan
+    got, plan = _final_plan(U.query_rows(hist, listed))
+    assert len(got) == 2 and "Broadcast" not in plan
+    got, plan = _final_plan(U.batch_counts(attr, hist, listed))
+    assert {r.n for r in got} == {2} and len(got) == 8 and "Broadcast" not in plan
