@@ -33,7 +33,7 @@ BACKFILL_START, BACKFILL_END = "2024-01-15", AS_OF
 STORED_START = "2024-01-27"  # first analysis date of the stored analytics table
 CATCHUP_START = "2024-01-01"
 EXPECTED_START = "2023-12-30"  # catch-up is due from here on, before the first reading
-LANDED_FILES = 4  # files (and micro-batches) in which the streams' rows arrive
+LANDED_BATCHES = 4  # micro-batches in which the streams' rows arrive
 WAVES = (2, 0, 3, 1)  # the order in which the chain's waves of rows land
 # Waves of the watermark query: the usage up to a time, the usage up to another, the rest; late rows come last.
 WATERMARK_CUTS = ("1994-06-01 00:00:00", "1997-01-01 00:00:00")
@@ -281,10 +281,11 @@ def q_stream_weather_incremental(spark, d):
 
 
 def _arriving(spark, d, table, mapper=None):
-    """A table's rows as a stream of several files in no order, one file a micro-batch."""
+    """A table's rows as a stream of files in no order, in four micro-batches of as many files as the table has scan tasks."""
     rows, landing = read_table(spark, d, table), scratch_path(spark, f"landed_{table}")
-    rows.repartition(LANDED_FILES).write.parquet(landing)
-    return inc.stream_source(spark, landing, rows.schema, mapper, max_files_per_trigger=1)
+    files = max(1, rows.rdd.getNumPartitions())
+    rows.repartition(LANDED_BATCHES * files).write.parquet(landing)
+    return inc.stream_source(spark, landing, rows.schema, mapper, max_files_per_trigger=files)
 
 
 def q_stream_sales_incremental(spark, d):

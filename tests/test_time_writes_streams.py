@@ -1,4 +1,6 @@
 import datetime as dt
+import glob
+import os
 
 from pyspark.sql import functions as F
 
@@ -285,3 +287,16 @@ def test_scratch_is_shared_or_refused_and_can_be_cleared(spark):
                               sparkContext=SimpleNamespace(master="spark://x:7077", getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError):
         session.checkpoint_root(cluster)
+
+
+def test_arriving_files_grow_with_the_table(spark, tmp_path):
+    spark.range(0, 6000, 1, 6).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' AS ts").write.parquet(
+        f"{tmp_path}/events.parquet")
+    files = read_table(spark, str(tmp_path), "events").rdd.getNumPartitions()
+    assert files > 1
+    stream, path = catalog._arriving(spark, str(tmp_path), "events"), scratch_path(spark, "t_arriving")
+    inc.window_partials_stream(stream, "ts", "1 hour", path, scratch_path(spark, "t_ck"))
+    landed = max(glob.glob(f"{scratch_path(spark, 'landed_events').rsplit('-', 1)[0]}-*"), key=os.path.getmtime)
+    assert len(glob.glob(f"{landed}/part-*")) == catalog.LANDED_BATCHES * files
+    got = sinks.read_back(spark, path, inc.WINDOW_PARTIALS).collect()
+    assert len({r.batch_id for r in got}) == catalog.LANDED_BATCHES and sum(r.n for r in got) == 6000
