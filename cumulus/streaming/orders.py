@@ -2,7 +2,7 @@
 
 ``order_items_stream`` joins two streams, orders and their items, whichever
 come first. Both sides wait for their partner for a bounded time by the time
-they landed, so the join state stays bounded.
+they landed, in files and not in memory.
 
 ``category_totals_stream`` keeps sales by category up to date under new items,
 new orders and changes of an order's status. Each micro-batch turns into
@@ -31,33 +31,92 @@ ORDER_PARTIALS = T.StructType([
     T.StructField("batch_id", T.LongType())])
 
 
+def _folder(store: str, name: str) -> str:
+    return f"{store.rstrip('/')}/{name}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def _read_path(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of a store; one that nothing was written to yet is empty."""
+    files, folder = _hadoop(spark, path)
+    if not files.exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _forget(spark: SparkSession, path: str, batches: list[int]) -> None:
+    """Deletes the rows of ``batches``, for which nothing can ask any more."""
+    for batch_id in batches:
+        files, folder = _hadoop(spark, f"{path}/batch_id={batch_id}")
+        files.delete(folder, True)
+
+
 def order_items_stream(orders: DataFrame, items: DataFrame, partials_path: str, checkpoint: str, wait: str = "6 hours",
                        salts: int = 4, available_now: bool = True):
     """Joins streams of orders and items by ``order_id`` and stores item counts per order and micro-batch.
 
     Both have ``landed_at``. An order and an item meet if they landed within
-    ``wait`` of each other; that is how long either waits in the state, on top
-    of the watermark's own delay, and what comes later finds no partner. Items
-    are dealt over ``salts`` copies of their order, so that the state and the
-    work of an order with very many items spread over as many tasks.
+    ``wait`` of each other. The watermark trails the latest landing of the
+    earlier batches, that of the slower stream, by ``wait``: what landed
+    before it is dropped, and what can meet nothing later is forgotten. What
+    waits lies in files under ``checkpoint``, not in the executors' memory; a
+    batch joins its orders with all waiting items and its items with the
+    orders that waited before. Items are dealt over ``salts`` copies of their
+    order, so that the work of an order with very many items spreads over as
+    many tasks.
     """
     within = F.expr(f"INTERVAL {wait}")
-    o = (orders.withWatermark("landed_at", wait)
-         .select(*ORDER_COLUMNS, "landed_at", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")).alias("o"))
-    i = (items.withColumn("salt", F.pmod(F.xxhash64(*items.columns), F.lit(salts)).cast("int"))
-         .withColumnRenamed("landed_at", "item_landed_at").withWatermark("item_landed_at", wait)
-         .select("order_id", "product_id", "item_landed_at", "salt").alias("i"))
-    met = o.join(i, (F.col("o.order_id") == F.col("i.order_id")) & (F.col("o.salt") == F.col("i.salt"))
-                 & (F.col("item_landed_at") >= F.col("landed_at") - within)
-                 & (F.col("item_landed_at") <= F.col("landed_at") + within), "inner")
-    pairs = met.select(*[F.col(f"o.{c}").alias(c) for c in ORDER_COLUMNS], "product_id")
+    deal = F.pmod(F.xxhash64(*items.columns), F.lit(salts)).cast("int")
+    arrivals = (orders.select(F.lit(True).alias("is_order"), *ORDER_COLUMNS, "landed_at")
+                .unionByName(items.select(F.lit(False).alias("is_order"), "order_id", "product_id", "landed_at",
+                                          deal.alias("salt")), allowMissingColumns=True)
+                .filter("order_id is not null and landed_at is not null"))
+    o_columns, i_columns = [*ORDER_COLUMNS, "landed_at"], ["order_id", "product_id", "landed_at", "salt"]
+    o_path, i_path = (_folder(f"{checkpoint.rstrip('/')}/waiting", n) for n in ("orders", "items"))
+    o_schema, i_schema = (f"{arrivals.select(*c)._jdf.schema().toDDL()}, batch_id bigint" for c in (o_columns, i_columns))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        part = batch.groupBy(*ORDER_COLUMNS).agg(F.count("product_id").alias("item_count"))
+        spark = batch.sparkSession
+
+        def waiting(path: str, schema: str) -> DataFrame:
+            return _read_path(spark, path, schema)
+
+        # one row per waiting batch of either stream
+        landed = [waiting(path, schema).filter(F.col("batch_id") < batch_id).groupBy("batch_id")
+                  .agg(F.max("landed_at").alias("latest")) for path, schema in ((o_path, o_schema), (i_path, i_schema))]
+        ends = [{r.batch_id: r for r in x.select("batch_id", F.unix_micros("latest").alias("latest"),
+                                                 F.unix_micros(F.col("latest") + within).alias("reach"),
+                                                 F.unix_micros(F.col("latest") - within).alias("mark")).collect()} for x in landed]
+        mark = min(max(r.mark for r in x.values()) for x in ends) if all(ends) else None
+        if mark is not None:
+            batch = batch.filter(F.unix_micros("landed_at") > mark)
+            for path, seen in zip((o_path, i_path), ends):
+                _forget(spark, path, [n for n, r in seen.items() if r.reach <= mark])
+        number = F.lit(batch_id).cast("bigint").alias("batch_id")
+        for path, columns, kind in ((o_path, o_columns, "is_order"), (i_path, i_columns, "not is_order")):
+            write_table(batch.filter(kind).select(*columns, number), path, partition_by=["batch_id"], rebalance=False)
+        now, before = F.col("batch_id") == batch_id, F.col("batch_id") < batch_id
+        o, i = waiting(o_path, o_schema), waiting(i_path, i_schema)
+
+        def met(o: DataFrame, i: DataFrame) -> DataFrame:
+            o = o.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("o")
+            i = i.withColumnRenamed("landed_at", "item_landed_at").alias("i")
+            return (o.join(i, (F.col("o.order_id") == F.col("i.order_id")) & (F.col("o.salt") == F.col("i.salt"))
+                           & (F.col("item_landed_at") >= F.col("landed_at") - within)
+                           & (F.col("item_landed_at") <= F.col("landed_at") + within))
+                    .select(*[F.col(f"o.{c}").alias(c) for c in ORDER_COLUMNS], "product_id"))
+
+        pairs = met(o.filter(now), i.filter(now | before)).unionByName(met(o.filter(before), i.filter(now)))
+        part = pairs.groupBy(*ORDER_COLUMNS).agg(F.count("product_id").alias("item_count"))
         write_table(part.withColumn("batch_id", F.lit(batch_id).cast("bigint")), partials_path, ORDER_PARTIALS,
                     partition_by=["batch_id"])
 
-    return _run(pairs.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint), available_now)
+    return _run(arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint), available_now)
 
 
 def order_summary_from_partials(spark: SparkSession, partials_path: str, customers: DataFrame) -> DataFrame:
@@ -85,17 +144,8 @@ _COMMITS = "generation long, upto long"
 BUCKETS = 16
 
 
-def _folder(store: str, name: str) -> str:
-    return f"{store.rstrip('/')}/{name}"
-
-
 def _read(spark: SparkSession, store: str, name: str, schema: str) -> DataFrame:
-    """A table of the store; one that nothing was written to yet is empty."""
-    path = _folder(store, name)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return _read_path(spark, _folder(store, name), schema)
 
 
 def _latest(status: DataFrame) -> DataFrame:

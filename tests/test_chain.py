@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,38 @@ def test_order_items_meet_within_the_wait(spark):
     assert rows(got) == [(1, 2), (2, 0), (4, 1)]
 
 
+def test_waiting_orders_and_items_lie_in_files(spark):
+    """No state in memory; late rows are dropped, batches out of reach are forgotten, a replay replaces itself, hot orders are whole."""
+    o_schema = "order_id long, customer_id long, order_date timestamp_ntz, status string, total_amount double, landed_at timestamp"
+    i_schema = "order_id long, product_id long, landed_at timestamp"
+    hour = [T0 + dt.timedelta(hours=h) for h in range(60)]
+    customers = spark.createDataFrame([(1, "A", "B")], "customer_id long, first_name string, last_name string")
+    op, ip, out, ckpt = (scratch_path(spark, n) for n in "oipc")
+    batches = [([(1, 0), (2, 0)], [(1, 0)] * 50 + [(3, 5)]),  # (order, hour of landing)
+               ([(3, 6), (8, 11)], [(2, 6), (1, 7), (1, 1)]),  # 1 and its item of hour 7 are more than 6 hours apart
+               ([(4, 30)], [(4, 30), (8, 30)]),
+               ([(5, 48), (4, 20)], [(5, 48), (8, 16)])]  # rows of before hour 24 are late
+    for o, i in batches:
+        o = spark.createDataFrame([(k, 1, T0, "new", 2.0, hour[h]) for k, h in o], o_schema)
+        i = spark.createDataFrame([(k, 7, hour[h]) for k, h in i], i_schema)
+        o.write.mode("append").parquet(op)
+        i.write.mode("append").parquet(ip)
+        orders.order_items_stream(_stream(spark, op, o), _stream(spark, ip, i), out, ckpt)
+    want = [(1, 51), (2, 1), (3, 1), (4, 1), (5, 1)]
+
+    def got():
+        return rows(orders.order_summary_from_partials(spark, out, customers).select("order_id", "item_count"))
+
+    assert got() == want
+    assert not os.path.exists(f"{ckpt}/state")
+    assert all(sorted(os.listdir(f"{ckpt}/waiting/{kind}"))[-2:] == ["batch_id=2", "batch_id=3"]
+               and not os.path.exists(f"{ckpt}/waiting/{kind}/batch_id=0") for kind in ("orders", "items"))
+    for name in ("3", ".3.crc"):
+        os.remove(f"{ckpt}/commits/{name}")
+    orders.order_items_stream(_stream(spark, op, o), _stream(spark, ip, i), out, ckpt)
+    assert got() == want
+
+
 def _totals(spark, store):
     return {r.category: (round(r.total_quantity_sold, 6), round(r.total_revenue, 4)) for r in orders.category_totals(spark, store).collect()}
 
