@@ -148,10 +148,6 @@ def _read(spark: SparkSession, store: str, name: str, schema: str) -> DataFrame:
     return _read_path(spark, _folder(store, name), schema)
 
 
-def _latest(status: DataFrame) -> DataFrame:
-    return status.groupBy("order_id", "part").agg(F.max_by("status", "seq").alias("status"), F.max("seq").alias("seq"))
-
-
 def _counts(status: str, statuses) -> F.Column:
     return F.coalesce(F.col(status).isin(*statuses), F.lit(False)).cast("int")
 
@@ -164,27 +160,32 @@ def category_deltas(spark: SparkSession, batch: DataFrame, batch_id: int, store:
     earlier batches count anew, or no longer, if the batch changes whether
     their order qualifies. Orders and items are stored in ``part`` folders by
     their order, and only the orders that the batch touches are looked up.
+
+    Whether an order counted before the batch and counts after it is told in
+    one pass over its statuses, by numbers, which are aggregated by hashing;
+    items of all batches then meet the orders that count or change once.
     """
     part = F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int").alias("part")
+    b = F.lit(batch_id).cast("long").alias("batch_id")
     new_items = (batch.filter("kind = 'item' and order_id is not null").groupBy("order_id", "product_id", part)
                  .agg(F.sum("quantity").alias("quantity"), F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue")))
-    new_status = _latest(batch.filter("kind = 'order' and order_id is not null").select("order_id", part, "status", "seq"))
-    b = F.lit(batch_id).cast("long").alias("batch_id")
+    new_status = batch.filter("kind = 'order' and order_id is not null").select("order_id", part, "status", "seq")
     write_table(new_items.select("*", b), _folder(store, "items"), partition_by=["batch_id", "part"])
     write_table(new_status.select("*", b), _folder(store, "status"), partition_by=["batch_id", "part"])
     items, status = _read(spark, store, "items", _ITEMS), _read(spark, store, "status", _STATUS)
     now, before = F.col("batch_id") == batch_id, F.col("batch_id") < batch_id
-    touched = (items.filter(now).select("order_id", "part").unionByName(status.filter(now).select("order_id", "part"))).distinct()
-    was = _latest(status.filter(before).join(touched, ["order_id", "part"], "left_semi"))
-    is_ = _latest(status.filter(before | now).join(touched, ["order_id", "part"], "left_semi"))
-    qualifies = (is_.select("order_id", "part", _counts("status", statuses).alias("after"))
-                 .join(was.select("order_id", "part", _counts("status", statuses).alias("before")), ["order_id", "part"], "left")
-                 .select("order_id", "part", "after", (F.col("after") - F.coalesce("before", F.lit(0))).alias("change")))
-    lines = [(items.filter(now), "after"), (items.filter(before), "change")]
-    signed = [rows.join(qualifies.filter(f"{sign} != 0"), ["order_id", "part"])
-              .select("product_id", "part", (F.col("quantity") * F.col(sign)).alias("quantity"),
-                      (F.col("revenue") * F.col(sign)).alias("revenue")) for rows, sign in lines]
-    per_product = (signed[0].unionByName(signed[1]).groupBy("product_id", F.col("part").alias("bucket"))
+    touched = items.filter(now).select("order_id", "part").unionByName(status.filter(now).select("order_id", "part"))
+    counts = _counts("status", statuses)
+    qualifies = (status.filter(now | before).join(touched, ["order_id", "part"], "left_semi").groupBy("order_id", "part")
+                 .agg(F.coalesce(F.max_by(counts, "seq"), F.lit(0)).alias("after"),
+                      F.coalesce(F.max_by(F.when(before, counts), F.when(before, F.col("seq"))), F.lit(0)).alias("before"))
+                 .filter("after != 0 or before != 0")
+                 .select("order_id", "part", "after", (F.col("after") - F.col("before")).alias("change")))
+    sign = F.when(now, F.col("after")).otherwise(F.col("change"))
+    signed = (items.filter(now | before).join(qualifies, ["order_id", "part"]).withColumn("sign", sign).filter("sign != 0")
+              .select("product_id", "part", (F.col("quantity") * F.col("sign")).alias("quantity"),
+                      (F.col("revenue") * F.col("sign")).alias("revenue")))
+    per_product = (signed.groupBy("product_id", F.col("part").alias("bucket"))
                    .agg(F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue")))
     return (per_product.join(products.select("product_id", "category"), "product_id").groupBy("category", "bucket")
             .agg(F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue")))
