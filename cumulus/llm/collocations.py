@@ -13,10 +13,14 @@ ends as soon as no phrase is left that has not completed its cycle.
   and not by phrases. A false positive activates a phrase too early, which
   does no harm: each count belongs to one shard and is the whole count of that
   shard, and a phrase's total takes every shard once.
-* Counts are combined per block of BLOCK words in a task, then in a table that
-  is bucketed by phrase: a step shuffles what it counted once, and running
-  totals, thresholds and results read the buckets without another exchange. A
-  frequent phrase sends one row per block and language, whatever its count.
+* Longer phrases are counted by keys of 56 bits, packed by BINS bins of the key: a
+  block of BLOCK words of a task sends one row per bin, whose keys and counts
+  numpy sorts and adds, in a table bucketed by bin. Two phrases of one key only
+  look more frequent than they are. So the keys that reach the threshold, as
+  bit arrays, name every phrase that may, and a last scan counts these by
+  their words, exactly.
+* Words are counted as text in a table bucketed by word; a frequent word sends
+  one row per block and language, whatever its count.
 """
 
 from __future__ import annotations
@@ -37,6 +41,7 @@ from .common import stored
 SHARDS = 2
 BLOOM_BITS = 1 << 25
 BLOCK = 2_000_000  # words of a task between two flushes
+BINS = 4096  # of the keys of longer phrases, by their highest bits
 TOP = 2000
 UNKNOWN = "und"
 
@@ -69,59 +74,70 @@ def _hashes(lang: bytes, phrases: list[bytes]) -> np.ndarray:
 
 
 def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """A pair's key in the bit arrays, from its words' hashes."""
-    return first ^ ((second << np.uint64(1)) | (second >> np.uint64(63)))
+    """A pair's key, from its words' hashes. The fourth byte is empty: a packed key has six bytes and its bin."""
+    return (first ^ ((second << np.uint64(1)) | (second >> np.uint64(63)))) & np.uint64(0xFFFFFFFF_00FFFFFF)
 
 
-def _counted(lang: str, words: list[bytes], ids: np.ndarray, plan: dict) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(length, phrases, counts) of a block's active phrases; id 0 is the end of a piece."""
-    key = lang.encode()
-    if plan["words"]:
-        n = np.bincount(ids, minlength=len(words))
-        seen = np.flatnonzero(n[1:]) + 1
-        yield 1, [words[i] for i in seen], n[seen]
+def triple_key(pair: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A triple's key, from the key of its first two words and its last word's hash."""
+    return pair_key(pair * np.uint64(0x9E3779B97F4A7C15), last)
+
+
+def _longer(lang: str, words: list[bytes], ids: np.ndarray, plan: dict):
+    """(pairs, triples) of a block that are active, at each place where they stand; id 0 is the end of a piece. Pairs
+    are (keys, first word ids, second), triples (keys, first word ids, second, third)."""
     if plan["reached"][1] is None or len(ids) < 2:
-        return
-    h = _hashes(key, words)
+        return None, None
+    h = _hashes(lang.encode(), words)
     ok, new = plan["reached"][1].has(h), plan["recent"][1].has(h)
     ok[0] = new[0] = False
-    left, right = ids[:-1], ids[1:]
-    at = np.flatnonzero(ok[left] & ok[right])
+    at = np.flatnonzero(ok[ids[:-1]] & ok[ids[1:]])
     if not len(at):
-        return
-    size = np.int64(len(words))
-    pairs, inverse, n = np.unique(left[at] * size + right[at], return_inverse=True, return_counts=True)
-    active = np.flatnonzero(new[pairs // size] | new[pairs % size])
-    if len(active):
-        yield 2, [words[p // size] + b" " + words[p % size] for p in pairs[active].tolist()], n[active]
+        return None, None
+    left, right = ids[at], ids[at + 1]
+    keys = pair_key(h[left], h[right])
+    active = np.flatnonzero(new[left] | new[right] if plan["only"] is None else plan["only"][2].has(keys))
+    pairs = (keys[active], left[active], right[active])
     if plan["reached"][2] is None:
-        return
-    keys = pair_key(h[pairs // size], h[pairs % size])
+        return pairs, None
     ok2, new2 = plan["reached"][2].has(keys), plan["recent"][2].has(keys)
-    first = np.flatnonzero((at[:-1] + 1 == at[1:]) & ok2[inverse[:-1]] & ok2[inverse[1:]]
-                           & (new2[inverse[:-1]] | new2[inverse[1:]]))
-    if len(first):
-        triples, n = np.unique(inverse[first].astype(np.int64) * size + ids[at[first] + 2], return_counts=True)
-        found = [(pairs[t // size], t % size) for t in triples.tolist()]
-        yield 3, [words[p // size] + b" " + words[p % size] + b" " + words[w] for p, w in found], n
+    first = np.flatnonzero((at[:-1] + 1 == at[1:]) & ok2[:-1] & ok2[1:] & (new2[:-1] | new2[1:]))
+    last = right[first + 1]
+    keys3 = triple_key(keys[first], h[last])
+    if plan["only"] is not None:
+        held = plan["only"][3].has(keys3)
+        keys3, first, last = keys3[held], first[held], last[held]
+    return pairs, (keys3, left[first], right[first], last)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], plan: dict) -> Iterator[pa.RecordBatch]:
-    """Counts of one shard's documents: (k, lang, phrase, n), combined per block of BLOCK words."""
+def _counted(lang: str, words: list[bytes], ids: np.ndarray, plan: dict) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(length, phrases, counts) of a block's words, or of the longer phrases whose keys are in ``plan["only"]``."""
+    if plan["words"]:
+        n = np.bincount(ids, minlength=len(words))
+        seen = np.flatnonzero(n[1:]) + 1
+        yield 1, [words[i] for i in seen], n[seen]
+        return
+    size = np.int64(len(words))
+    pairs, triples = _longer(lang, words, ids, plan)
+    if pairs is not None:
+        codes, n = np.unique(pairs[1] * size + pairs[2], return_counts=True)
+        yield 2, [words[p // size] + b" " + words[p % size] for p in codes.tolist()], n
+    if triples is not None:
+        heads, head = np.unique(triples[1] * size + triples[2], return_inverse=True)
+        codes, n = np.unique(head.astype(np.int64) * size + triples[3], return_counts=True)
+        yield 3, [words[p // size] + b" " + words[p % size] + b" " + words[w]
+                  for p, w in zip(heads[codes // size].tolist(), (codes % size).tolist())], n
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, list[bytes], np.ndarray]]]:
+    """(lang, words, ids of the words in order) of the languages of each block of BLOCK words; id 0 ends a piece."""
     vocabulary, found, held = {}, defaultdict(list), 0
 
-    def flush():
-        for lang, parts in found.items():
-            words = list(vocabulary[lang])
-            for k, phrases, n in _counted(lang, words, np.concatenate(parts), plan):
-                for i in range(0, len(phrases), 100_000):
-                    part = phrases[i:i + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k] * len(part), pa.int32()), pa.array([lang] * len(part), pa.string()),
-                         pa.array(part, pa.binary()), pa.array(n[i:i + 100_000].astype(np.int64))],
-                        names=["k", "lang", "phrase", "n"])
+    def block():
+        out = [(lang, list(vocabulary[lang]), np.concatenate(parts)) for lang, parts in found.items()]
         vocabulary.clear()
         found.clear()
+        return out
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
@@ -136,21 +152,109 @@ def _scan(batches: Iterator[pa.RecordBatch], plan: dict) -> Iterator[pa.RecordBa
             found[lang].append(np.fromiter(map(vocabulary[lang].__getitem__, words), np.int64, len(words)))
             held += len(words)
             if held >= BLOCK:
-                yield from flush()
+                yield block()
                 held = 0
-    yield from flush()
+    yield block()
+
+
+def _scan(batches: Iterator[pa.RecordBatch], plan: dict) -> Iterator[pa.RecordBatch]:
+    """Counts of the documents' phrases by their text: (k, lang, phrase, n), combined per block."""
+    for block in _blocks(batches):
+        for lang, words, ids in block:
+            for k, phrases, n in _counted(lang, words, ids, plan):
+                for i in range(0, len(phrases), 100_000):
+                    part = phrases[i:i + 100_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k] * len(part), pa.int32()), pa.array([lang] * len(part), pa.string()),
+                         pa.array(part, pa.binary()), pa.array(n[i:i + 100_000].astype(np.int64))],
+                        names=["k", "lang", "phrase", "n"])
+
+
+_PACKED = "k int, bin int, keys binary, ns binary"
+_IN_BIN = np.uint64(65 - BINS.bit_length())
+_BYTES_KEPT = [0, 1, 2, 4, 5, 6]  # the fourth is empty, the last is told by the bin
 
 
-def _bits(reached: DataFrame, k: int, size: int) -> np.ndarray | None:
-    """The bit array of (lang, phrase) rows of words or pairs: at most size / 64 numbers come to the driver."""
-    def hashed(word):
-        return F.xxhash64(F.concat("lang", F.lit("\x1f"), word))
+def _packed(keys: np.ndarray) -> bytes:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, _BYTES_KEPT].tobytes()
 
-    h = hashed(F.substring_index("phrase", " ", 1))
-    if k == 2:  # as pair_key
-        second = hashed(F.substring_index("phrase", " ", -1))
-        h = h.bitwiseXOR(F.shiftleft(second, 1).bitwiseOR(F.shiftrightunsigned(second, 63)))
-    keys = reached.select(h.alias("h"))
+
+def _scan_keys(batches: Iterator[pa.RecordBatch], plan: dict) -> Iterator[pa.RecordBatch]:
+    """Counts of one shard's active pairs and triples by their keys, packed by bin, per block."""
+    for block in _blocks(batches):
+        longer = [_longer(*part, plan) for part in block]
+        for k in (2, 3):
+            got = [x[k - 2][0] for x in longer if x[k - 2] is not None]
+            if not got:
+                continue
+            keys, n = np.unique(np.concatenate(got), return_counts=True)
+            ends = np.searchsorted(keys >> _IN_BIN, np.arange(BINS + 1, dtype=np.uint64))
+            filled = np.flatnonzero(np.diff(ends))
+            for few in np.array_split(filled, max(1, len(keys) * 16 >> 23)):
+                parts = [(b, slice(ends[b], ends[b + 1])) for b in few.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k] * len(parts), pa.int32()), pa.array([b for b, _ in parts], pa.int32()),
+                     pa.array([_packed(keys[p]) for _, p in parts], pa.binary()),
+                     pa.array([n[p].tobytes() for _, p in parts], pa.binary())], names=["k", "bin", "keys", "ns"])
+
+
+def _combine(parts: list[tuple[np.ndarray, np.ndarray]], how) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and ``how`` (add or maximum) over each one's numbers."""
+    keys, n = np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], how.reduceat(n[order], starts)
+
+
+def _unpacked(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of each row, whose bin has the keys' highest bits."""
+    out = []
+    for b, packed, n in zip(*(table.column(c).to_pylist() for c in ("bin", "keys", "ns"))):
+        keys = np.zeros((len(packed) // 6, 8), np.uint8)
+        keys[:, _BYTES_KEPT] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+        out.append((keys.view("<u8")[:, 0] | (np.uint64(b) << _IN_BIN), np.frombuffer(n, np.int64)))
+    return out
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """One bin's counts of one step and length, in one row."""
+    keys, n = _combine(_unpacked(table), np.add)
+    return pa.table({"k": table.column("k").slice(0, 1), "bin": table.column("bin").slice(0, 1),
+                     "keys": pa.array([_packed(keys)], pa.binary()), "ns": pa.array([n.tobytes()], pa.binary())})
+
+
+def _frequent(table: pa.Table, least: int, shards: int, upto: int) -> np.ndarray:
+    """One bin's keys with ``least`` occurrences in the steps before ``upto``, every shard taken once."""
+    by_shard = defaultdict(list)
+    for step, part in zip(table.column("step").to_pylist(), _unpacked(table)):
+        if step < upto:
+            by_shard[step % shards].append(part)
+    if not by_shard:
+        return np.zeros(0, np.uint64)
+    keys, n = _combine([_combine(parts, np.maximum) for parts in by_shard.values()], np.add)
+    return keys[n >= least]
+
+
+def _reached_keys(counts: DataFrame, k: int, least: int, shards: int, upto: int, new: bool) -> DataFrame:
+    """Keys ``h`` of length ``k`` that have reached the threshold before step ``upto``; the ``new`` in the last step only."""
+    def of_bin(table: pa.Table) -> pa.Table:
+        found = _frequent(table, least, shards, upto)
+        if new:
+            found = np.setdiff1d(found, _frequent(table, least, shards, upto - 1), assume_unique=True)
+        return pa.table({"h": pa.array(found.view(np.int64), pa.int64())})
+
+    return (counts.filter((F.col("k") == k) & (F.col("step") < upto)).select("bin", "keys", "ns", "step")
+            .groupBy("bin").applyInArrow(of_bin, "h long"))
+
+
+def _word_keys(reached: DataFrame) -> DataFrame:
+    """The hashes ``h`` of (lang, phrase) rows of words, as ``_hashes``."""
+    return reached.select(F.xxhash64(F.concat("lang", F.lit("\x1f"), "phrase")).alias("h"))
+
+
+def _bits(keys: DataFrame, size: int) -> np.ndarray | None:
+    """The bit array of hashes ``h``: at most size / 64 numbers come to the driver."""
     places = keys.select(F.explode(F.array("h", F.shiftrightunsigned("h", 32))).alias("h")).select(
         F.col("h").bitwiseAND(F.lit(size - 1)).alias("p"))
     got = (places.groupBy(F.shiftright("p", 6).alias("i"))
@@ -194,35 +298,60 @@ def phrase_counts(docs: DataFrame, least: int = 10, shards: int = SHARDS, bloom_
     dealt = docs.select(lang.alias("lang"), text.alias("text")).filter("text != ''")
     dealt.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int")).write.partitionBy("shard").parquet(folder)
     documents = spark.read.schema("lang string, text string, shard int").parquet(folder)
-    name, path, buckets = new_name("dic_counts"), scratch_path(spark, "llm-dic-counts"), bucket_count(spark)
+    buckets = bucket_count(spark)
+    by_text, by_key = (new_name(f"dic_{x}") for x in ("words", "keys"))
+    paths = {x: scratch_path(spark, f"llm-{x}") for x in (by_text, by_key)}
+    longer = False  # whether longer phrases have been counted
     reached = {1: [], 2: []}  # per step, the bits of the phrases that then reached the threshold
     step = 0
+
+    def scanned(docs: DataFrame, scan, plan: dict, schema: str):
+        told = spark.sparkContext.broadcast(plan)
+        return told, (docs.select("lang", F.col("text").cast("binary").alias("text"))
+                      .mapInArrow(lambda batches, told=told: scan(batches, told.value), schema))
+
     while True:
         late = {k: _either(reached[k][max(0, step - shards):]) for k in (1, 2)}
         if step >= shards and not late[1] and not late[2]:
             break  # every active phrase has completed its cycle
-        all_ = {1: _either(reached[1]), 2: _either(reached[2]) if late[2] else None}
-        plan = {"words": step < shards, "reached": all_,
-                "recent": {k: late[k] or (all_[k] and Bits(np.zeros_like(all_[k].bits))) for k in (1, 2)}}
-        told = spark.sparkContext.broadcast(plan)
-        counted = (documents.filter(F.col("shard") == step % shards).select("lang", F.col("text").cast("binary").alias("text"))
-                   .mapInArrow(lambda batches, told=told: _scan(batches, told.value), "k int, lang string, phrase binary, n long"))
-        # dealt by phrase alone: both the sums and the buckets then need no other exchange
-        summed = (counted.select("k", "lang", F.col("phrase").cast("string").alias("phrase"), "n").repartition(buckets, "phrase")
-                  .groupBy("k", "lang", "phrase").agg(F.sum("n").alias("n")))
-        write_bucketed(summed.select("lang", "phrase", "n", "k", F.lit(step).alias("step")), name, path, ["phrase"], buckets,
-                       partition_by=["k", "step"], dealt=True)
-        told.unpersist()
+        shard, steps = documents.filter(F.col("shard") == step % shards), F.lit(step).alias("step")
+        words_now, longer_now = step < shards, bool(late[1] or late[2])
+        if words_now:
+            told, counted = scanned(shard, _scan, {"words": True}, "k int, lang string, phrase binary, n long")
+            # dealt by phrase alone: both the sums and the buckets then need no other exchange
+            summed = (counted.select("k", "lang", F.col("phrase").cast("string").alias("phrase"), "n").repartition(buckets, "phrase")
+                      .groupBy("k", "lang", "phrase").agg(F.sum("n").alias("n")))
+            write_bucketed(summed.select("lang", "phrase", "n", "k", steps), by_text, paths[by_text], ["phrase"], buckets,
+                           partition_by=["k", "step"], dealt=True)
+            told.unpersist()
+        if longer_now:
+            all_ = {1: _either(reached[1]), 2: _either(reached[2]) if late[2] else None}
+            plan = {"reached": all_, "only": None,
+                    "recent": {k: late[k] or (all_[k] and Bits(np.zeros_like(all_[k].bits))) for k in (1, 2)}}
+            told, counted = scanned(shard, _scan_keys, plan, _PACKED)
+            summed = counted.repartition(buckets, "bin").groupBy("k", "bin").applyInArrow(_summed, _PACKED)
+            write_bucketed(summed.select("bin", "keys", "ns", "k", steps), by_key, paths[by_key], ["bin"], buckets,
+                           partition_by=["k", "step"], dealt=True)
+            told.unpersist()
+            longer = True
         step += 1
-        for k, ran in ((1, plan["words"]), (2, late[1] is not None)):
-            new = _totals(spark.table(name), k, shards, step).filter(f"total >= {int(least)} and was < {int(least)}")
-            reached[k].append(_bits(new, k, bloom_bits) if ran else None)
-    counts = spark.table(name)
-    words = stored(_totals(counts, 1, shards, step).drop("was"), "dic-words")
-    longer = [_totals(counts, k, shards, step).filter(F.col("total") >= least)
-              .select("lang", "phrase", F.lit(k).alias("k"), "total") for k in (2, 3)]
-    phrases = stored(longer[0].unionByName(longer[1]), "dic-phrases")
-    forget(spark, name)
+        reached[1].append(_bits(_word_keys(_totals(spark.table(by_text), 1, shards, step).filter(
+            f"total >= {int(least)} and was < {int(least)}")), bloom_bits) if words_now else None)
+        reached[2].append(_bits(_reached_keys(spark.table(by_key), 2, least, shards, step, True), bloom_bits) if late[1] else None)
+    words = stored(_totals(spark.table(by_text), 1, shards, step).drop("was"), "dic-words")
+    only = {k: _either([_bits(_reached_keys(spark.table(by_key), k, least, shards, step, False), bloom_bits)] if longer else [])
+            for k in (2, 3)}
+    if only[2] is None:
+        phrases = spark.createDataFrame([], "lang string, phrase string, k int, total long")
+    else:
+        bits = {1: _either(reached[1]), 2: only[2] if only[3] is not None else None}
+        told, counted = scanned(documents, _scan, {"words": False, "reached": bits, "recent": bits, "only": only},
+                                "k int, lang string, phrase binary, n long")
+        phrases = stored(counted.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "k").agg(F.sum("n").alias("total"))
+                         .filter(F.col("total") >= least), "dic-phrases")
+        told.unpersist()
+    for name in (by_text, by_key) if longer else (by_text,):
+        forget(spark, name)
     return words, phrases
 
 

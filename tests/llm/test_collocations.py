@@ -91,3 +91,40 @@ def test_edges(spark, edge, empty, clashing):
     assert got(K.collocations(clashing.withColumns({c: F.lit(1) for c in ("k", "n", "phrase", "step", "shard", "h")}))) == want
     assert K.collocations(empty).collect() == []
     assert K.collocations(edge.withColumn("text", F.lit(None).cast("string"))).collect() == []
+
+
+def test_longer_phrases_are_sent_packed_by_bin():
+    """One row per bin and length of a block, not per phrase; what it holds is every pair's and triple's count."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    words = [f"w{i}" for i in range(200)]
+    text = " ".join(words[i * i % 200] + " " + words[i % 7] for i in range(20_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text.encode()])], names=["lang", "text"])
+    every = K.Bits(np.full(1, ~np.uint64(0)))
+    plan = {"reached": {1: every, 2: every}, "recent": {1: every, 2: every}, "only": None}
+    got = pa.Table.from_batches(K._scan_keys(iter([batch]), plan))
+    w = text.split()
+    for k in (2, 3):
+        rows = got.filter(pc.equal(got.column("k"), k))
+        assert rows.num_rows == len(set(rows.column("bin").to_pylist())) <= K.BINS
+        counts = Counter(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+        h = {x: K._hashes(b"en", [x.encode()]) for x in set(w)}
+        key = {p: K.pair_key(h[p[0]], h[p[1]]) for p in counts}
+        key = {p: (K.triple_key(v, h[p[2]]) if k == 3 else v)[0] for p, v in key.items()}
+        found = dict(zip(*(x.tolist() for x in K._combine(K._unpacked(rows), np.add))))
+        assert found == {int(key[p]): n for p, n in counts.items()}
+
+
+def test_a_key_counts_every_shard_once():
+    import numpy as np
+    import pyarrow as pa
+
+    def packed(**n):
+        return K._packed(np.array(list(map(int, (k[1:] for k in n))), np.uint64)), np.array(list(n.values()), np.int64).tobytes()
+
+    parts = [packed(k1=6, k2=9, k3=10), packed(k1=4, k2=1), packed(k1=6, k2=9)]  # shards 0, 1 and 0 again
+    table = pa.table({"step": [1, 2, 3], "bin": [0, 0, 0], "keys": pa.array([p[0] for p in parts], pa.binary()), "ns": pa.array([p[1] for p in parts], pa.binary())})
+    assert K._frequent(table, 10, 2, 4).tolist() == [1, 2, 3]
+    assert K._frequent(table, 10, 2, 2).tolist() == [3]
+    assert K._frequent(table, 11, 2, 4).tolist() == []
