@@ -172,8 +172,12 @@ def q_usage_cost_metrics(spark, d):
     return usage.cost_metrics(fx.attribution_history(spark, d), _meta(spark, d))
 
 
+def _metrics(spark, d, by_time=False):
+    return usage.all_metrics(fx.attribution_history(spark, d), fx.query_history(spark, d), _meta(spark, d), by_time)
+
+
 def q_usage_metrics_all(spark, d):
-    return usage.all_metrics(fx.attribution_history(spark, d), fx.query_history(spark, d), _meta(spark, d))
+    return _metrics(spark, d)
 
 
 def q_usage_metric_counts(spark, d):
@@ -188,7 +192,7 @@ def q_usage_metrics_empty(spark, d):
 def q_usage_metrics_published(spark, d):
     """Publish the metric batches (partitioned by category/type), read back."""
     path = scratch_path(spark, "metrics")
-    sinks.publish(q_usage_metrics_all(spark, d), path, schema=METRICS)
+    sinks.publish(_metrics(spark, d, by_time=True), path, schema=METRICS)
     return sinks.read_back(spark, path, METRICS)
 
 

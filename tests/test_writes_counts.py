@@ -1,15 +1,17 @@
 """Bucketed tables, documents sorted into accepted and rejected, counts observed on the write, INSERTs."""
 
 import contextlib
+import datetime as dt
 import io
 
 import pytest
 from pyspark.sql import functions as F
 
-from cumulus.operators import sales, sinks, weather
+from cumulus.operators import sales, sinks, usage, weather
 from cumulus.plans import catalog as C
 from cumulus.session import scratch_path
 from cumulus.sources import bucketed
+from cumulus.sources import fixtures as fx
 from cumulus.sources.tables import METRICS, WEATHER_RAW
 
 from .conftest import SF_SMALL, rows
@@ -89,6 +91,64 @@ def test_counts_come_from_the_write(spark):
     assert rows(got) == rows(stored.filter("type in ('SNOWFLAKE_CREDITS', 'SNOWFLAKE_BYTES_SCANNED')")) and got.count() == 2
 
 
+def _metric_rows(spark, n, types, parts=4):
+    return spark.range(0, n, 1, parts).select(
+        F.lit("CUSTOM").alias("category"), F.concat(F.lit("T"), F.pmod("id", F.lit(types))).alias("type"),
+        F.col("id").cast("double").alias("value"))
+
+
+def test_more_batches_than_open_files_are_published_whole(spark):
+    path, n = scratch_path(spark, "m"), sinks.OPEN_BATCHES + 7
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    df = _metric_rows(spark, 100 * n, n, 2)
+    assert sinks.publish(df, path)
+    assert rows(sinks.read_back(spark, path, df.schema)) == rows(df)
+    again = df.filter("type = 'T1'").withColumn("value", F.lit(-1.0))  # replaces its batch only
+    assert sinks.publish(again, path)
+    want = rows(df.filter("type != 'T1'").unionByName(again))
+    assert rows(sinks.read_back(spark, path, df.schema)) == want
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
+
+
+def test_published_files_are_in_time_order(spark):
+    import pyarrow.dataset as ds
+    n = 400
+    facts = spark.range(0, n, 1, 3).select(
+        F.concat(F.lit("q"), F.pmod("id", F.lit(50))).alias("query_id"),
+        F.when(F.col("id") % 40 != 0, F.timestamp_micros(F.pmod(F.col("id") * 7919, F.lit(n)) * 1_000_000_007).cast("timestamp_ntz"))
+        .alias("end_time"), F.col("id").cast("double").alias("credits_attributed_compute"), *[F.col("id").alias(m) for m in usage.USAGE_TYPES])
+    meta = spark.range(0, 40).select(F.concat(F.lit("q"), "id").alias("queryId"), *[F.concat(F.lit(m), "id").alias(m) for m in usage.META])
+    plain = usage.all_metrics(facts, facts, meta)
+    assert rows(usage.all_metrics(facts, facts, meta, by_time=True)) == rows(plain)
+    path = scratch_path(spark, "m")
+    assert sinks.publish(usage.all_metrics(facts, facts, meta, by_time=True), path, schema=METRICS)
+    assert rows(sinks.read_back(spark, path, METRICS)) == rows(sinks.conform(plain, METRICS))
+    times = [[t or "" for t in f.to_table(columns=["timestamp"])["timestamp"].to_pylist()] for f in ds.dataset(path).get_fragments()]
+    assert all(t == sorted(t) for t in times)
+    assert sum(map(len, times)) == 8 * 320 and max(map(len, times)) > 1
+
+
+def test_pages_are_made_of_shuffled_orders(spark, tmp_path):
+    import json
+    o = spark.createDataFrame(
+        [(3, 25, "F", 1.0, dt.datetime(2024, 1, 1, 5), "1-URGENT"), (3, 25, "F", 1.0, dt.datetime(2024, 1, 1, 5), "1-URGENT"),
+         (2, None, None, 1.0, None, None), (17, 8, "O", 1.0, dt.datetime(2024, 1, 2), "5-LOW"), (None, 1, "P", 1.0, None, "x")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    o.write.parquet(f"{tmp_path}/orders.parquet")
+    pages = fx.external_query_documents(spark, str(tmp_path))
+    got = {r.page: json.loads(r.doc)["externalQueries"] for r in pages.collect()}
+    urgent = {"queryId": "3", "assetId": "1-URGENT", "deploymentId": "dep-5", "runId": "run-2024-01-01", "dagId": "dag-4",
+              "taskId": "F", "namespace": "ns", "queryTime": "2024-01-01T05:00:00.000000"}
+    assert got == {
+        0: [{"queryId": "2", "namespace": "ns"}, urgent, urgent],
+        fx.LATER_PAGES: [urgent | {"assetId": "again 1-URGENT"}] * 2,
+        4: [{"queryId": "17", "assetId": "5-LOW", "deploymentId": "dep-8", "runId": "run-2024-01-02", "dagId": "dag-1",
+             "taskId": "O", "namespace": "ns", "queryTime": "not yet"}],
+        None: [{"assetId": "x", "deploymentId": "dep-1", "dagId": "dag-1", "taskId": "P", "namespace": "ns"}]}
+    shuffled = pages._jdf.queryExecution().executedPlan().toString().rpartition("Exchange")[2]
+    assert "o_orderkey" in shuffled and "dep-" not in shuffled
+
+
 def test_insert_forms(spark):
     name, path = bucketed.new_name("t"), scratch_path(spark, "t")
     sinks.create_table(spark, name, path, WEATHER_RAW)
