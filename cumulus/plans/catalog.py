@@ -491,7 +491,7 @@ def q_weather_rejected(spark, d):
 def q_usage_published_counts(spark, d):
     """Rows of each published batch, as counted while they are written."""
     batches = [(usage.COST_CATEGORY, usage.COST_TYPE), *[(usage.USAGE_CATEGORY, t) for t in usage.USAGE_TYPES.values()]]
-    return sinks.publish_counted(q_usage_metrics_all(spark, d), scratch_path(spark, "metrics_counted"), batches, METRICS)
+    return sinks.publish_counted(_metrics(spark, d, by_time=True), scratch_path(spark, "metrics_counted"), batches, METRICS)
 
 
 def q_weather_inserted(spark, d):

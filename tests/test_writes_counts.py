@@ -97,6 +97,19 @@ def _metric_rows(spark, n, types, parts=4):
         F.col("id").cast("double").alias("value"))
 
 
+def test_published_rows_are_not_dealt_anew(spark):
+    path, tracker = scratch_path(spark, "m"), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("publish-only", "a shuffle would be a second stage")
+    try:
+        got = sinks.publish_counted(_metric_rows(spark, 999, 3), path, [("CUSTOM", f"T{i}") for i in range(3)])
+        stages = [tracker.getJobInfo(j).stageIds for j in tracker.getJobIdsForGroup("publish-only")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and all(len(s) == 1 for s in stages)
+    assert rows(got) == [("CUSTOM", f"T{i}", 333) for i in range(3)]
+    assert rows(spark.read.parquet(path), "value") == sorted([(float(i),) for i in range(999)], key=repr)
+
+
 def test_more_batches_than_open_files_are_published_whole(spark):
     path, n = scratch_path(spark, "m"), sinks.OPEN_BATCHES + 7
     before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
